@@ -88,9 +88,9 @@ def column_entities(
 def matches_search(keyword: str, type_name: str | None = None) -> Column:
     """The search predicate: keyword in the name, key or type name, any case."""
     word = F.lit(keyword.lower())
-    found = [F.coalesce(F.contains(F.lower(c), word), F.lit(False)) for c in ("qualified_name", "name", "type_name")]
+    found = [F.contains(F.lower(c), word) for c in ("qualified_name", "name", "type_name")]
     hit = found[0] | found[1] | found[2]
-    return hit if type_name is None else hit & F.coalesce(F.col("type_name") == type_name, F.lit(False))
+    return hit if type_name is None else (F.col("type_name") == type_name) & hit
 
 
 def search_entities(entities: DataFrame, keyword: str, type_name: str | None = None) -> DataFrame:
@@ -99,7 +99,7 @@ def search_entities(entities: DataFrame, keyword: str, type_name: str | None = N
 
 def delete_by_search(entities: DataFrame, keyword: str, type_name: str | None = None) -> DataFrame:
     """What is left after removing every hit. The predicate is negated; no join."""
-    return entities.where(~matches_search(keyword, type_name))
+    return entities.where(~F.coalesce(matches_search(keyword, type_name), F.lit(False)))
 
 
 def delete_entities(entities: DataFrame, hits: DataFrame) -> DataFrame:
@@ -108,7 +108,10 @@ def delete_entities(entities: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row of each key. Combines before the shuffle, so a hot key stays small."""
+    """Newest row of each key; `order` should have no ties within a key.
+
+    Combines before the shuffle, so a hot key stays small.
+    """
     rest = [c for c in rows.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order))
     return rows.groupBy(*keys).agg(newest.alias("row")).select(*keys, *[F.col("row")[c].alias(c) for c in rest])
@@ -128,7 +131,7 @@ def upsert(
     """
     keys = list(keys)
     fresh = updates if order is None else latest(updates, keys, order)
-    kept = current.join(fresh.select(*keys), keys, "left_anti")
+    kept = current.join(updates.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(fresh)
 
 

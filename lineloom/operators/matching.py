@@ -23,10 +23,19 @@ from ..functions.text import WORD_BREAKS, grams_of, pieces_of, words_of
 from ..session import materialize
 from .joins import BROADCAST_BYTES, keyed_join, measured_bytes, row_bytes
 
-GRAM = 8
+# Lengths of the pieces names are looked up by. A name takes the longest that
+# fits; few lengths keep the words from being cut up too often.
+GRAM_SIZES = (8, 5, 3, 2, 1)
 MIN_WINDOW = 128
 
 
+def _gram_size(needle: str):
+    size = F.lit(0)
+    for n in reversed(GRAM_SIZES):
+        size = F.when(F.length(needle) >= n, n).otherwise(size)
+    return size
+
+
 def find_names(
     texts: DataFrame,
     keys: list[str],
@@ -51,7 +60,7 @@ def find_names(
     payload = [c for c in patterns.columns if c != "pattern"]
     prepared = _with_needles(patterns, wildcards)
     facts = prepared.agg(
-        F.collect_set(F.least(F.length("needle"), F.lit(GRAM))).alias("sizes"),
+        F.collect_set(_gram_size("needle")).alias("sizes"),
         F.max(F.length("needle")).alias("longest"),
         F.sum(row_bytes(prepared.schema)).alias("bytes"),
     ).first()
@@ -65,8 +74,8 @@ def find_names(
     if 0 in facts["sizes"]:  # names with nothing to look up by: checked on every text
         words = F.concat(words, F.array(F.lit("")))
 
-    def spread(columns, explode=F.explode):
-        cut = texts.select(*columns, explode(words).alias("run"))
+    def spread(columns, explode=F.explode, of=words):
+        cut = texts.select(*columns, explode(of).alias("run"))
         return cut.select(*columns, explode(pieces_of(F.col("run"), window)).alias("word"))
 
     pairs = materialize(_word_pairs(spread([]).distinct(), prepared, facts, bound), "word-pairs")
@@ -79,7 +88,8 @@ def find_names(
         joined = by_word.join(F.broadcast(pairs), held, "left" if keep_all else "inner")
         return joined.select(*keys, *payload)
 
-    joined = keyed_join(spread(keys), pairs, ["word"], "inner", keys, bound=bound, right_bytes=size)
+    by_word = spread(keys, of=F.array_distinct(words))  # each word of a text is shuffled once
+    joined = keyed_join(by_word, pairs, ["word"], "inner", keys, bound=bound, right_bytes=size)
     sure = joined.where("exact").select(*keys, *payload)
     # The whole text did not travel with its words, so it is fetched by key for
     # the few names that need a look at it.
@@ -114,21 +124,19 @@ def _verifies(text: str, wildcards: bool):
 def _word_pairs(vocabulary: DataFrame, prepared: DataFrame, facts, bound: int) -> DataFrame:
     """(word, pattern columns) for every word that contains a needle."""
     needles = prepared.select("needle").distinct()
-    short = needles.where(F.length("needle") <= GRAM).select("needle", F.col("needle").alias("gram"))
-    keyed = short
-    if GRAM in facts["sizes"]:
-        pieces = needles.where(F.length("needle") > GRAM).select(
-            "needle", F.explode(F.array_distinct(grams_of(F.col("needle"), GRAM))).alias("gram")
-        )
-        shared = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-        rarest = pieces.join(shared, "gram").groupBy("needle").agg(F.min(F.struct("n", "gram")).alias("best"))
-        keyed = short.unionByName(rarest.select("needle", F.col("best.gram").alias("gram")))
-
-    sizes = [n for n in facts["sizes"] if n > 0]
-    grams = F.array_distinct(F.concat(*[grams_of(F.col("word"), n) for n in sizes])) if sizes else F.array()
+    sizes = sorted(n for n in facts["sizes"] if n > 0)
+    own = F.array(F.lit(""))
+    for n in sizes:
+        own = F.when(_gram_size("needle") == n, F.array_distinct(grams_of(F.col("needle"), n))).otherwise(own)
+    pieces = needles.select("needle", F.explode(own).alias("gram"))
+    shared = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = pieces.join(shared, "gram").groupBy("needle").agg(F.min(F.struct("n", "gram")).alias("best"))
+    keyed = rarest.select("needle", F.col("best.gram").alias("gram"))
+
+    grams = F.concat(F.array().cast("array<string>"), *[grams_of(F.col("word"), n) for n in sizes])
     if 0 in facts["sizes"]:
-        grams = F.when(F.col("word") == "", F.array(F.lit(""))).otherwise(grams.cast("array<string>"))
-    cut = vocabulary.select("word", F.explode(grams).alias("gram"))
+        grams = F.when(F.col("word") == "", F.array(F.lit(""))).otherwise(grams)
+    cut = vocabulary.select("word", F.explode(F.array_distinct(grams)).alias("gram"))
 
     # The names were measured with the facts, and a needle or its piece is no
     # longer than its name's row.

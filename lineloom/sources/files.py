@@ -31,9 +31,13 @@ def read_ids(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def write_entities(entities: DataFrame, path: str) -> None:
-    """A new snapshot of the entity table; `path` must not be one being read."""
-    entities.write.mode("errorifexists").parquet(path)
+    """A new snapshot of the entity table; `path` must not be one being read.
+
+    One folder per type, so that a search or lookup of one type reads no other.
+    """
+    entities.write.mode("errorifexists").partitionBy("type_name").parquet(path)
 
 
 def read_entities(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    found = spark.read.parquet(path)
+    return found.withColumn("type_name", F.col("type_name").cast("string"))
