@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 WRITE_WORDS = ("create ", "merge ", "insert ", "spark.write")
 
 # Line ends as Spark's line source sees them.
-LINE_END = r"\r\n|\r|\n"
+LINE_END = r"\r\n?|\n"
 
 # Characters that end a word, as the inside of a regular-expression class.
 # Asset names are the text after a last slash, so a slash can end a word too.
@@ -26,8 +26,10 @@ def mentions_any(text: Column, words) -> Column:
 
 def lines_of(text: Column) -> Column:
     """Array of lines; a final line end does not open another line."""
-    parts = F.split(text, LINE_END)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    upto = lambda n: F.substring(text, F.lit(1), F.length(text) - n)
+    ends = lambda *marks: reduce(lambda a, b: a | b, [F.endswith(text, F.lit(m)) for m in marks])
+    body = F.when(ends("\r\n"), upto(2)).when(ends("\n", "\r"), upto(1)).otherwise(text)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_END))
 
 
 def words_of(text: Column) -> Column:

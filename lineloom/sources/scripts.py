@@ -54,4 +54,6 @@ def parse_listing(bodies: DataFrame, column: str = "body") -> DataFrame:
 
 
 def unpack_objects(bodies: DataFrame) -> DataFrame:
-    return bodies.select(F.explode("objects").alias("o")).select("o.*")
+    # An outer explode, as a plain one has the optimizer add a filter on the
+    # array's size, which would parse each body a second time.
+    return bodies.select(F.explode_outer("objects").alias("o")).where("o IS NOT NULL").select("o.*")
