@@ -61,6 +61,7 @@ def find_names(
     prepared = _with_needles(patterns, wildcards)
     facts = prepared.agg(
         F.collect_set(_gram_size("needle")).alias("sizes"),
+        F.min(F.length("needle")).alias("shortest"),
         F.max(F.length("needle")).alias("longest"),
         F.sum(row_bytes(prepared.schema)).alias("bytes"),
     ).first()
@@ -78,7 +79,8 @@ def find_names(
         cut = texts.select(*columns, explode(of).alias("run"))
         return cut.select(*columns, explode(pieces_of(F.col("run"), window)).alias("word"))
 
-    pairs = materialize(_word_pairs(spread([]).distinct(), prepared, facts, bound), "word-pairs")
+    vocabulary = spread([]).where(F.length("word") >= facts["shortest"]).distinct()
+    pairs = materialize(_word_pairs(vocabulary, prepared, facts, bound), "word-pairs")
     size = measured_bytes(pairs)
 
     contains = _verifies(text, wildcards)
@@ -133,14 +135,30 @@ def _word_pairs(vocabulary: DataFrame, prepared: DataFrame, facts, bound: int) -
     rarest = pieces.join(shared, "gram").groupBy("needle").agg(F.min(F.struct("n", "gram")).alias("best"))
     keyed = rarest.select("needle", F.col("best.gram").alias("gram"))
 
-    grams = F.concat(F.array().cast("array<string>"), *[grams_of(F.col("word"), n) for n in sizes])
-    if 0 in facts["sizes"]:
-        grams = F.when(F.col("word") == "", F.array(F.lit(""))).otherwise(grams)
-    cut = vocabulary.select("word", F.explode(F.array_distinct(grams)).alias("gram"))
+    cut = _cut_words(vocabulary, sizes, blank=0 in facts["sizes"])
 
     # The names were measured with the facts, and a needle or its piece is no
     # longer than its name's row.
     size = facts["bytes"]
     found = keyed_join(cut, keyed, ["gram"], "inner", ["word"], bound=bound, right_bytes=size)
-    found = found.where(F.contains(F.col("word"), F.col("needle"))).select("word", "needle")
+    once = F.instr("word", F.col("gram")) == F.col("at")  # a piece may stand in a word twice
+    found = found.where(once & F.contains(F.col("word"), F.col("needle"))).select("word", "needle")
     return keyed_join(found, prepared, ["needle"], "inner", ["word"], bound=bound, right_bytes=size).drop("needle")
+
+
+def _cut_words(vocabulary: DataFrame, sizes: list[int], blank: bool) -> DataFrame:
+    """(word, at, gram) for every place of a word and every gram size that fits there.
+
+    `blank` keeps the empty word, with the empty gram.
+    """
+    word, at = F.col("word"), F.col("at")
+    smallest = min(sizes, default=1)
+    places = F.sequence(F.lit(1), F.length(word) - smallest + 1)
+    wanted = F.length(word) >= smallest
+    grams = [F.when(at + n - 1 <= F.length(word), F.substring(word, at, F.lit(n))) for n in sizes]
+    if blank:
+        places = F.when(word == "", F.array(F.lit(1))).otherwise(places)
+        wanted = wanted | (word == "")
+        grams.append(F.when(word == "", F.lit("")))
+    placed = vocabulary.where(wanted).select(word, F.explode(places).alias("at"))
+    return placed.select(word, at, F.explode(F.array(*grams)).alias("gram")).where("gram IS NOT NULL")
