@@ -68,6 +68,13 @@ def delete_types(types: DataFrame, names: list[str]) -> DataFrame:
     return types.where(~F.col("type_name").isin(list(names)))
 
 
+def broken_relations(relations: DataFrame, types: DataFrame) -> DataFrame:
+    """Relations with an end whose type is not (or no longer) defined."""
+    ends = F.explode(F.array("parent_type", "child_type")).alias("type_name")
+    lost = relations.select("name", ends).join(types.select("type_name"), "type_name", "left_anti")
+    return relations.join(lost.select("name").distinct(), "name", "left_semi")
+
+
 def untyped_entities(entities: DataFrame, types: DataFrame) -> DataFrame:
     """Entities whose type is not (or no longer) defined."""
     return keyed_join(entities, types.select("type_name"), ["type_name"], "left_anti", ["qualified_name"])

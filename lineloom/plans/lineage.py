@@ -9,6 +9,7 @@ from ..functions.text import WRITE_WORDS, lines_of, mentions_any
 from ..operators.entities import TABLE, FILE, JOB, make_entity
 from ..operators.joins import BROADCAST_BYTES, keyed_join, measured_bytes
 from ..operators.matching import find_names
+from ..operators.tree import scripts_of, walk_tree
 from ..session import materialize
 
 SOURCE, TARGET = "source", "target"
@@ -161,6 +162,23 @@ def lineage_map(
     return _name_of(mapped, catalogue, "target_place", TARGET, size, bound)
 
 
+def scan_lineage(
+    listing: DataFrame, root: str, scripts: DataFrame, files: DataFrame, tables: DataFrame, **options
+) -> DataFrame:
+    """Lineage map of the scripts a walk through `listing` from `root` reaches.
+
+    `scripts` is (path, text) with the listing's paths; `options` are those of
+    `lineage_map`.
+    """
+    bound = options.get("bound", BROADCAST_BYTES)
+    paths = scripts_of(walk_tree(listing, root, bound=bound)).select("path").distinct()
+    if options.get("path_like") is not None:
+        paths = paths.where(F.col("path").like(options["path_like"]))
+    reached = materialize(paths, "reached")
+    chosen = keyed_join(scripts, reached, ["path"], "left_semi", ["path"], bound=bound)
+    return lineage_map(chosen, files, tables, **options)
+
+
 def all_matches(
     scripts: DataFrame,
     files: DataFrame,

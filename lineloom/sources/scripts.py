@@ -28,6 +28,16 @@ def read_script_lines(spark: SparkSession, root: str, pattern: str | None = None
     return lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def listed_paths(scripts: DataFrame, export_root: str, prefix: str = "") -> DataFrame:
+    """Turn file paths below an export folder into the listing's paths.
+
+    The export root gives way to `prefix` and the file extension goes.
+    """
+    base = export_root.split("://", 1)[-1].rstrip("/")
+    inside = F.regexp_extract("path", rf"(?s)\Q{base}\E(/.*?)(\.[^./]*)?\z", 1)
+    return scripts.withColumn("path", F.concat(F.lit(prefix), inside))
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Redistribute a plain scan that has fewer tasks than the cluster has cores.
 

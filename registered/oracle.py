@@ -94,6 +94,14 @@ listing AS (
   FROM doc
 )"""
 
+_WALK = """
+walk AS (
+  SELECT path, object_type, object_id, 1 AS depth FROM listing WHERE parent = '/Shared'
+  UNION ALL
+  SELECT l.path, l.object_type, l.object_id, w.depth + 1
+  FROM walk w JOIN listing l ON l.parent = w.path WHERE w.object_type = 'DIRECTORY'
+)"""
+
 _LINEAGE = (_SCRIPT, _LINE, _ASSET_TABLE, _ASSET_FILE, _WRITING, _SOURCE, _TARGET, _MAP)
 
 ORACLE = {
@@ -139,15 +147,14 @@ FROM documents
 UNION ALL
 SELECT 'd' || doc_id, 'DIRECTORY', '/Shared/' || source, NULL FROM documents""",
     "path_tree": "WITH RECURSIVE "
-    + _FOLDERS
-    + """,
-walk AS (
-  SELECT path, object_type, object_id, 1 AS depth FROM listing WHERE parent = '/Shared'
-  UNION ALL
-  SELECT l.path, l.object_type, l.object_id, w.depth + 1
-  FROM walk w JOIN listing l ON l.parent = w.path WHERE w.object_type = 'DIRECTORY'
-)
+    + ",".join((_FOLDERS, _WALK))
+    + """
 SELECT path, object_type, object_id, depth FROM walk WHERE object_type IN ('DIRECTORY', 'NOTEBOOK')""",
+    "lineage_scan": "WITH RECURSIVE "
+    + ",".join((_FOLDERS, _WALK, *_LINEAGE))
+    + """
+SELECT path, source, target FROM lineage
+WHERE path LIKE '%src1%' AND path IN (SELECT path FROM walk WHERE object_type = 'NOTEBOOK')""",
     "match_source": _with(_SCRIPT, _LINE, _ASSET_FILE, _SOURCE, select="SELECT path, source FROM first_source"),
     "match_target": _with(_SCRIPT, _LINE, _ASSET_TABLE, _TARGET, select="SELECT path, target FROM first_target"),
     "match_wildcards": _with(

@@ -136,6 +136,19 @@ def lineage_map(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def lineage_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The map of the scripts that a walk from the root reaches, of some folders."""
+    return lineage.scan_lineage(
+        views.listing(spark, d),
+        "/Shared",
+        views.scripts(spark, d),
+        views.asset_files(spark, d),
+        views.asset_tables(spark, d),
+        words=WORDS,
+        path_like="%src1%",
+    )
+
+
 def lineage_all_matches(spark: SparkSession, d: str) -> DataFrame:
     return lineage.all_matches(
         views.scripts(spark, d), views.asset_files(spark, d), views.asset_tables(spark, d), words=WORDS
@@ -392,6 +405,7 @@ QUERIES = {
     "match_wildcards": match_wildcards,
     "match_counts": match_counts,
     "lineage_map": lineage_map,
+    "lineage_scan": lineage_scan,
     "lineage_all_matches": lineage_all_matches,
     "lineage_edges": lineage_edges,
     "lineage_jobs": lineage_jobs,

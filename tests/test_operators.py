@@ -36,7 +36,7 @@ def test_name_split(spark):
 def test_csv_after_the_first_character(spark):
     df = spark.createDataFrame([("csv_x",), ("xcsv",), ("a.csv",), ("a.CSV",)], "n string")
     assert [r.n for r in df.where(is_csv_name("n")).collect()] == ["xcsv", "a.csv"]
-    files = df.select(F.concat(F.lit("abfss://csv/"), "n").alias("qualified_name"))
+    files = df.select(F.concat(F.lit("lake://csv/"), "n").alias("qualified_name"))
     assert lineage.csv_assets(files).count() == 2
 
 
@@ -150,7 +150,10 @@ def test_types_are_replaced_and_deleted(spark):
     assert {r.type_name: r.attributes for r in merged.collect()}["column"][0].required
     assert rows(model.delete_types(types, ["job", "column"]).select("type_name")) == [("table",)]
     assert model.untyped_entities(entity_table(spark, ["a"], "job"), model.delete_types(types, ["job"])).count() == 1
-    assert model.relation_table(spark).first().child_cardinality == "SINGLE"
+    relations = model.relation_table(spark)
+    assert relations.first().child_cardinality == "SINGLE"
+    assert model.broken_relations(relations, types).count() == 0
+    assert model.broken_relations(relations, model.delete_types(types, ["column"])).count() == 1
 
 
 def test_composition_faults(spark):

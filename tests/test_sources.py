@@ -19,26 +19,26 @@ def rows(df):
 
 @pytest.fixture(scope="module")
 def databases(spark):
-    spark.sql("CREATE DATABASE acr")
-    spark.sql("CREATE TABLE acr.plain (a INT, b STRING COMMENT 'x') USING parquet COMMENT 'about'")
-    spark.sql("INSERT INTO acr.plain VALUES (1, 'x')")
-    spark.sql("INSERT INTO acr.plain VALUES (2, 'y')")
+    spark.sql("CREATE DATABASE sales")
+    spark.sql("CREATE TABLE sales.plain (a INT, b STRING COMMENT 'x') USING parquet COMMENT 'about'")
+    spark.sql("INSERT INTO sales.plain VALUES (1, 'x')")
+    spark.sql("INSERT INTO sales.plain VALUES (2, 'y')")
     spark.sql(
-        "CREATE TABLE acr.parted (a INT, p STRING) USING parquet PARTITIONED BY (p) "
+        "CREATE TABLE sales.parted (a INT, p STRING) USING parquet PARTITIONED BY (p) "
         "TBLPROPERTIES ('delta.minReaderVersion'='1')"
     )
-    spark.sql("INSERT INTO acr.parted VALUES (1, 'u'), (2, 'v'), (3, 'w')")
-    spark.sql("CREATE TABLE acr.empty (a INT) USING parquet")
-    spark.sql("CREATE VIEW acr.seen AS SELECT a FROM acr.plain")
+    spark.sql("INSERT INTO sales.parted VALUES (1, 'u'), (2, 'v'), (3, 'w')")
+    spark.sql("CREATE TABLE sales.empty (a INT) USING parquet")
+    spark.sql("CREATE VIEW sales.seen AS SELECT a FROM sales.plain")
     spark.range(1).createOrReplaceTempView("only_temporary")
-    yield ["acr"]
-    spark.sql("DROP DATABASE acr CASCADE")
+    yield ["sales"]
+    spark.sql("DROP DATABASE sales CASCADE")
     spark.catalog.dropTempView("only_temporary")
 
 
 def test_tables(spark, databases):
-    assert ("acr",) in rows(catalog.list_databases(spark))
-    expected = [("acr", "empty"), ("acr", "parted"), ("acr", "plain"), ("acr", "seen")]
+    assert ("sales",) in rows(catalog.list_databases(spark))
+    expected = [("sales", "empty"), ("sales", "parted"), ("sales", "plain"), ("sales", "seen")]
     assert rows(catalog.list_tables(spark, databases)) == expected
     assert set(expected) <= set(rows(catalog.list_tables(spark)))
     assert "only_temporary" not in {r.tableName for r in catalog.list_tables(spark).collect()}
@@ -53,8 +53,8 @@ def test_detail(spark, databases):
     details = catalog.table_detail(spark, databases)
     assert tuple(details.columns) == catalog.DETAIL_COLUMNS
     got = {r.name: r for r in details.collect()}
-    assert set(got) == {"acr.plain", "acr.parted", "acr.empty"}
-    plain, parted, empty = (got[f"acr.{n}"] for n in ("plain", "parted", "empty"))
+    assert set(got) == {"sales.plain", "sales.parted", "sales.empty"}
+    plain, parted, empty = (got[f"sales.{n}"] for n in ("plain", "parted", "empty"))
     assert (plain.format, plain.description, plain.numFiles) == ("parquet", "about", 2)
     assert plain.sizeInBytes > 0 and plain.lastModified is not None and plain.createdAt is not None
     assert (parted.partitionColumns, parted.numFiles, parted.minReaderVersion) == (["p"], 3, "1")
@@ -66,9 +66,9 @@ def test_inventory_to_entities(spark, databases):
     found = inv.inventory(spark, databases)
     found.register("t_")
     assert spark.table("t_columns").count() == found.columns.count()
-    built = inv.build_entities(found, "acr", domain="d")
+    built = inv.build_entities(found, "sales", domain="d")
     keys = {r.qualified_name for r in built.collect()}
-    assert {"cat://d/acr/plain", "cat://d/acr/plain#b", "cat://d/acr/parted#p"} <= keys
+    assert {"cat://d/sales/plain", "cat://d/sales/plain#b", "cat://d/sales/parted#p"} <= keys
     assert not any("seen" in k for k in keys)  # a view has no files and no detail
     assert inv.preview(found.columns, ["tableName", "colName"], 2).count() == 2
 
@@ -132,6 +132,27 @@ def test_lineage_from_files_both_ways(spark, script_folder):
     assert rows(whole) == rows(lines)
 
 
+def test_export_paths_become_listing_paths(spark, script_folder):
+    got = S.listed_paths(S.read_scripts(spark, script_folder), script_folder, "/Shared")
+    assert {r.path for r in got.collect()} == {"/Shared/a/etl", "/Shared/a/b/etl"}
+    odd = spark.createDataFrame([("dbfs:/x/a.b/c",), ("/x/c.d.py",)], "path string")
+    assert [r.path for r in S.listed_paths(odd, "/x/").collect()] == ["/a.b/c", "/c.d"]
+
+
+@pytest.mark.parametrize("bound", [0, 2**26])
+def test_only_reached_scripts_are_scanned(spark, script_folder, bound):
+    listing = spark.createDataFrame(
+        [("/Shared/a", "DIRECTORY"), ("/Shared/a/b", "REPO"), ("/Shared/a/b/etl", "NOTEBOOK"), ("/Shared/a/etl", "NOTEBOOK")],
+        "path string, object_type string",
+    )
+    known = spark.createDataFrame([("tab", "T")], "name string, qualified_name string")
+    texts = S.listed_paths(S.read_scripts(spark, script_folder), script_folder, "/Shared")
+    scan = lambda rows: lineage.scan_lineage(rows, "/Shared", texts, known, known, words=["b", "into"], bound=bound)
+    assert rows(scan(listing)) == [("/Shared/a/etl", None, None)]
+    folders = listing.withColumn("object_type", F.regexp_replace("object_type", "REPO", "DIRECTORY"))
+    assert rows(scan(folders)) == [("/Shared/a/b/etl", "T", "T"), ("/Shared/a/etl", None, None)]
+
+
 def test_spread_only_where_needed(spark):
     few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 20)
     assert S.spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
