@@ -9,13 +9,13 @@ SALTS = 16
 
 
 def row_bytes(schema: T.StructType) -> Column:
-    """Bytes a row holds: string lengths (nested values as JSON) plus 16 per field."""
+    """Bytes a row holds: string lengths (nested values as text) plus 16 per field."""
     width = F.lit(16 * len(schema.fields))
     for field in schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width = width + F.octet_length(F.to_json(F.struct(field.name)))
+            width = width + F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
     return width
 
 
