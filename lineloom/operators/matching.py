@@ -96,8 +96,10 @@ def find_names(
     # The whole text did not travel with its words, so it is fetched by key for
     # the few names that need a look at it.
     open_hits = joined.where("NOT exact").select(*keys, "pattern", *payload).distinct()
-    probe = texts.select(*[F.col(k).alias(f"_{k}") for k in keys], text)
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    aside = {k: f"_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(aside[k])) for k in keys]
+    asked = open_hits.select(*keys).distinct().withColumnsRenamed(aside)
+    probe = texts.select(*keys, text).join(asked, same, "left_semi").dropDuplicates(keys).withColumnsRenamed(aside)
     checked = open_hits.join(probe, [*same, contains], "left_semi").select(*keys, *payload)
     hits = sure.unionByName(checked)
     return hits.unionByName(texts.select(*keys, *blank)) if keep_all else hits

@@ -185,18 +185,22 @@ def all_matches(
     tables: DataFrame,
     *,
     words=WRITE_WORDS,
+    whole_texts: bool = True,
     wildcards: bool = False,
     bound: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(path, kind, qualified_name): every asset each writing script names.
 
-    `scripts` has one row per script.
+    `scripts` and `whole_texts` are as for `lineage_map`.
     """
     everything = _ordered(files, SOURCE).unionByName(_ordered(tables, TARGET))
-    texts = _unit_keys(_lowered(scripts.where(mentions_any(F.col("text"), words)).select("path", "text"), wildcards))
+    searched = scripts.where(mentions_any(F.col("text"), words)) if whole_texts else scripts
+    texts = _unit_keys(_lowered(searched.select("path", "text"), wildcards))
     patterns = materialize(everything.select("kind", "name", "pattern").distinct(), "patterns")
     hits = find_names(texts, ["path", "unit"], "text", patterns, wildcards=wildcards, bound=bound)
     named = hits.select("path", "kind", "name").distinct()
+    if not whole_texts:
+        named = named.join(writing_scripts(scripts, words), "path", "left_semi")
     listed = materialize(everything.select("kind", "name", "qualified_name").distinct(), "listed")
     return keyed_join(named, listed, ["kind", "name"], "inner", ["path"], bound=bound).select(
         "path", "kind", "qualified_name"

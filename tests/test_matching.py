@@ -229,6 +229,25 @@ def test_all_found_assets_are_listed_ones(spark):
     assert {(r.path, r.qualified_name) for r in got.collect()} == expected
 
 
+def test_all_matches_from_lines(spark):
+    lines = [("/m", "create x"), ("/m", "load f.csv and g.csv"), ("/m", "f.csv"), ("/r", "f.csv")]
+    df = spark.createDataFrame(lines, "path string, text string")
+    got = all_matches(df, assets(spark, ["f.csv", "g.csv"]), assets(spark, ["none"]), whole_texts=False)
+    assert rows(got) == [("/m", "source", "cat://d/x/f.csv"), ("/m", "source", "cat://d/x/g.csv")]
+
+
+@pytest.mark.parametrize("bound", [NARROW, WIDE])
+def test_one_line_repeated(spark, bound):
+    """A third of all lines alike, naming something that has to be verified in the line."""
+    df = spark.range(3000).select(
+        F.lit("/big").alias("path"),
+        F.when(F.col("id") % 3 == 0, "insert odd (name").otherwise(F.concat(F.lit("odd "), "id")).alias("text"),
+    )
+    assert mapped(spark, df, whole_texts=False, bound=bound) == [("/big", None, None)]
+    got = first_match(df, assets(spark, ["odd (name", "odd (nam_"]), SOURCE, bound=bound)
+    assert rows(got) == [("/big", "cat://d/x/odd (name")]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().toString()
 
