@@ -47,3 +47,8 @@ def scripts_of(reached: DataFrame) -> DataFrame:
 
 def folders_of(reached: DataFrame) -> DataFrame:
     return reached.where(F.col("object_type") == FOLDER)
+
+
+def count_kinds(rows: DataFrame) -> DataFrame:
+    """(object_type, objects): listing rows by kind."""
+    return rows.groupBy("object_type").agg(F.count(F.lit(1)).alias("objects"))

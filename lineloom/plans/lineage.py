@@ -34,6 +34,12 @@ def writing_scripts(scripts: DataFrame, words=WRITE_WORDS) -> DataFrame:
     return scripts.where(mentions_any(F.col("text"), words)).select("path").distinct()
 
 
+def writing_line_counts(lines: DataFrame, words=WRITE_WORDS) -> DataFrame:
+    """(path, writing_lines) of the scripts that have such lines, from (path, line) rows."""
+    hits = lines.where(mentions_any(F.col("line"), words))
+    return hits.groupBy("path").agg(F.count(F.lit(1)).alias("writing_lines"))
+
+
 def _ordered(asset_list: DataFrame, kind: str) -> DataFrame:
     if "rank" not in asset_list.columns:
         asset_list = asset_list.withColumn("rank", F.lit(0).cast("long"))

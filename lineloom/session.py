@@ -17,6 +17,7 @@ RUNTIME_SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -60,5 +61,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application has written; gives their number.
+
+    Results computed from them must have been stored by then.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)

@@ -140,6 +140,13 @@ SELECT page_id, url AS qualified_name FROM pages WHERE instr(string_split(url, '
     "script_lines": _with(_SCRIPT, _LINE, select="SELECT path, pos::INT AS pos, line FROM line"),
     "path_like": _with(_SCRIPT, select="SELECT path FROM script WHERE path LIKE '%src1%'"),
     "writing_scripts": _with(_SCRIPT, _LINE, _WRITING, select="SELECT path FROM writing"),
+    "writing_counts": _with(
+        _SCRIPT,
+        _LINE,
+        select="""
+SELECT path, count(*) AS writing_lines FROM line
+WHERE contains(lower(line), 'the ') OR contains(lower(line), 'license') GROUP BY path""",
+    ),
     "json_listing": """
 SELECT doc_id::VARCHAR AS object_id, 'NOTEBOOK' AS object_type,
        '/Shared/' || source || '/' || doc_id AS path, lang AS language
@@ -150,6 +157,10 @@ SELECT 'd' || doc_id, 'DIRECTORY', '/Shared/' || source, NULL FROM documents""",
     + ",".join((_FOLDERS, _WALK))
     + """
 SELECT path, object_type, object_id, depth FROM walk WHERE object_type IN ('DIRECTORY', 'NOTEBOOK')""",
+    "path_tree_kinds": "WITH RECURSIVE "
+    + ",".join((_FOLDERS, _WALK))
+    + """
+SELECT object_type, count(*) AS objects FROM walk WHERE object_type IN ('DIRECTORY', 'NOTEBOOK') GROUP BY object_type""",
     "lineage_scan": "WITH RECURSIVE "
     + ",".join((_FOLDERS, _WALK, *_LINEAGE))
     + """

@@ -88,6 +88,10 @@ def writing_scripts(spark: SparkSession, d: str) -> DataFrame:
     return lineage.writing_scripts(views.scripts(spark, d), WORDS)
 
 
+def writing_counts(spark: SparkSession, d: str) -> DataFrame:
+    return lineage.writing_line_counts(script_source.number_lines(views.scripts(spark, d)), WORDS)
+
+
 def json_listing(spark: SparkSession, d: str) -> DataFrame:
     """Each document as a listing body of itself and its folder."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "source")
@@ -106,6 +110,10 @@ def path_tree(spark: SparkSession, d: str) -> DataFrame:
     return tree.walk_tree(views.listing(spark, d), "/Shared")
 
 
+def path_tree_kinds(spark: SparkSession, d: str) -> DataFrame:
+    return tree.count_kinds(path_tree(spark, d))
+
+
 # -- lineage -----------------------------------------------------------------
 
 
@@ -398,8 +406,10 @@ QUERIES = {
     "script_lines": script_lines,
     "path_like": path_like,
     "writing_scripts": writing_scripts,
+    "writing_counts": writing_counts,
     "json_listing": json_listing,
     "path_tree": path_tree,
+    "path_tree_kinds": path_tree_kinds,
     "match_source": match_source,
     "match_target": match_target,
     "match_wildcards": match_wildcards,

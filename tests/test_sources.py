@@ -1,6 +1,7 @@
 """Catalog inventory, script files, listings and round trips on temporary data."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from lineloom.operators import entities as E
 from lineloom.plans import inventory as inv
 from lineloom.plans import lineage
-from lineloom.session import materialize, scratch_root, tune
+from lineloom.session import drop_scratch, materialize, scratch_root, tune
 from lineloom.sources import catalog, files
 from lineloom.sources import scripts as S
 
@@ -205,6 +206,15 @@ def test_scratch_is_where_the_session_says(spark):
     assert tune(spark).conf.get("spark.sql.adaptive.enabled") == "true"
 
 
+def test_only_written_tables_are_dropped(spark, tmp_path):
+    kept = tmp_path / "kept"
+    spark.range(3).write.parquet(str(kept))
+    folder = Path(materialize(spark.range(3), "three").inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists()
+    assert drop_scratch(spark) >= 1 and drop_scratch(spark) == 0
+    assert kept.exists() and not folder.exists()
+
+
 def test_edges_and_jobs(spark):
     mapping = spark.createDataFrame(
         [("/e/a", "F", "T"), ("/e/b", "F", None), ("/e/c", "gone", "T"), ("/x/a", "F", "T")],
