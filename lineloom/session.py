@@ -21,8 +21,17 @@ _written: dict[str, list[str]] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings; on a cluster, start shuffles with three partitions per core.
+
+    Adaptive execution merges small partitions but does not add any, so a
+    large cluster has to begin with enough of them.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    wanted = 3 * context.defaultParallelism
+    if not context.master.startswith("local") and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 
