@@ -8,10 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-from registered.oracle import SF_DIR
-from registered.queries import TABLES
-
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+from registered.oracle import ORACLE, SF_DIR
+from registered.queries import QUERIES, TABLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not here")
 
@@ -35,6 +33,8 @@ def plain(value):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
