@@ -5,11 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language, packing, quality
+from . import bpe, fingerprint, language, packing, quality
 from .common import keyed_mod, table
 
 
 
+def op1_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    found = fingerprint.fingerprint_edits(table(spark, d, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op3_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     held_out = keyed_mod("doc_id", 4) == 2
@@ -54,6 +67,7 @@ def op9_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprint": op1_fingerprint,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
