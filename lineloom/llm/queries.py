@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprint, language, packing, quality
+from . import bpe, fingerprint, html, language, packing, quality
 from .common import keyed_mod, table
 
 
@@ -23,6 +23,11 @@ def op1_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, d: str) -> DataFrame:
+    found = html.main_text(table(spark, d, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     held_out = keyed_mod("doc_id", 4) == 2
@@ -68,6 +73,7 @@ def op9_packing(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
+    "op2_html": op2_html,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
