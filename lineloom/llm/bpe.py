@@ -14,7 +14,9 @@ import base64
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -78,7 +80,7 @@ def encode(docs: DataFrame, *, text: str, ranks: str, pattern: str, ids: str = "
     def run(batches):
         enc = encoding(_local(ranks), pattern)
         for batch in batches:
-            for part in _portions(batch, at):
+            for part in _portions(batch, pc.binary_length(batch.column(at))):
                 coded = [encode_text(enc, t) if t else [] for t in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(coded, pa.list_(pa.int32()))], [*part.schema.names, ids]
@@ -87,17 +89,14 @@ def encode(docs: DataFrame, *, text: str, ranks: str, pattern: str, ids: str = "
     return spread(docs).mapInArrow(run, _schema_with(docs, ids, "array<int>"))
 
 
-def _portions(batch: pa.RecordBatch, at: int, limit: int = 4 << 20):
-    """Slices of a batch that hold about `limit` bytes of text, so that ids stay few."""
-    lengths = [len(t) if t else 0 for t in batch.column(at).to_pylist()]
-    lo = held = 0
-    for i, n in enumerate(lengths):
-        if held and held + n > limit:
-            yield batch.slice(lo, i - lo)
-            lo, held = i, 0
-        held += n
-    if lo < batch.num_rows:
-        yield batch.slice(lo)
+def _portions(batch: pa.RecordBatch, lengths: pa.Array, limit: int = 2 << 20):
+    """Slices of a batch whose lengths add up to about `limit`, so that Python holds few values at a time."""
+    ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = done = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, done + limit, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo, done = hi, int(ends[hi - 1])
 
 
 def decode(coded: DataFrame, *, ids: str = "ids", ranks: str, pattern: str, decoded: str = "decoded") -> DataFrame:
@@ -107,7 +106,10 @@ def decode(coded: DataFrame, *, ids: str = "ids", ranks: str, pattern: str, deco
     def run(batches):
         enc = encoding(_local(ranks), pattern)
         for batch in batches:
-            raw = [enc.decode_bytes(i) if i else b"" for i in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], [*batch.schema.names, decoded])
+            for part in _portions(batch, pc.list_value_length(batch.column(at)), 1 << 19):
+                raw = [enc.decode_bytes(i) if i else b"" for i in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(raw, pa.binary())], [*part.schema.names, decoded]
+                )
 
     return coded.mapInArrow(run, _schema_with(coded, decoded, "binary"))
