@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprint, html, language, packing, quality
+from . import bpe, fingerprint, html, language, packing, quality, topk
 from .common import keyed_mod, table
 
 
@@ -71,6 +71,12 @@ def op9_packing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op10_topk(spark: SparkSession, d: str) -> DataFrame:
+    rows = topk.whole_numbers(table(spark, d, "embeddings"), key="vec_id", vector="embedding")
+    found = topk.top_k(rows, rows.where("id % 50 = 0"), k=5)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_html": op2_html,
@@ -78,5 +84,21 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
     "op9_packing": op9_packing,
+    "op10_topk": op10_topk,
+}
+ORACLE: dict[str, str] = {
+    "op10_topk": """
+WITH sound AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
 }
-ORACLE: dict[str, str] = {}
