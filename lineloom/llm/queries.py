@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprint, html, language, packing, quality, topk
+from . import bpe, fingerprint, html, language, packing, quality, setjoin, topk
 from .common import keyed_mod, table
 
 
@@ -60,6 +60,11 @@ def op6_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op8_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return setjoin.jaccard_components(docs).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op9_packing(spark: SparkSession, d: str) -> DataFrame:
     pieces = packing.pack(
         table(spark, d, "documents"),
@@ -83,6 +88,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_quality": op4_quality,
     "op6_bpe": op6_bpe,
+    "op8_jaccard": op8_jaccard,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
 }
