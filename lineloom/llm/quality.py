@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import spread, text_runs
 
@@ -157,15 +157,25 @@ def fit(texts: list[str], labels: list[int], *, epochs: int = 12, batch: int = 6
 
 
 def learn(
-    rows: DataFrame, *, text: str = "text", label: str = "quality", order_by: Column, max_rows: int = 6000, max_chars: int = 12000
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    max_rows: int = 6000,
+    max_chars: int = 12000,
 ) -> Network | float:
-    """Fit on the `max_rows` labelled rows that come first by hash of `order_by`.
+    """Fit on the `max_rows` labelled rows that come first by hash of the key.
 
-    Rows with a text over `max_chars` are not learned from; all are scored.
+    Of those, texts over `max_chars` are not learned from; all are scored. Only
+    the labels are sorted; the keys taken, a bounded list, find their texts.
     """
-    known = rows.where(F.col(label).isin(0, 1) & (F.coalesce(F.length(text), F.lit(0)) <= max_chars))
-    first = known.select(F.xxhash64(order_by, F.lit("learn")).alias("h"), F.col(text).alias("t"), F.col(label).alias("y"))
-    sample = first.orderBy("h", "t", "y").limit(max_rows).collect()
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).alias("y"))
+    picked = known.orderBy(F.xxhash64(key, F.lit("learn")), key, "y").limit(max_rows)
+    rows = docs.select(key, F.col(text).alias("t")).where(F.coalesce(F.length("t"), F.lit(0)) <= max_chars)
+    sample = rows.join(F.broadcast(picked), key).select("t", "y", F.xxhash64(key, F.lit("learn")).alias("h")).collect()
+    sample.sort(key=lambda r: (r["h"], r["t"] or "", r["y"]))
     return fit([r["t"] for r in sample], [r["y"] for r in sample])
 
 
