@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprint, html, language, packing, quality, setjoin, topk
+from . import bpe, fingerprint, html, language, linededup, packing, quality, setjoin, topk
 from .common import keyed_mod, table
 
 
@@ -45,6 +45,20 @@ def op4_quality(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_linededup(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = linededup.dedup_lines(docs)
+    return found.select(
+        "doc_id",
+        "n_lines",
+        F.size("dropped").alias("n_dropped"),
+        F.length("text").cast("long").alias("kept_chars"),
+        F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"),
+        F.array_join("dropped", ",").alias("dropped"),
+        F.array_join("sources", ",").alias("source_doc_ids"),
+    )
+
+
 def op6_bpe(spark: SparkSession, d: str) -> DataFrame:
     vocabulary = {
         "ranks": public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -87,6 +101,7 @@ QUERIES = {
     "op2_html": op2_html,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
+    "op5_linededup": op5_linededup,
     "op6_bpe": op6_bpe,
     "op8_jaccard": op8_jaccard,
     "op9_packing": op9_packing,
