@@ -16,8 +16,8 @@ smallest id that its links reach.
    one shingle left out (2): if it links to another such set, some segment of
    theirs differs in one shingle at most.
 4. Sets that share a key are candidates. First each is verified with the least
-   of the key's sets; that joins groups of copies in few steps. Of the pairs
-   left, those of sets not yet connected are verified: for keys of few sets all
+   set that it shares a key with; that joins most groups at one pair per set. Of
+   the pairs left, those of sets not yet connected are verified: for keys of few sets all
    of them; for keys of many sets those of sets that have more empty segments
    and such crowded keys than the surplus, as any other partner shares a less
    crowded key. There is no limit on partners.
@@ -43,7 +43,7 @@ from ..session import materialize
 from .common import map_arrow, mix, parts_for, shingle_hashes, spread, text_runs, total_bytes, word_hashes
 from .components import connected
 
-CROWDED = 16
+CROWDED = 8
 SURPLUS = 0.1
 FLUSH_KEYS = 1_500_000
 _U = np.uint64
@@ -204,7 +204,7 @@ def postings(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
 
 
 CANDIDATE_SCHEMA = "kind byte, a long, b long, spare byte"
-STAR, PAIR, MEMBER = 0, 1, 2  # (least set, set); (set, set); (crowded key, set)
+STAR, PAIR, MEMBER = 0, 1, 2  # (least set met, set); (set, set) of few; (crowded key, set)
 
 
 def _meet(part: pa.Table) -> pa.Table:
@@ -228,14 +228,16 @@ def _meet(part: pa.Table) -> pa.Table:
     rows: list[np.ndarray] = []
     leader = np.repeat(first, count - 1)
     member = np.concatenate([np.arange(f + 1, f + c) for f, c in zip(first, count)]) if len(first) else leader
-    rows.append(np.unique(np.stack([s[leader], s[member]], 1), axis=0))
-    pairs = []
-    for c in range(3, CROWDED + 1):  # the pairs without the least set
-        i, j = np.triu_indices(c - 1, 1)
+    order = np.lexsort((s[leader], s[member]))  # each set with the least of its leaders
+    a, b = s[leader][order], s[member][order]
+    once = np.concatenate([[True], b[1:] != b[:-1]]) if len(b) else np.zeros(0, bool)
+    rows.append(np.stack([a[once], b[once]], 1))
+    pairs = [np.zeros((0, 2), np.int64)]
+    for c in range(2, CROWDED + 1):
+        i, j = np.triu_indices(c, 1)
         at = first[count == c]
-        if len(at):
-            pairs.append(np.stack([s[at[:, None] + 1 + i].ravel(), s[at[:, None] + 1 + j].ravel()], 1))
-    rows.append(np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64))
+        pairs.append(np.stack([s[at[:, None] + i].ravel(), s[at[:, None] + j].ravel()], 1))
+    rows.append(np.unique(np.concatenate(pairs), axis=0))
     crowded = count > CROWDED
     inside = np.concatenate([np.arange(f, f + c) for f, c in zip(first[crowded], count[crowded])]) if crowded.any() else leader[:0]
     rows.append(np.stack([k[inside].view(np.int64), s[inside]], 1))
@@ -299,12 +301,12 @@ def jaccard_components(
         lambda part: _meet(part), CANDIDATE_SCHEMA
     )
     met = materialize(met, "candidates")
-    # One row stands for each set that takes part: that of the least id.
+    # One row stands for each set: that of the least id.
     least = sets.where("n_shingles > 0").groupBy("set").agg(F.min_by("spot", F.struct("doc_id", "spot")).alias("spot"))
-    asked = met.select(F.explode(F.when(F.col("kind") == MEMBER, F.array("b")).otherwise(F.array("a", "b"))).alias("set"))
-    reps = materialize(least.join(asked.distinct(), "set", "left_semi"), "set-reps")
+    reps = materialize(least, "set-reps")
 
-    links = verified(met.where(F.col("kind") == STAR), docs, reps, k, percent)
+    nearest = met.where(F.col("kind") == STAR).groupBy("b").agg(F.min("a").alias("a"))
+    links = verified(nearest, docs, reps, k, percent)
     labels = connected(links, "a", "b")
 
     def apart(pairs: DataFrame) -> DataFrame:
