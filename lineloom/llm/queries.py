@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprint, html, language, linededup, packing, quality, setjoin, topk
+from . import bpe, fingerprint, html, language, linededup, lm, packing, quality, setjoin, topk
 from .common import keyed_mod, table
 
 
@@ -74,6 +74,21 @@ def op6_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op7_lm(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    held_out = keyed_mod("doc_id", 5) == 1
+    scored, tokens = lm.score_corpus(docs, ~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op8_jaccard(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return setjoin.jaccard_components(docs).select("doc_id", "n_shingles", "component_id", "n_links")
@@ -103,6 +118,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_linededup": op5_linededup,
     "op6_bpe": op6_bpe,
+    "op7_lm": op7_lm,
     "op8_jaccard": op8_jaccard,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
