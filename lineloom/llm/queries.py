@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -91,7 +92,7 @@ def op7_lm(spark: SparkSession, d: str) -> DataFrame:
 
 def op8_jaccard(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return setjoin.jaccard_components(docs).select("doc_id", "n_shingles", "component_id", "n_links")
+    return setjoin.jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -122,6 +123,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op10_topk": """

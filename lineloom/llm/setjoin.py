@@ -286,10 +286,10 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent
 def jaccard_components(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85, bucket_keys: int = 400_000
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of every document.
+    """(doc_id, n_shingles, component_id, label, spot) of every document.
 
-    `n_links` counts the verified links of its set to other sets; links within
-    a component that were not needed to find it are not looked for.
+    `label` tells components apart where ids repeat or are null, and is null
+    without shingles; `spot` is a hash of id and text.
     """
     docs = spread(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
     docs = docs.withColumn("spot", F.xxhash64("doc_id", "text"))
@@ -328,23 +328,42 @@ def jaccard_components(
     across = across.where("a < b AND la <> lb").select("a", "b")
     pairs = apart(met.where(F.col("kind") == PAIR).select("a", "b").distinct()).unionByName(across)
     more = verified(pairs, docs, reps, k, percent)
-    every = links.unionByName(more)
     if not more.isEmpty():
-        labels = connected(every, "a", "b")
+        labels = connected(links.unionByName(more), "a", "b")
 
-    linked = every.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(F.count(F.lit(1)).alias("n_links"))
     placed = labels.withColumnRenamed("node", "set")
     in_set = sets.where("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"))
-    labelled = in_set.join(placed, "set", "left").join(linked, "set", "left")
-    labelled = materialize(
-        labelled.select("set", "least", F.coalesce("label", "set").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
-        "labelled",
-    )
+    labelled = in_set.join(placed, "set", "left").select("set", "least", F.coalesce("label", "set").alias("label"))
+    labelled = materialize(labelled, "labelled")
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = materialize(labelled.join(named, "label").select("set", "component_id", "n_links"), "named")
+    named = materialize(labelled.join(named, "label").select("set", "label", "component_id"), "named")
     return sets.join(named, "set", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "label",
+        "spot",
     )
+
+
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **rule: int) -> DataFrame:
+    """The rows of `docs` less near duplicates: of each component the row of the least id stays.
+
+    Documents without shingles stay. Of rows equal in id and text one stays; of
+    rows that share an id only, the one whose hash is least.
+    """
+    if "_spot" in docs.columns:
+        raise ValueError("the input already has a column _spot")
+    found = jaccard_components(docs, doc_id=doc_id, text=text, **rule)
+    some = found.where("n_shingles > 0").select("label", F.struct(F.col("doc_id"), F.col("spot")).alias("row"))
+    best = some.groupBy("label").agg(F.min("row").alias("row"))
+    rows = found.groupBy("spot").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("size"))
+    kept = rows.join(best.select(F.col("row.spot").alias("spot"), F.lit(True).alias("best")), "spot", "left")
+    kept = kept.where("best OR size = 0").select(F.col("spot").alias("_spot"), "n", "size")
+    kept = materialize(kept, "kept")
+    few = kept.count() <= 1_000_000  # 24 bytes each
+    spotted = docs.withColumn("_spot", F.xxhash64(F.col(doc_id).cast("long"), text))
+    joined = spotted.join(F.broadcast(kept) if few else kept, "_spot")
+    single = joined.where("n = 1 OR size = 0").select(*docs.columns)
+    repeated = joined.where("n > 1 AND size > 0").dropDuplicates(["_spot"]).select(*docs.columns)
+    return single.unionByName(repeated)
