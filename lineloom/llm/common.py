@@ -185,5 +185,5 @@ def range_of(key: str, points: list) -> Column:
     upto = lambda values: F.size(F.filter(values, lambda p: p <= F.col(key)))
     whole = F.array(*[F.lit(g[-1]) for g in groups])
     inner = F.get(F.array(*[F.array(*[F.lit(v) for v in g]) for g in groups]), upto(whole))
-    rest = F.when(upto(whole) < len(groups), upto(inner)).otherwise(0)
-    return F.when(F.col(key).isNull(), 0).otherwise(upto(whole) * wide + rest).cast("int")
+    part = F.when(upto(whole) < len(groups), upto(whole) * wide + upto(inner)).otherwise(len(points))
+    return F.when(F.col(key).isNull(), 0).otherwise(part).cast("int")
