@@ -37,6 +37,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"[^{WORD_BREAKS}]+ ?"), F.lit(0))
 
 
+def tokens_of(text: Column) -> Column:
+    """Words of a text, each with the one word-breaking character that may follow it."""
+    return F.regexp_extract_all(text, F.lit(f"[^{WORD_BREAKS}]+[{WORD_BREAKS}]?"), F.lit(0))
+
+
 def pieces_of(word: Column, window: int) -> Column:
     """A word, or overlapping pieces of a long one (encoded data, minified code).
 

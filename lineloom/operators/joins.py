@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import materialize
+
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def row_bytes(schema: T.StructType) -> Column:
@@ -24,17 +25,33 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))).first()[0]
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, spread_by: list[str], salts: int = SALTS
-) -> DataFrame:
-    """Equi-join that splits every key of the left side over `salts` tasks.
+def hot_keys(left: DataFrame, on: list[str], parts: int) -> DataFrame:
+    """(on, _salts): keys with more than one part in `parts` of the rows, at most `parts` of them.
+
+    A key gets four salts for each part it fills, so all together get about four
+    times `parts`.
+    """
+    counts = materialize(left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    salts = F.ceil(F.col("_n") * 4 * parts / max(total, 1)).cast("int")
+    return counts.where(F.col("_n") * parts > total).select(*on, salts.alias("_salts"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread_by: list[str]) -> DataFrame:
+    """Shuffled equi-join that splits the hot keys of the left side over many tasks.
 
-    The salt is a hash of `spread_by`, so a retried task computes it again.
-    The right side is copied once per salt.
+    Hot is a key with more rows than an even part of the shuffle; only the right
+    rows of such keys are copied, once per salt. The salt is a hash of
+    `spread_by`, so a retried task computes it again. The right side is never
+    broadcast, however small its files look.
     """
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left, on, parts))
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_salts")).cast("int"), F.lit(0))
+    left = left.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
+    return left.join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def keyed_join(

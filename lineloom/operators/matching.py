@@ -3,23 +3,29 @@
 "Text contains name" is not an equality, and joining every text with every
 name is out of the question. The way taken here has equi-joins only:
 
-1. every text is cut into words, and the *distinct* words are gathered. That is
-   one pass with map-side combining, and much smaller than the text;
+1. every text is cut into words, each with the word-breaking character that may
+   follow it, and the *distinct* words are gathered. That is one pass with
+   map-side combining, and much smaller than the text;
 2. each distinct word is compared with the names through a short piece both
    must share (for a name: the piece that fewest names have);
-3. the written (word, name) pairs, which are few, are joined with the words of
-   each text. They are broadcast if they are measured to be small, otherwise
-   the words are salted and shuffled.
-
-A name that contains a word-breaking character is looked up by its longest
-part, and the text is then checked for the whole name.
+3. the written (word, name) pairs are joined with the distinct words of each
+   text. They are broadcast if they are measured to be small, otherwise the
+   words are shuffled, hot words salted. Their number grows with the words
+   times the names each contains, so where only the first name counts,
+   `least_names` keeps one pair per word and kind.
+
+A name with a word-breaking character anywhere but at its end is looked up by
+its longest part, and the text is then checked for the whole name, once per
+text and name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import WORD_BREAKS, grams_of, pieces_of, words_of
+from ..functions.text import WORD_BREAKS, grams_of, pieces_of, tokens_of
 from ..session import materialize
 from .joins import BROADCAST_BYTES, keyed_join, measured_bytes, row_bytes
 
@@ -36,6 +42,56 @@ def _gram_size(needle: str):
     return size
 
 
+class _Search:
+    """What a search in `texts` for `patterns` needs before its two ways part."""
+
+    def __init__(self, texts: DataFrame, keys: list[str], text: str, patterns: DataFrame, wildcards: bool, bound: int):
+        self.texts, self.keys, self.text = texts, keys, text
+        self.wildcards, self.bound = wildcards, bound
+        self.payload = [c for c in patterns.columns if c != "pattern"]
+        self.prepared = _with_needles(patterns, wildcards)
+        self.facts = self.prepared.agg(
+            F.collect_set(_gram_size("needle")).alias("sizes"),
+            F.min(F.length("needle")).alias("shortest"),
+            F.max(F.length("needle")).alias("longest"),
+            F.sum(row_bytes(self.prepared.schema)).alias("bytes"),
+            F.bool_and("exact").alias("exact"),
+        ).first()
+        self.blank = [F.lit(None).cast(patterns.schema[c].dataType).alias(c) for c in self.payload]
+        self.empty = not self.facts["sizes"]
+
+    def words(self, columns: list[str]) -> DataFrame:
+        """(columns, word): the distinct words of each text, long runs in overlapping pieces."""
+        words = F.array_distinct(tokens_of(F.col(self.text)))
+        if 0 in self.facts["sizes"]:  # names with nothing to look up by: checked on every text
+            words = F.concat(words, F.array(F.lit("")))
+        window = max(MIN_WINDOW, self.facts["longest"])
+        cut = self.texts.select(*columns, F.explode(words).alias("run"))
+        return cut.select(*columns, F.explode(pieces_of(F.col("run"), window)).alias("word"))
+
+    def pairs(self) -> DataFrame:
+        vocabulary = self.words([]).where(F.length("word") >= self.facts["shortest"]).distinct()
+        return _word_pairs(vocabulary, self.prepared, self.facts, self.bound)
+
+    def joined(self, pairs: DataFrame) -> DataFrame:
+        return keyed_join(self.words(self.keys), pairs, ["word"], "inner", self.keys, bound=self.bound)
+
+    def checked(self, asked: DataFrame) -> DataFrame:
+        """Those of the distinct (keys, pattern, …) whose text contains the whole pattern."""
+        asked = materialize(asked, "open-hits")
+        aside = {k: f"_{k}" for k in self.keys}
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(aside[k])) for k in self.keys])
+        contains = _verifies(self.text, self.wildcards)
+        probe = self.texts.select(*self.keys, self.text)
+        if measured_bytes(asked) <= self.bound:
+            right = F.broadcast(asked.withColumnsRenamed(aside))
+            found = probe.join(right, same & contains)
+            return found.select(*self.keys, *[c for c in asked.columns if c not in self.keys])
+        wanted = asked.select(*self.keys).distinct().withColumnsRenamed(aside)
+        probe = probe.join(wanted, same, "left_semi").dropDuplicates(self.keys).withColumnsRenamed(aside)
+        return asked.join(probe, same & contains, "left_semi")
+
+
 def find_names(
     texts: DataFrame,
     keys: list[str],
@@ -43,7 +99,6 @@ def find_names(
     patterns: DataFrame,
     *,
     wildcards: bool = False,
-    keep_all: bool = False,
     bound: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows ``keys + pattern columns`` for every pattern a text contains.
@@ -52,63 +107,78 @@ def find_names(
     `patterns` has a column `pattern` (lower case) and whatever should come
     with it; it is read several times, so it should be a written table. With
     `wildcards` the characters ``_`` and ``%`` of a pattern work as in LIKE.
-    With `keep_all` a text without a hit gives a row of its keys and NULLs;
-    texts with hits may give such rows too, so aggregate afterwards.
 
     One hit may be given more than once for a text.
     """
-    payload = [c for c in patterns.columns if c != "pattern"]
-    prepared = _with_needles(patterns, wildcards)
-    facts = prepared.agg(
-        F.collect_set(_gram_size("needle")).alias("sizes"),
-        F.min(F.length("needle")).alias("shortest"),
-        F.max(F.length("needle")).alias("longest"),
-        F.sum(row_bytes(prepared.schema)).alias("bytes"),
-    ).first()
-    blank = [F.lit(None).cast(patterns.schema[c].dataType).alias(c) for c in payload]
-    if not facts["sizes"]:
-        bare = texts.select(*keys, *blank)
-        return bare if keep_all else bare.where(F.lit(False))
-
-    window = max(MIN_WINDOW, facts["longest"])
-    words = words_of(F.col(text))
-    if 0 in facts["sizes"]:  # names with nothing to look up by: checked on every text
-        words = F.concat(words, F.array(F.lit("")))
-
-    def spread(columns, explode=F.explode, of=words):
-        cut = texts.select(*columns, explode(of).alias("run"))
-        return cut.select(*columns, explode(pieces_of(F.col("run"), window)).alias("word"))
-
-    vocabulary = spread([]).where(F.length("word") >= facts["shortest"]).distinct()
-    pairs = materialize(_word_pairs(vocabulary, prepared, facts, bound), "word-pairs")
-    size = measured_bytes(pairs)
-
-    contains = _verifies(text, wildcards)
+    search = _Search(texts, keys, text, patterns, wildcards, bound)
+    if search.empty:
+        return texts.select(*keys, *search.blank).where(F.lit(False))
+    joined = search.joined(materialize(search.pairs(), "word-pairs"))
+    if search.facts["exact"]:
+        return joined.select(*keys, *search.payload)
+    joined = materialize(joined.select(*keys, "exact", "pattern", *search.payload).distinct(), "hits")
+    sure = joined.where("exact").select(*keys, *search.payload)
+    open_hits = joined.where("NOT exact").drop("exact")
+    return sure.unionByName(search.checked(open_hits).select(*keys, *search.payload))
+
+
+def least_names(
+    texts: DataFrame,
+    keys: list[str],
+    text: str,
+    patterns: DataFrame,
+    *,
+    kinds: list[str],
+    wildcards: bool = False,
+    bound: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(keys, one column per kind): the least `place` of the patterns of a kind that a text contains.
+
+    `patterns` is (pattern, kind, place), a written table; the rest is as for
+    `find_names`. Every text gives at least one row, with NULL for a kind that it
+    has none of; take the least again after grouping. A word keeps the first of
+    the names in it only, so the pairs are no more than words times kinds, and
+    a name that needs a look at the text is looked for only where it would come
+    before what is known.
+    """
+    search = _Search(texts, keys, text, patterns, wildcards, bound)
+    none = [F.lit(None).cast("long").alias(k) for k in kinds]
+    if search.empty:
+        return texts.select(*keys, *none)
+    firsts = lambda rows: [F.min(F.when(F.col("kind") == k, F.col("place"))).alias(k) for k in kinds]
+    every = search.pairs()
+    if not search.facts["exact"]:
+        every = materialize(every, "word-pairs")
+    exact = every.where("exact").groupBy("word").agg(*firsts(every))
+    exact = materialize(exact, "first-pairs")
+    by_word = search.words(keys)
+    size = measured_bytes(exact)
     if size <= bound:
-        by_word = spread([*keys, text], F.explode_outer if keep_all else F.explode)
-        held = (by_word["word"] == pairs["word"]) & (pairs["exact"] | contains)
-        joined = by_word.join(F.broadcast(pairs), held, "left" if keep_all else "inner")
-        return joined.select(*keys, *payload)
-
-    by_word = spread(keys, of=F.array_distinct(words))  # each word of a text is shuffled once
-    joined = keyed_join(by_word, pairs, ["word"], "inner", keys, bound=bound, right_bytes=size)
-    sure = joined.where("exact").select(*keys, *payload)
-    # The whole text did not travel with its words, so it is fetched by key for
-    # the few names that need a look at it.
-    open_hits = joined.where("NOT exact").select(*keys, "pattern", *payload).distinct()
-    aside = {k: f"_{k}" for k in keys}
-    same = [F.col(k).eqNullSafe(F.col(aside[k])) for k in keys]
-    asked = open_hits.select(*keys).distinct().withColumnsRenamed(aside)
-    probe = texts.select(*keys, text).join(asked, same, "left_semi").dropDuplicates(keys).withColumnsRenamed(aside)
-    checked = open_hits.join(probe, [*same, contains], "left_semi").select(*keys, *payload)
-    hits = sure.unionByName(checked)
-    return hits.unionByName(texts.select(*keys, *blank)) if keep_all else hits
+        sure = by_word.join(F.broadcast(exact), "word", "left").select(*keys, *kinds)
+    else:
+        found = keyed_join(by_word, exact, ["word"], "inner", keys, bound=bound, right_bytes=size)
+        sure = found.select(*keys, *kinds).unionByName(texts.select(*keys, *none))
+    if search.facts["exact"]:
+        # Texts without a word give no row above.
+        return sure.unionByName(texts.where(F.coalesce(F.size(tokens_of(F.col(text))), F.lit(0)) == 0).select(*keys, *none))
+    sure = sure.unionByName(texts.select(*keys, *none)).groupBy(*keys).agg(*[F.min(k).alias(k) for k in kinds])
+    sure = materialize(sure, "sure")
+    open_pairs = materialize(every.where("NOT exact").select("word", "pattern", "kind", "place"), "open-pairs")
+    asked = search.joined(open_pairs).select(*keys, "pattern", "kind", "place").distinct()
+    known = reduce(lambda out, k: F.when(F.col("kind") == k, F.col(f"_of_{k}")).otherwise(out), kinds, F.lit(None))
+    aside = sure.withColumnsRenamed({**{k: f"_key_{k}" for k in keys}, **{k: f"_of_{k}" for k in kinds}})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    asked = asked.join(aside, same, "left").where(known.isNull() | (F.col("place") < known))
+    hits = search.checked(asked.select(*keys, "pattern", "kind", "place"))
+    each = [F.when(F.col("kind") == k, F.col("place")).alias(k) for k in kinds]
+    return sure.unionByName(hits.select(*keys, *each))
 
 
 def _with_needles(patterns: DataFrame, wildcards: bool) -> DataFrame:
     """Add `needle`, what a word must contain, and `exact`, whether that is all."""
     special = WORD_BREAKS + ("_%" if wildcards else "")
-    body = F.regexp_replace("pattern", r" \z", "")
+    # A word comes with the character that follows it, so one break at the end is no matter.
+    body = F.regexp_replace("pattern", rf"[{WORD_BREAKS}]\z", "")
     parts = F.split(body, f"[{special}]+")
     longest = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
     exact = (body != "") & ~body.rlike(f"[{special}]")

@@ -8,7 +8,7 @@ from ..functions.names import is_csv_name, job_key, last_segment, short_name
 from ..functions.text import WRITE_WORDS, lines_of, mentions_any
 from ..operators.entities import TABLE, FILE, JOB, make_entity
 from ..operators.joins import BROADCAST_BYTES, keyed_join, measured_bytes
-from ..operators.matching import find_names
+from ..operators.matching import find_names, least_names
 from ..operators.tree import scripts_of, walk_tree
 from ..session import materialize
 
@@ -94,10 +94,9 @@ def first_match(
     """
     catalogue = _catalogue(asset_list if kind == SOURCE else None, asset_list if kind == TARGET else None)
     texts = _unit_keys(_lowered(scripts, wildcards))
-    hits = find_names(
-        texts, ["path", "unit"], "text", catalogue.select("pattern", "place"), wildcards=wildcards, bound=bound
-    )
-    first = hits.groupBy("path").agg(F.min("place").alias("place"))
+    patterns = catalogue.select("pattern", "kind", "place")
+    hits = least_names(texts, ["path", "unit"], "text", patterns, kinds=[kind], wildcards=wildcards, bound=bound)
+    first = hits.where(F.col(kind).isNotNull()).groupBy("path").agg(F.min(kind).alias("place"))
     return _name_of(first, catalogue, "place", kind, measured_bytes(catalogue), bound)
 
 
@@ -143,21 +142,21 @@ def lineage_map(
     catalogue = _catalogue(files, tables)
     size = measured_bytes(catalogue)
     texts = _unit_keys(_lowered(scripts.select("path", "text", "writes"), wildcards))
-    hits = find_names(
+    hits = least_names(
         texts,
         ["path", "unit", "writes"],
         "text",
         catalogue.select("pattern", "kind", "place"),
+        kinds=[SOURCE, TARGET],
         wildcards=wildcards,
-        keep_all=True,
         bound=bound,
     )
     mapped = (
         hits.groupBy("path")
         .agg(
             F.bool_or("writes").alias("writes"),
-            F.min(F.when(F.col("kind") == SOURCE, F.col("place"))).alias("source_place"),
-            F.min(F.when(F.col("kind") == TARGET, F.col("place"))).alias("target_place"),
+            F.min(SOURCE).alias("source_place"),
+            F.min(TARGET).alias("target_place"),
         )
         .where("writes")
         .drop("writes")

@@ -32,7 +32,6 @@ _ASSET_FILE = """
 asset_file AS (
   SELECT DISTINCT name, 'cat://test/f/' || name AS qualified_name
   FROM (SELECT unnest(regexp_extract_all(lower(html), 'href="/([^"/]+)"', 1)) AS name FROM pages)
-  WHERE length(name) >= 8
 )"""
 _WRITING = """
 writing AS (

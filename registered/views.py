@@ -32,10 +32,10 @@ def asset_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Local link targets of at least eight characters, as file names."""
+    """Local link targets, as file names."""
     pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     links = F.regexp_extract_all(F.lower("html"), F.lit('href="/([^"/]+)"'), F.lit(1))
-    names = pages.select(F.explode(links).alias("name")).where(F.length("name") >= 8).distinct()
+    names = pages.select(F.explode(links).alias("name")).distinct()
     return names.select("name", F.concat(F.lit("cat://test/f/"), "name").alias("qualified_name"))
 
 

@@ -260,4 +260,18 @@ def test_broadcast_only_what_fits(spark):
     size = measured_bytes(right)
     assert size == 1600
     plan = lambda bound: keyed_join(left, right, ["k"], "inner", ["k"], bound=bound)._jdf.queryExecution().logical().toString()
-    assert "strategy=broadcast" in plan(size) and "strategy=broadcast" not in plan(size - 1)
+    # Beyond the bound only the list of hot keys is sent to every task.
+    assert plan(size).count("strategy=broadcast") == 1 and "strategy=merge" not in plan(size)
+    assert "strategy=merge" in plan(size - 1)
+
+
+def test_compressible_side_above_the_bound_is_not_broadcast(spark, tmp_path):
+    """A side whose files are far smaller than its rows, under the default settings."""
+    spark.range(200_000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 200).alias("v")).write.parquet(str(tmp_path / "r"))
+    right = spark.read.parquet(str(tmp_path / "r"))
+    left = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
+    joined = keyed_join(left, right, ["k"], "inner", ["id"], bound=1 << 20)
+    assert joined.count() == 1000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    broadcasts = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert "SortMergeJoin" in plan and all("_salt" not in line.split("BuildRight")[0] for line in broadcasts)
