@@ -27,7 +27,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import map_arrow, parts_for
 
-CANDIDATES, QUERIES, STEPS = 4096, 512, 16
+CANDIDATES, QUERIES = 4096, 512
+PORTIONS = 8  # in which the lists are read
+ENOUGH = 20  # times k rows left open are resolved at once
 
 
 def whole_numbers(vectors: DataFrame, *, key: str, vector: str, scale: int = 256) -> DataFrame:
@@ -57,57 +59,68 @@ def _blocks(rows: DataFrame, n: int, name: str) -> DataFrame:
     return rows.withColumn(name, block).groupBy(name).applyInArrow(pack, f"{name} int, ids binary, ints binary, width int")
 
 
-def best_of_block(query: np.ndarray, own: int, ids: np.ndarray, matrix: np.ndarray, lists: np.ndarray, k: int):
-    """(positions, scores) of the k best candidates of a block, ties to the smaller id.
+def best_of_block(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, matrix: np.ndarray, k: int):
+    """For each query (positions, scores) of the k best candidates of a block, ties to the smaller id.
 
-    `lists[c]` holds the rows by rising component c; `ids` rise.
+    All queries read the lists in step, a portion of every list at a time; the
+    sums over what is read are matrix products. Each query stops by itself.
     """
     n, width = matrix.shape
-    barred = ids == own
-    k = min(k, n - int(barred.sum()))
-    if k < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    used = np.flatnonzero(query)
-    weight = query[used]
-    lowest = np.where(weight > 0, matrix[lists[used, 0], used], matrix[lists[used, -1], used]) * weight
-    known = np.zeros(n, np.int64)
-    seen = np.zeros((n, len(used)), bool)
-    open_rows = np.flatnonzero(~barred)
-    step = max(k, -(-n // STEPS))
-    for at in range(0, n, step):
-        last = np.empty(len(used), np.int64)
-        for j, c in enumerate(used):
-            rows = lists[c, at : at + step] if weight[j] < 0 else lists[c, n - at - step if n > at + step else 0 : n - at]
-            added = matrix[rows, c] * weight[j]
-            known[rows] += added
-            seen[rows, j] = True
-            last[j] = added[-1] if weight[j] < 0 else added[0]
-        some = seen[open_rows]
-        # Sums over the components not read, as floats are exact here up to 2**53.
-        lower = known[open_rows] + (lowest.sum() - some @ lowest.astype(float)).astype(np.int64)
-        upper = known[open_rows] + (last.sum() - some @ last.astype(float)).astype(np.int64)
-        bar = np.partition(lower, len(lower) - k)[len(lower) - k]
-        open_rows = open_rows[upper >= bar]
-        if len(open_rows) <= 8 * k:
+    # Products and sums of whole numbers are exact as floats up to 2**53.
+    largest = int(np.abs(matrix).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, width)
+    kind = np.float64 if largest < 1 << 53 else np.int64
+    lists = np.argsort(matrix, axis=0, kind="stable")  # rows by rising value of each component
+    v, columns = matrix.astype(kind), np.arange(width)
+    up, down = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
+    least, most = v.min(0), v.max(0)
+    from_top, from_end = np.zeros((n, width), kind), np.zeros((n, width), kind)  # 1 for what is read
+    out: list = [None] * len(queries)
+    going = np.arange(len(queries))
+    read = 0
+    for part in range(1, PORTIONS + 1):
+        upto = n * part // PORTIONS
+        from_top[lists[n - upto : n - read], columns] = 1
+        from_end[lists[read:upto], columns] = 1
+        read = upto
+        if not read:
+            continue
+        u, d = up[going], down[going]
+        known = u @ (v * from_top).T + d @ (v * from_end).T
+        rest_top, rest_end = (1 - from_top).T, (1 - from_end).T
+        lower = known + (u * least) @ rest_top + (d * most) @ rest_end
+        last_top, last_end = v[lists[n - read], columns], v[lists[read - 1], columns]
+        upper = known + (u * last_top) @ rest_top + (d * last_end) @ rest_end
+        barred = own[going][:, None] == ids
+        bottom = np.finfo(kind).min if kind is np.float64 else np.iinfo(kind).min
+        lower[barred] = bottom
+        kth = min(k, n)
+        bar = np.partition(lower, n - kth, axis=1)[:, n - kth, None]
+        still = (upper >= bar) & ~barred
+        done = (still.sum(1) <= ENOUGH * k) | (read == n)
+        for q in np.flatnonzero(done):
+            rows = np.flatnonzero(still[q])
+            scores = matrix[rows] @ queries[going[q]]
+            order = np.lexsort((ids[rows], -scores))[:k]
+            out[going[q]] = (rows[order], scores[order])
+        going = going[~done]
+        if not len(going):
             break
-    scores = matrix[open_rows] @ query
-    order = np.lexsort((ids[open_rows], -scores))[:k]
-    return open_rows[order], scores[order]
+    return out
 
 
 def _search(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
     found: list[tuple[int, int, int]] = []
     for row in batch.to_pylist():
         ids = np.frombuffer(row["ids"], np.int64)
-        queries = np.frombuffer(row["query_ids"], np.int64)
+        own = np.frombuffer(row["query_ids"], np.int64)
         width = max(row["width"], row["query_width"], 1)
         widened = lambda raw, count, w: np.pad(np.frombuffer(raw, np.int64).reshape(count, w), ((0, 0), (0, width - w)))
         matrix = widened(row["ints"], len(ids), row["width"])
-        asked = widened(row["query_ints"], len(queries), row["query_width"])
-        lists = np.ascontiguousarray(np.argsort(matrix, axis=0, kind="stable").T)
-        for q, vector in zip(queries.tolist(), asked):
-            rows, scores = best_of_block(vector, q, ids, matrix, lists, k)
-            found += zip([q] * len(rows), ids[rows].tolist(), scores.tolist())
+        queries = widened(row["query_ints"], len(own), row["query_width"])
+        for lo in range(0, len(own), 128):
+            best = best_of_block(queries[lo : lo + 128], own[lo : lo + 128], ids, matrix, k)
+            for q, (rows, scores) in zip(own[lo : lo + 128].tolist(), best):
+                found += zip([q] * len(rows), ids[rows].tolist(), scores.tolist())
     columns = list(zip(*found)) or [[], [], []]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
 
