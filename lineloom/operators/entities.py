@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import column_key, entity_guid, table_key
+from ..session import materialize
 
 # Default type names; every operator takes others.
 TABLE, COLUMN, JOB, FILE, TERM = "table", "column", "job", "file", "glossary_term"
 
+ENDS = "array<struct<type_name:string,qualified_name:string,guid:string>>"
 REFERENCES = "array<struct<name:string,type_name:string,qualified_name:string,guid:string>>"
 
 
@@ -20,9 +22,13 @@ def make_entity(
     name: Column,
     attributes: dict[str, Column],
     relationships: Column | None = None,
-    keep: list[str] = (),
+    inputs: Column | None = None,
+    outputs: Column | None = None,
 ) -> DataFrame:
-    """Rows of the entity table, one per input row."""
+    """Rows of the entity table, one per input row.
+
+    All kinds share one schema; `inputs` and `outputs` are NULL but for processes.
+    """
     pairs = [part for key, value in attributes.items() for part in (F.lit(key), value.cast("string"))]
     packed = F.create_map(*pairs) if pairs else F.create_map()
     related = F.array() if relationships is None else relationships
@@ -32,7 +38,8 @@ def make_entity(
         name.alias("name"),
         packed.cast("map<string,string>").alias("attributes"),
         related.cast(REFERENCES).alias("relationships"),
-        *keep,
+        (F.lit(None) if inputs is None else inputs).cast(ENDS).alias("inputs"),
+        (F.lit(None) if outputs is None else outputs).cast(ENDS).alias("outputs"),
     ).withColumn("guid", entity_guid("type_name", "qualified_name"))
 
 
@@ -126,12 +133,17 @@ def upsert(
     """Replace rows of `current` (unique by `keys`) by those of `updates`.
 
     The whole row is replaced. If `updates` may hold a key more than once,
-    `order` says which row is newest. `current` is not regrouped: the rows with
-    a new version are dropped by an anti join and the new rows appended.
+    `order` says which row is newest; without it such a key is an error. The new
+    rows are written once. `current` is not regrouped: the rows with a new
+    version are dropped by an anti join and the new rows appended.
     """
     keys = list(keys)
-    fresh = updates if order is None else latest(updates, keys, order)
-    kept = current.join(updates.select(*keys).distinct(), keys, "left_anti")
+    fresh = materialize(updates if order is None else latest(updates, keys, order), "fresh")
+    if order is None:
+        twice = fresh.groupBy(*keys).count().where("count > 1").select(*keys).first()
+        if twice is not None:
+            raise ValueError(f"more than one new row for {tuple(twice)}; say by `order` which is newest")
+    kept = current.join(fresh.select(*keys), keys, "left_anti")
     return kept.unionByName(fresh)
 
 

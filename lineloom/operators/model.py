@@ -7,35 +7,59 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .entities import COLUMN, JOB, TABLE
 from .joins import keyed_join
 
-TYPE_SCHEMA = (
-    "type_name string, super_types array<string>, "
-    "attributes array<struct<name:string,default:string,required:boolean>>"
-)
-RELATION_SCHEMA = (
-    "name string, category string, parent_type string, parent_field string, parent_cardinality string, "
-    "child_type string, child_field string, child_cardinality string"
-)
-
-# Attributes of the entity types, as (name, default, required).
+ATTRIBUTES = "array<struct<name:string,default:string,required:boolean>>"
+RELATION_COLUMNS = (
+    "name category parent_type parent_field parent_cardinality parent_container "
+    "child_type child_field child_cardinality child_container"
+).split()
+
+# Attributes of the entity types, as (name, default, required), and their options.
 TYPES = [
     (
         TABLE,
         ["DataSet"],
         [("format", "parquet", False), ("location", None, False), ("num_files", None, False), ("size", None, False)],
+        {"schemaElementAttribute": "columns"},
     ),
     (COLUMN, ["DataSet"], [("data_type", None, False)]),
     (JOB, ["Process"], [("job_type", None, True), ("notebook_path", None, False), ("schedule", "adHoc", False)]),
 ]
 # Columns are part of exactly one table.
-RELATIONS = [("column_to_table", "COMPOSITION", TABLE, "columns", "SET", COLUMN, "table", "SINGLE")]
+RELATIONS = [("column_to_table", "COMPOSITION", TABLE, "columns", "SET", True, COLUMN, "table", "SINGLE", False)]
+
+
+def _text(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _array(values: list[str], kind: str) -> str:
+    return f"CAST(array({', '.join(values)}) AS {kind})"
 
 
 def type_table(spark: SparkSession, definitions=TYPES) -> DataFrame:
-    return spark.createDataFrame(definitions, TYPE_SCHEMA)
+    """(type_name, super_types, attributes, options); options may be left out of a definition.
+
+    Written as VALUES, so that a plan with it holds constants and no scan.
+    """
+    rows = []
+    for name, supers, attributes, *rest in definitions:
+        fields = [f"struct({_text(n)}, {_text(d)}, {str(bool(r)).lower()})" for n, d, r in attributes]
+        options = [_text(x) for pair in (rest[0] if rest else {}).items() for x in pair]
+        held = f"CAST(map({', '.join(options)}) AS map<string,string>)"
+        rows.append(f"({_text(name)}, {_array([_text(x) for x in supers], 'array<string>')}, {_array(fields, ATTRIBUTES)}, {held})")
+    if not rows:
+        return spark.createDataFrame([], f"type_name string, super_types array<string>, attributes {ATTRIBUTES}, options map<string,string>")
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(type_name, super_types, attributes, options)")
 
 
 def relation_table(spark: SparkSession, definitions=RELATIONS) -> DataFrame:
-    return spark.createDataFrame(definitions, RELATION_SCHEMA)
+    """One row per relation, by `RELATION_COLUMNS`; a container flag tells which end holds the other."""
+    value = lambda x: str(x).lower() if isinstance(x, bool) else _text(x)
+    rows = [f"({', '.join(value(x) for x in d)})" for d in definitions]
+    if not rows:
+        kinds = ["boolean" if c.endswith("container") else "string" for c in RELATION_COLUMNS]
+        return spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in zip(RELATION_COLUMNS, kinds)))
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(RELATION_COLUMNS)})")
 
 
 def check_types(entities: DataFrame, types: DataFrame) -> DataFrame:
@@ -91,7 +115,31 @@ def composition_faults(children: DataFrame, parents: DataFrame, child: str, pare
     `children` is (child, parent) with a row per claimed link; `parents` has
     the column `parent` once per parent.
     """
+    counted = _parents(children, parents, child, parent)
+    return counted.where(F.col("parents") != 1)
+
+
+def _parents(children: DataFrame, parents: DataFrame, child: str, parent: str) -> DataFrame:
     known = parents.select(F.col(parent).alias("_known"))
     linked = children.join(known, F.col(parent) == F.col("_known"), "left")
-    counted = linked.groupBy(child).agg(F.count("_known").alias("parents"))
-    return counted.where(F.col("parents") != 1)
+    return linked.groupBy(child).agg(F.count("_known").alias("parents"))
+
+
+def relation_faults(
+    links: DataFrame, relations: DataFrame, relation: str, parents: DataFrame, child: str, parent: str
+) -> DataFrame:
+    """Children that break a relation as the table of relations defines it: (child, parents).
+
+    A child of a composition needs a parent; where the child's end is SINGLE it
+    may not have more than one. The rest is as for `composition_faults`.
+    """
+    rule = relations.where(F.col("name") == relation).select("category", "child_cardinality").first()
+    if rule is None:
+        raise ValueError(f"no relation {relation}")
+    counted = _parents(links, parents, child, parent)
+    fault = F.lit(False)
+    if rule.category == "COMPOSITION":
+        fault = fault | (F.col("parents") < 1)
+    if rule.child_cardinality == "SINGLE":
+        fault = fault | (F.col("parents") > 1)
+    return counted.where(fault)

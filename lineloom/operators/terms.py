@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.names import GLOSSARY_SUFFIX
+from ..functions.names import GLOSSARY_SUFFIX, term_key
 from .entities import TERM
 
 
@@ -36,7 +36,7 @@ def assign_terms(tables: DataFrame, entities: DataFrame, terms: list[str], *, ty
 def missing_terms(entities: DataFrame, terms: list[str], *, type_name: str = TERM) -> DataFrame:
     """Listed terms the catalog does not have."""
     spark = entities.sparkSession
-    listed = spark.createDataFrame([(t + GLOSSARY_SUFFIX,) for t in sorted(set(terms))], "term string")
+    listed = spark.createDataFrame([(t,) for t in sorted(set(terms))], "term string").select(term_key("term").alias("term"))
     return listed.join(_term_guids(entities, terms, type_name), "term", "left_anti")
 
 

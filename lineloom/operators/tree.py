@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import materialize
 from .joins import BROADCAST_BYTES, keyed_join, measured_bytes
 
+# The kinds of a listing that are walked.
 FOLDER, SCRIPT = "DIRECTORY", "NOTEBOOK"
 
 
@@ -25,6 +26,7 @@ def walk_tree(listing: DataFrame, root: str, *, bound: int = BROADCAST_BYTES) ->
         .withColumn("depth", F.size(F.split(below, "/")))
         .withColumn("parent", F.regexp_extract("path", r"(?s)\A(.*)/", 1))
     )
+    rows = materialize(rows, "listed")
     parents = rows.where("depth > 1").select("parent", (F.col("depth") - 1).alias("above")).distinct()
     segments = F.split(F.substring("parent", F.lit(len(root) + 2), F.length("parent")), "/")
     ancestors = F.transform(

@@ -227,6 +227,21 @@ def resolve_processes(
     return complete.join(sources, "source").join(targets, "target")
 
 
+def unresolved_processes(
+    mapping: DataFrame, entities: DataFrame, *, source_type: str = FILE, target_type: str = TABLE
+) -> DataFrame:
+    """Complete mapping rows that `resolve_processes` leaves out, and which ends are entities."""
+    complete = mapping.where("source IS NOT NULL AND target IS NOT NULL")
+
+    def known(kind: str, key: str) -> DataFrame:
+        found = entities.where(F.col("type_name") == kind).select(F.col("qualified_name").alias(key))
+        return found.distinct().withColumn(f"{key}_known", F.lit(True))
+
+    joined = complete.join(known(source_type, "source"), "source", "left").join(known(target_type, "target"), "target", "left")
+    flags = [F.coalesce(f"{k}_known", F.lit(False)).alias(f"{k}_known") for k in ("source", "target")]
+    return joined.select("path", "source", "target", *flags).where("NOT (source_known AND target_known)")
+
+
 def job_entities(
     processes: DataFrame,
     *,
@@ -242,16 +257,14 @@ def job_entities(
             F.struct(F.lit(kind).alias("type_name"), F.col(key).alias("qualified_name"), F.col(guid).alias("guid"))
         )
 
-    jobs = processes.withColumn("inputs", reference(source_type, "source", "source_guid")).withColumn(
-        "outputs", reference(target_type, "target", "target_guid")
-    )
     return make_entity(
-        jobs,
+        processes,
         type_name,
         qualified_name=job_key("path", domain=domain, scheme=scheme),
         name=last_segment("path"),
         attributes={"job_type": F.lit("notebook"), "notebook_path": F.col("path")},
-        keep=["inputs", "outputs"],
+        inputs=reference(source_type, "source", "source_guid"),
+        outputs=reference(target_type, "target", "target_guid"),
     )
 
 

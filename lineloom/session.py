@@ -20,17 +20,19 @@ _local_scratch: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings; on a cluster, start shuffles with three partitions per core.
+def tune(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """Apply the settings; on a cluster, start shuffles with enough partitions.
 
     Adaptive execution merges small partitions but does not add any, so a
-    large cluster has to begin with enough of them.
+    large cluster has to begin with enough of them: `partitions` if given (take
+    the input's size over 128 MB where executors come and go), else three per
+    core seen now.
     """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     context = spark.sparkContext
-    wanted = 3 * context.defaultParallelism
-    if not context.master.startswith("local") and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    wanted = partitions or (0 if context.master.startswith("local") else 3 * context.defaultParallelism)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
@@ -58,8 +60,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the scratch root; never reused."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch root, never reused; `drop_scratch` deletes it."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -70,7 +74,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -80,9 +83,11 @@ def drop_scratch(spark: SparkSession) -> int:
 
     Results computed from them must have been stored by then.
     """
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+    app = spark.sparkContext.applicationId
+    paths = _written.pop(app, [])
+    made = _local_scratch.pop(app, None)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
+    for path in [*paths, *([made] if made else [])]:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
     return len(paths)

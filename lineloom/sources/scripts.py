@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import lines_of
@@ -16,26 +18,40 @@ def _text(spark: SparkSession, root: str, pattern: str | None):
     return reader.option("pathGlobFilter", pattern) if pattern else reader
 
 
+def _file_path():
+    """The file's path as it was written; Spark gives it with percent escapes.
+
+    A plus stands for itself there, which `url_decode` would read as a space.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_scripts(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
     """(path, text), one row per file in any depth. For files that fit a row."""
     files = _text(spark, root, pattern).text(root, wholetext=True)
-    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return files.select(_file_path().alias("path"), F.col("value").alias("text"))
 
 
 def read_script_lines(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
     """(path, text), one row per line. Large files are split between tasks."""
     lines = _text(spark, root, pattern).text(root)
-    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return lines.select(_file_path().alias("path"), F.col("value").alias("text"))
+
+
+# Scheme and authority of a path.
+_PREFIX = r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?/*"
 
 
 def listed_paths(scripts: DataFrame, export_root: str, prefix: str = "") -> DataFrame:
     """Turn file paths below an export folder into the listing's paths.
 
-    The export root gives way to `prefix` and the file extension goes.
+    The export root gives way to `prefix` and the file extension goes. A path
+    outside the root fails the query.
     """
-    base = export_root.split("://", 1)[-1].rstrip("/")
-    inside = F.regexp_extract("path", rf"(?s)\Q{base}\E(/.*?)(\.[^./]*)?\z", 1)
-    return scripts.withColumn("path", F.concat(F.lit(prefix), inside))
+    base = re.sub(rf"\A{_PREFIX}", "", export_root).rstrip("/").replace("\\E", r"\E\\E\Q")
+    inside = F.regexp_extract("path", rf"(?s)\A{_PREFIX}\Q{base}\E(/.*?)(\.[^./]*)?\z", 1)
+    stray = F.raise_error(F.concat(F.lit(f"not below {export_root}: "), F.col("path")))
+    return scripts.withColumn("path", F.when(inside == "", stray).otherwise(F.concat(F.lit(prefix), inside)))
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
@@ -53,14 +69,46 @@ def number_lines(scripts: DataFrame) -> DataFrame:
     return scripts.select("path", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
 
 
-def read_listing(spark: SparkSession, root: str) -> DataFrame:
-    """Objects of saved listing bodies, one JSON document per line."""
-    return unpack_objects(spark.read.schema(LISTING_SCHEMA).json(root))
+def read_listing(spark: SparkSession, root: str, *, multiline: bool = False, on_fault: str = "fail") -> DataFrame:
+    """Objects of saved listing bodies: one JSON document per line, or per file with `multiline`."""
+    reader = spark.read.option("columnNameOfCorruptRecord", "corrupt").option("multiLine", str(multiline).lower())
+    bodies = reader.schema(f"{LISTING_SCHEMA}, {_FAULT_FIELDS}").json(root)
+    return _objects(bodies, F.col("corrupt"), on_fault)
+
+
+def parse_listing(bodies: DataFrame, column: str = "body", *, on_fault: str = "fail") -> DataFrame:
+    """Objects of listing bodies held as JSON strings, indented or not.
+
+    A body that is no JSON object, or is a service's error, fails the query;
+    with `on_fault` = "skip" it gives no row, and `listing_faults` reports it.
+    """
+    return _objects(_parsed(bodies, column).select("b.*"), F.col("corrupt"), on_fault)
+
+
+def listing_faults(bodies: DataFrame, column: str = "body") -> DataFrame:
+    """(body, fault): bodies that `parse_listing` cannot take, and why."""
+    found = _parsed(bodies, column).select(F.col(column).alias("body"), "b.*")
+    return found.withColumn("fault", _fault(F.col("corrupt"))).where("fault IS NOT NULL").select("body", "fault")
+
+
+_FAULT_FIELDS = "error_code string, message string, corrupt string"
+
+
+def _parsed(bodies: DataFrame, column: str) -> DataFrame:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+    missing = F.coalesce(F.col(column), F.lit("null"))
+    return bodies.withColumn("b", F.from_json(missing, f"{LISTING_SCHEMA}, {_FAULT_FIELDS}", options))
+
+
+def _fault(corrupt):
+    error = F.concat(F.lit("error "), "error_code", F.coalesce(F.concat(F.lit(": "), "message"), F.lit("")))
+    return F.when(corrupt.isNotNull(), F.concat(F.lit("malformed: "), F.left(corrupt, F.lit(200)))).otherwise(error)
 
 
-def parse_listing(bodies: DataFrame, column: str = "body") -> DataFrame:
-    """Objects of listing bodies held as JSON strings."""
-    return unpack_objects(bodies.select(F.from_json(column, LISTING_SCHEMA).alias("b")).select("b.objects"))
+def _objects(bodies: DataFrame, corrupt, on_fault: str) -> DataFrame:
+    fault = _fault(corrupt)
+    stop = F.raise_error(F.concat(F.lit("listing body, "), fault)) if on_fault == "fail" else F.lit(None)
+    return unpack_objects(bodies.select(F.when(fault.isNotNull(), stop).otherwise(F.col("objects")).alias("objects")))
 
 
 def unpack_objects(bodies: DataFrame) -> DataFrame:
