@@ -1,7 +1,7 @@
 """Line deduplication: segment-partition edit join, in DataFrame functions only.
 
 A line goes if an earlier line, by (doc_id, place in the text), is within
-`edits` edits of it. Lines are compared without blanks at their ends; lines
+`edits` edits of it. Lines are compared without spaces at their ends; lines
 under `least` characters always stay, and lines under `least_near` characters go
 only for an equal line.
 
@@ -38,25 +38,34 @@ FEW_ROWS = 1_000_000
 FIRST_ID = -(1 << 63)
 
 
-def segment_keys(line: Column, edits: int) -> Column:
-    """Array of (key, own): keys of a line's own segments and of those it may hold of other lines."""
-    n, parts = F.length(line), edits + 1
-    keys = []
+def keyed_lines(lines: DataFrame, edits: int) -> DataFrame:
+    """(line, id, key, own) of (line, size, id): the keys of each line's own segments, and of those
+    that it may hold of other lines.
+
+    Pieces are taken from the line in UTF-32, where they are found without
+    counting through the characters before them. Lines have at least
+    `shortest(edits)` characters, so every place tried is inside the line.
+    """
+    parts = edits + 1
+    places, sizes, keys = {}, {}, []
     for shorter in range(edits + 1):
-        length = n - shorter
-        base, rest = F.floor(length / parts).cast("int"), (length % parts).cast("int")
+        base, rest = F.expr(f"(size - {shorter}) div {parts}").cast("int"), (F.col("size") - shorter) % parts
         for i in range(1, parts + 1):
-            size = base + F.when(rest > parts - i, 1).otherwise(0)
-            start = base * (i - 1) + F.greatest(F.lit(0), F.lit(i - 1 - parts) + rest) + 1
-            low = max(-(i - 1), shorter - (parts - i))
-            high = min(i - 1, shorter + parts - i)
-            for shift in range(low, high + 1):
-                at = start + shift
-                key = F.xxhash64(length, F.lit(i), F.substring(line, at, size))
-                inside = (at >= 1) & (at + size - 1 <= n)
-                own = F.lit(shorter == 0 and shift == 0)
-                keys.append(F.when(inside, F.struct(key.alias("key"), own.alias("own"))))
-    return F.array_compact(F.array(*keys))
+            sizes[f"n{shorter}_{i}"] = (base + F.when(rest > parts - i, 1).otherwise(0)) * 4
+            start = base * (i - 1) + F.greatest(F.lit(0), F.lit(i - 1 - parts) + rest)
+            places[f"p{shorter}_{i}"] = start * 4 + 1
+            for shift in range(max(-(i - 1), shorter - (parts - i)), min(i - 1, shorter + parts - i) + 1):
+                piece = F.substring("wide", F.col(f"p{shorter}_{i}") + 4 * shift, F.col(f"n{shorter}_{i}"))
+                key = F.xxhash64(F.col("size") - shorter, F.lit(i), piece)
+                keys.append(F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("own")))
+    placed = lines.select("line", "size", "id", F.encode("line", "UTF-32").alias("wide"))
+    placed = placed.select("*", *[c.alias(n) for n, c in {**places, **sizes}.items()])
+    return placed.select("line", "id", F.inline(F.array(*keys)))
+
+
+def shortest(edits: int) -> int:
+    """Least length of lines that are searched for near ones: segments longer than any shift."""
+    return (edits + 1) * (edits + 2)
 
 
 def _common_start(a: Column, b: Column, side, most: int = 20) -> Column:
@@ -132,23 +141,20 @@ def similar(a: Column, b: Column, edits: int) -> Column:
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, spot, pos, line, id, id2); doc orders, spot tells rows apart."""
+    """(doc, spot, pos, line, size, id, id2); doc orders, spot tells rows apart."""
     rows = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(FIRST_ID)).alias("doc"),
         F.xxhash64(doc_id, text).alias("spot"),
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
     )
-    line = F.btrim("line", F.lit(" \t\r"))
-    return rows.select("doc", "spot", "pos", line.alias("line")).select(
-        "*", F.xxhash64("line").alias("id"), F.xxhash64("line", F.lit(1)).alias("id2")
+    return rows.select("doc", "spot", "pos", F.trim("line").alias("line")).select(
+        "*", F.length("line").alias("size"), F.xxhash64("line").alias("id"), F.xxhash64("line", F.lit(1)).alias("id2")
     )
 
 
 def near_lines(lines: DataFrame, edits: int, least: int) -> DataFrame:
     """(id, other): pairs of different lines within `edits` edits, both ways."""
-    long = lines.where(F.length("line") >= max(least, edits + 1)).select("line", "id")
-    keyed = long.select("line", "id", F.explode(segment_keys(F.col("line"), edits)).alias("k"))
-    keyed = keyed.select("line", "id", "k.key", "k.own")
+    keyed = keyed_lines(lines.where(F.col("size") >= max(least, shortest(edits))), edits)
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or("own").alias("own"))
     shared = materialize(shared.where("own AND low <> high").select("key"), "shared-keys")
     few = shared.count() <= FEW_ROWS
@@ -168,7 +174,7 @@ def dropped_lines(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", edits: int = 2, least: int = 10, least_near: int = 24
 ) -> DataFrame:
     """(spot, dropped, sources): per row with lines to drop, their places and the documents that had them first."""
-    lines = _lines(docs, doc_id, text).where(F.length("line") >= least)
+    lines = _lines(docs, doc_id, text).where(F.col("size") >= least)
     place = F.struct(F.col("doc"), F.col("pos"))
     firsts = lines.groupBy("id", "id2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     links = materialize(near_lines(lines, edits, least_near), "near-lines")
