@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.names import name_part
 from ..operators.entities import column_entities, table_entities
-from ..sources.catalog import list_columns, list_databases, list_tables, table_detail
+from ..sources.catalog import list_columns, list_databases, list_tables, table_detail, table_names
 
 
 @dataclass(frozen=True)
@@ -25,11 +25,13 @@ class Inventory:
 
 
 def inventory(spark: SparkSession, databases: list[str] | None = None) -> Inventory:
+    """The catalog is listed once; all parts speak of the same tables."""
+    names = table_names(spark, databases)
     return Inventory(
         databases=list_databases(spark),
-        tables=list_tables(spark, databases),
-        details=table_detail(spark, databases),
-        columns=list_columns(spark, databases),
+        tables=list_tables(spark, names=names),
+        details=table_detail(spark, names=names),
+        columns=list_columns(spark, names=names),
     )
 
 

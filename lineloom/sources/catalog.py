@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLE_SCHEMA = "database string, tableName string"
 COLUMN_SCHEMA = "databaseName string, tableName string, colName string, dataType string"
+# Names and order of the detail columns.
 DETAIL_COLUMNS = (
     "format",
     "id",
@@ -42,15 +43,17 @@ def list_databases(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 
 
-def list_tables(spark: SparkSession, databases: list[str] | None = None) -> DataFrame:
-    """(database, tableName) of every table; temporary views have no database and are dropped."""
+def table_names(spark: SparkSession, databases: list[str] | None = None) -> list[tuple[str, str]]:
+    """(database, table) of every table; temporary views have no database and are left out."""
     names = [r.namespace for r in list_databases(spark).collect()] if databases is None else list(databases)
-    shown = [
-        spark.sql(f"SHOW TABLES IN {_quoted(n)}").select(F.col("namespace").alias("database"), "tableName")
-        for n in names
-    ]
-    tables = reduce(DataFrame.unionByName, shown) if shown else spark.createDataFrame([], TABLE_SCHEMA)
-    return nonempty(tables, "database")
+    found = [(r.namespace, r.tableName) for n in names for r in spark.sql(f"SHOW TABLES IN {_quoted(n)}").collect()]
+    return [pair for pair in found if pair[0]]
+
+
+def list_tables(spark: SparkSession, databases: list[str] | None = None, names=None) -> DataFrame:
+    """(database, tableName) of every table, or of those named already."""
+    rows = table_names(spark, databases) if names is None else names
+    return nonempty(spark.createDataFrame(rows, TABLE_SCHEMA), "database")
 
 
 def nonempty(rows: DataFrame, column: str) -> DataFrame:
@@ -59,8 +62,12 @@ def nonempty(rows: DataFrame, column: str) -> DataFrame:
 
 
 def schema_rows(database: str, table: str, df: DataFrame) -> list[tuple[str, str, str, str]]:
-    """Column rows of one table, read from its schema (partition columns once)."""
-    return [(database, table, f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    """Column rows of one table, read from its schema (partition columns once).
+
+    Spark reads char and varchar as string and keeps what was declared beside it.
+    """
+    declared = lambda f: (f.metadata or {}).get("__CHAR_VARCHAR_TYPE_STRING", f.dataType.simpleString())
+    return [(database, table, f.name, declared(f)) for f in df.schema.fields]
 
 
 def column_table(spark: SparkSession, tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
@@ -69,10 +76,17 @@ def column_table(spark: SparkSession, tables: dict[tuple[str, str], DataFrame])
     return spark.createDataFrame(rows, COLUMN_SCHEMA)
 
 
-def list_columns(spark: SparkSession, databases: list[str] | None = None) -> DataFrame:
+def list_columns(spark: SparkSession, databases: list[str] | None = None, names=None) -> DataFrame:
     """(databaseName, tableName, colName, dataType) of every table in the catalog."""
-    names = list_tables(spark, databases).collect()
-    return column_table(spark, {(r.database, r.tableName): spark.table(_quoted(r.database, r.tableName)) for r in names})
+    names = table_names(spark, databases) if names is None else names
+    return column_table(spark, {(d, t): spark.table(_quoted(d, t)) for d, t in names})
+
+
+def existing_folders(spark: SparkSession, roots: list[str]) -> list[str]:
+    """Those of the paths that are there."""
+    conf, make = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    paths = [(r, make(r)) for r in roots]
+    return [r for r, path in paths if path.getFileSystem(conf).exists(path)]
 
 
 def file_listing(spark: SparkSession, roots: list[str]) -> DataFrame:
@@ -100,7 +114,8 @@ def profile_locations(files: DataFrame, locations: DataFrame) -> DataFrame:
     of the location.
     """
     parts = F.split(F.regexp_replace("path", r"^file:/+", "file:/"), "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    # A location may be a file itself.
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
     spread = files.select("length", "modificationTime", F.explode(above).alias("folder"))
     keys = locations.select("location", _plain("location").alias("folder")).distinct()
     return (
@@ -118,30 +133,31 @@ def _plain(location: str):
     return F.rtrim(F.regexp_replace(location, r"^file:/+", "file:/"), F.lit("/"))
 
 
-def table_detail(spark: SparkSession, databases: list[str] | None = None) -> DataFrame:
-    """The 13 detail columns of every table that has files.
+def table_detail(spark: SparkSession, databases: list[str] | None = None, names=None) -> DataFrame:
+    """The 13 detail columns of every table that has a location.
 
     Sizes and file counts are long, times are timestamps and partition columns
-    an array, so nothing is cut off.
+    an array, so nothing is cut off. A table whose folder is gone has no files
+    and no time of change.
     """
-    names = list_tables(spark, databases).collect()
+    names = table_names(spark, databases) if names is None else names
     described = []
-    for r in names:
-        text = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(r.database, r.tableName)} AS JSON").first()[0]
-        described.append((r.database, r.tableName, text))
+    for database, name in names:
+        text = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(database, name)} AS JSON").first()[0]
+        described.append((database, name, text))
     parsed = (
         spark.createDataFrame(described, "database string, tableName string, json string")
         .withColumn("d", F.from_json("json", _DESCRIBED))
         .where("d.location IS NOT NULL")
         .select("database", "tableName", "d.*")
     )
-    roots = [r.location for r in parsed.select("location").distinct().collect()]
+    roots = existing_folders(spark, [r.location for r in parsed.select("location").distinct().collect()])
     if roots:
         profile = profile_locations(file_listing(spark, roots), parsed)
     else:
         profile = spark.createDataFrame([], "location string, numFiles long, sizeInBytes long, lastModified timestamp")
     properties = F.coalesce("table_properties", F.create_map().cast("map<string,string>"))
-    return parsed.join(profile, "location", "left").select(
+    detail = parsed.join(profile, "location", "left").select(
         F.lower("provider").alias("format"),
         F.element_at(properties, "id").alias("id"),
         F.concat_ws(".", "database", "tableName").alias("name"),
@@ -156,3 +172,4 @@ def table_detail(spark: SparkSession, databases: list[str] | None = None) -> Dat
         F.element_at(properties, "delta.minReaderVersion").alias("minReaderVersion"),
         F.element_at(properties, "delta.minWriterVersion").alias("minWriterVersion"),
     )
+    return detail.select(*DETAIL_COLUMNS)

@@ -57,8 +57,8 @@ _RESOLVED = """
 resolved AS (
   SELECT path, source, target, 'cat://test/notebooks' || path AS job,
          sha256('file|' || source) AS input_guid, sha256('table|' || target) AS output_guid
-  FROM lineage JOIN asset_file ON source = asset_file.qualified_name
-  WHERE target IS NOT NULL AND length(asset_file.name) <> 9
+  FROM lineage JOIN asset_table ON target = asset_table.qualified_name
+  WHERE source IS NOT NULL AND length(asset_table.name) <> 7
 )"""
 _CUSTOMER = """
 customer_entity AS (
@@ -70,6 +70,16 @@ _NATION = """
 nation_entity AS (
   SELECT 'nation' AS type_name, 'cat://test/n/' || n_nationkey AS qualified_name, n_name AS name FROM nation
 )"""
+_ODD = "['', ' ', ',', chr(34), chr(92), chr(92) || 'N', chr(9), chr(10), chr(39), 'a ', '#']"
+_COLUMNS = f"""
+columns AS (
+  SELECT table_name, column_name,
+         CASE WHEN column_name = 'n_name' THEN 'varchar(25)' ELSE CASE data_type WHEN 'VARCHAR' THEN 'string'
+              WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
+              ELSE lower(data_type) END END AS data_type
+  FROM information_schema.columns
+  WHERE table_name IN ({", ".join(f"'{t}'" for t in _TABLES)})
+)"""
 _SOLVENT_TABLE = """
 solvent AS (
   SELECT 'cat://test/crm/' || c_name AS qualified_name, * FROM customer WHERE c_acctbal > 0
@@ -118,6 +128,30 @@ WHERE table_name IN ({", ".join(f"'{t}'" for t in _TABLES)})""",
 SELECT regexp_extract(filename, '([^/]+)\\.parquet$', 1) AS "table",
        count(*) AS num_files, sum(size)::BIGINT AS size_bytes
 FROM read_blob('{SF_DIR}/*.parquet') GROUP BY 1""",
+    "catalog_tables": _with(
+        _COLUMNS, select="""SELECT DISTINCT 'testdata' AS database, table_name AS "tableName" FROM columns"""
+    ),
+    "catalog_columns": _with(
+        _COLUMNS,
+        select="""
+SELECT 'testdata' AS "databaseName", table_name AS "tableName", column_name AS "colName", data_type AS "dataType"
+FROM columns""",
+    ),
+    "catalog_detail": f"""
+SELECT 'testdata' AS database, regexp_extract(filename, '([^/]+)\\.parquet$', 1) AS "tableName", 'parquet' AS format,
+       count(*) AS "numFiles", sum(size)::BIGINT AS "sizeInBytes", 0::INT AS partitions
+FROM read_blob('{SF_DIR}/*.parquet') GROUP BY 2""",
+    "catalog_entities": _with(
+        _COLUMNS,
+        select="""
+SELECT DISTINCT 'table' AS type_name, 'cat://test/testdata/' || table_name AS qualified_name, table_name AS name,
+       NULL::VARCHAR AS data_type, '1' AS num_files, NULL::VARCHAR AS parent
+FROM columns
+UNION ALL
+SELECT 'column', 'cat://test/testdata/' || table_name || '#' || column_name, column_name, data_type, NULL,
+       'cat://test/testdata/' || table_name
+FROM columns""",
+    ),
     "table_names_split": """
 SELECT DISTINCT split_part(c_name, '#', 1) AS "databaseName", nullif(split_part(c_name, '#', 2), '') AS "tableName",
        c_mktsegment AS segment
@@ -217,12 +251,35 @@ SELECT sha256('job|' || job) AS guid, job AS qualified_name, string_split(path,
        path AS notebook_path, input_guid, output_guid
 FROM resolved""",
     ),
+    "lineage_unresolved": _with(
+        *_LINEAGE,
+        select="""
+SELECT path, source, target, true AS source_known, false AS target_known
+FROM lineage JOIN asset_table ON target = qualified_name WHERE source IS NOT NULL AND length(name) = 7""",
+    ),
+    "lineage_files": "WITH RECURSIVE "
+    + ",".join((_FOLDERS, _WALK, *_LINEAGE))
+    + """
+SELECT path, source, target FROM lineage
+WHERE path LIKE '%src1%' AND path IN (SELECT path FROM walk WHERE object_type = 'NOTEBOOK')""",
+    "csv_odd_roundtrip": _with(
+        _SCRIPT,
+        _LINE,
+        select=f"""
+SELECT path || '#' || pos AS path, {_ODD}[pos % 11 + 1] || line || {_ODD}[pos % 11 + 1] AS source,
+       CASE pos % 3 WHEN 1 THEN {_ODD}[pos % 11 + 1] WHEN 2 THEN '' END AS target
+FROM line""",
+    ),
+    "text_odd_roundtrip": f"""
+SELECT CASE o_orderkey % 3 WHEN 1 THEN {_ODD}[o_orderkey % 11 + 1] WHEN 2 THEN '' END AS first,
+       o_orderpriority || {_ODD}[o_orderkey % 11 + 1] AS second, o_orderkey::VARCHAR AS order_id
+FROM orders""",
     "csv_roundtrip": _with(*_LINEAGE, select="SELECT path, source, target FROM lineage"),
     "text_roundtrip": _with(
         _CUSTOMER, select="SELECT guid AS term_guid, sha256(name) AS relationship_guid FROM customer_entity"
     ),
     "entity_build": _with(
-        _SOLVENT_TABLE,
+        _SOLVENT_TABLE.replace(" WHERE c_acctbal > 0", ""),
         select="""
 SELECT sha256('table|' || qualified_name) AS guid, 'table' AS type_name, qualified_name, c_name AS name,
        lower(c_mktsegment) AS format, '/data/' || c_name AS location,
@@ -255,6 +312,22 @@ WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_acctbal > 0 AND key = 'cat://te
 SELECT user_id, ts, event_id, event_type, value
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events)
 WHERE n = 1""",
+    "entity_store": _with(
+        *_LINEAGE,
+        _RESOLVED,
+        select="""
+SELECT 'customer' AS type_name, 'cat://test/c/' || c_custkey AS qualified_name,
+       CASE WHEN c_acctbal < 0 THEN lower(c_name) ELSE c_name END AS name,
+       CASE WHEN c_acctbal < 0 THEN 'IN DEBT' ELSE c_mktsegment END AS segment,
+       NULL::VARCHAR AS input, NULL::VARCHAR AS output
+FROM customer
+UNION ALL
+SELECT 'nation', 'cat://test/n/' || n_nationkey, n_name, NULL, NULL, NULL FROM nation
+UNION ALL
+SELECT 'table', 'cat://test/crm/' || c_name, c_name, NULL, NULL, NULL FROM customer
+UNION ALL
+SELECT 'job', job, string_split(path, '/')[-1], NULL, source, target FROM resolved""",
+    ),
     "entity_delete": """
 SELECT o_orderkey FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')""",
@@ -282,6 +355,17 @@ SELECT 'cat://test/j/' || c_custkey AS qualified_name, nullif(c_mktsegment, 'BUI
 FROM customer
 UNION ALL
 SELECT 'cat://test/n/' || n_nationkey, NULL, NULL, NULL, '', false FROM nation""",
+    "type_replace": """
+SELECT 'cat://test/j/' || c_custkey AS qualified_name, coalesce(nullif(c_mktsegment, 'BUILDING'), 'script') AS job_type,
+       CASE WHEN c_nationkey > 10 THEN 'daily' END AS schedule,
+       CASE WHEN c_nationkey > 10 THEN '' ELSE 'schedule' END AS missing
+FROM customer""",
+    "relation_broken": """
+SELECT n_name AS name, r_name AS parent_type, true AS parent_container, false AS child_container
+FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' OR n_name = 'FRANCE'""",
+    "relation_faults": """
+SELECT o_orderkey, 0::BIGINT AS parents FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_nationkey <> 3)""",
     "type_delete": _with(_CUSTOMER, select="SELECT type_name, qualified_name FROM customer_entity"),
     "type_orphans": _with(_CUSTOMER, select="SELECT type_name, qualified_name FROM customer_entity"),
     "term_assign": _with(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lineloom.functions.names import column_key, entity_guid, short_name, table_key
 from lineloom.operators import entities as E
 from lineloom.operators import model, terms, tree
 from lineloom.plans import inventory, lineage
-from lineloom.session import scratch_path
+from lineloom.session import materialize, scratch_path
 from lineloom.sources import catalog, files
 from lineloom.sources import scripts as script_source
 
@@ -21,6 +23,8 @@ TABLES = (
 ).split()
 TERMS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "NOWHERE"]
 CUT = "2024-01-16 00:00:00"
+# Values that a text format may lose.
+ODD = ["", " ", ",", '"', "\\", "\\N", "\t", "\n", "'", "a ", "#"]
 
 
 # -- inventory ---------------------------------------------------------------
@@ -32,7 +36,56 @@ def inventory_tables(spark: SparkSession, d: str) -> DataFrame:
 
 
 def inventory_columns(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.column_table(spark, {("testdata", t): table(spark, d, t) for t in TABLES})
+    names = sorted(r["table"] for r in catalog.folder_profile(spark, d).select("table").collect())
+    return catalog.column_table(spark, {("testdata", t): table(spark, d, t) for t in names})
+
+
+# A column that the catalog declares otherwise than its file.
+DECLARED = {"nation": "n_nationkey INT, n_name VARCHAR(25), n_regionkey INT"}
+
+
+def _cataloged(spark: SparkSession, d: str, job) -> DataFrame:
+    """Result of a job over a database of external tables, which is dropped again."""
+    name = f"inventory_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        for t in TABLES:
+            columns = f"({DECLARED[t]})" if t in DECLARED else ""
+            spark.sql(f"CREATE TABLE {name}.{t} {columns} USING parquet LOCATION '{d}/{t}.parquet'")
+        return materialize(job(name), "catalog").replace(name, "testdata")
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def catalog_tables(spark: SparkSession, d: str) -> DataFrame:
+    return _cataloged(spark, d, lambda name: inventory.inventory(spark, [name]).tables)
+
+
+def catalog_columns(spark: SparkSession, d: str) -> DataFrame:
+    return _cataloged(spark, d, lambda name: inventory.inventory(spark, [name]).columns)
+
+
+def catalog_detail(spark: SparkSession, d: str) -> DataFrame:
+    def job(name: str) -> DataFrame:
+        parts = F.split("name", "[.]")
+        detail = inventory.inventory(spark, [name]).details
+        return detail.select(
+            parts[0].alias("database"), parts[1].alias("tableName"), "format", "numFiles", "sizeInBytes",
+            F.size("partitionColumns").alias("partitions"),
+        )
+
+    return _cataloged(spark, d, job)
+
+
+def catalog_entities(spark: SparkSession, d: str) -> DataFrame:
+    def job(name: str) -> DataFrame:
+        made = inventory.build_entities(inventory.inventory(spark, [name]), name, domain="test")
+        key = F.replace("qualified_name", F.lit(name), F.lit("testdata"))
+        parent = F.replace(F.get("relationships", F.lit(0))["qualified_name"], F.lit(name), F.lit("testdata"))
+        attribute = lambda k: F.col("attributes")[k].alias(k)
+        return made.select("type_name", key.alias("qualified_name"), "name", attribute("data_type"), attribute("num_files"), parent.alias("parent"))
+
+    return _cataloged(spark, d, job)
 
 
 def table_detail(spark: SparkSession, d: str) -> DataFrame:
@@ -183,6 +236,56 @@ def lineage_jobs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def lineage_unresolved(spark: SparkSession, d: str) -> DataFrame:
+    return lineage.unresolved_processes(lineage_map(spark, d), views.asset_entities(spark, d))
+
+
+def lineage_files(spark: SparkSession, d: str) -> DataFrame:
+    """The scan's map from script files: every document is written to one and read again."""
+    root = scratch_path(spark, "export of scripts")
+    docs = table(spark, d, "documents").select("lang", "source", F.col("doc_id").alias("doc"), F.col("text").alias("value"))
+    docs.repartition("lang", "source", "doc").write.partitionBy("lang", "source", "doc").text(root)
+    found = script_source.listed_paths(script_source.read_scripts(spark, root), root, "/Shared")
+    folder = F.regexp_replace("path", r"/lang=([^/]*)/source=([^/]*)/doc=([^/]*)/[^/]*\z", "/$1/$2/doc_$3")
+    return lineage.scan_lineage(
+        views.listing(spark, d),
+        "/Shared",
+        found.withColumn("path", folder),
+        views.asset_files(spark, d),
+        views.asset_tables(spark, d),
+        words=WORDS,
+        path_like="%src1%",
+    )
+
+
+def csv_odd_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Every line of the documents as a map row: outer blanks, quotes, commas, backslashes, empty and NULL."""
+    lines = script_source.number_lines(views.scripts(spark, d))
+    odd = F.element_at(F.array(*map(F.lit, ODD)), F.col("pos") % len(ODD) + 1)
+    rows = lines.select(
+        F.concat_ws("#", "path", F.col("pos").cast("string")).alias("path"),
+        F.concat(odd, "line", odd).alias("source"),
+        F.when(F.col("pos") % 3 > 0, F.when(F.col("pos") % 3 == 1, odd).otherwise("")).alias("target"),
+    )
+    path = scratch_path(spark, "odd-csv")
+    files.write_map(rows, path)
+    return files.read_map(spark, path)
+
+
+def text_odd_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Id pairs with NULL, empty values, commas and backslashes, for every order."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    odd = F.element_at(F.array(*map(F.lit, ODD)), (F.col("o_orderkey") % len(ODD) + 1).cast("int"))
+    pairs = orders.select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.when(F.col("o_orderkey") % 3 > 0, F.when(F.col("o_orderkey") % 3 == 1, odd).otherwise("")).alias("first"),
+        F.concat("o_orderpriority", odd).alias("second"),
+    )
+    path = scratch_path(spark, "odd-ids")
+    files.write_ids(pairs, ["first", "second", "order_id"], path)
+    return files.read_ids(spark, path, ["first", "second", "order_id"])
+
+
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "map-csv")
     files.write_map(lineage_map(spark, d), path)
@@ -201,7 +304,7 @@ def text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 # -- entities ----------------------------------------------------------------
 
 
-def _customer_tables(spark: SparkSession, d: str) -> DataFrame:
+def _customer_tables(spark: SparkSession, d: str, solvent: bool = False) -> DataFrame:
     details = table(spark, d, "customer").select(
         F.lit("crm").alias("databaseName"),
         F.col("c_name").alias("tableName"),
@@ -211,7 +314,7 @@ def _customer_tables(spark: SparkSession, d: str) -> DataFrame:
         F.col("c_custkey").alias("sizeInBytes"),
         "c_acctbal",
     )
-    return E.table_entities(details.where("c_acctbal > 0"), domain="test")
+    return E.table_entities(details.where("c_acctbal > 0") if solvent else details, domain="test")
 
 
 def entity_build(spark: SparkSession, d: str) -> DataFrame:
@@ -235,7 +338,8 @@ def _order_columns(spark: SparkSession, d: str) -> DataFrame:
 
 
 def entity_columns(spark: SparkSession, d: str) -> DataFrame:
-    columns = E.column_entities(_order_columns(spark, d), _customer_tables(spark, d), domain="test")
+    # Customers in debt have no table here, so their orders' columns find none.
+    columns = E.column_entities(_order_columns(spark, d), _customer_tables(spark, d, solvent=True), domain="test")
     parent = F.col("relationships")[0]
     return columns.select(
         "guid",
@@ -302,6 +406,32 @@ def entity_upsert(spark: SparkSession, d: str) -> DataFrame:
     return E.upsert(snapshot, events.where(F.col("ts") >= cut), ["user_id"], ["ts", "event_id"])
 
 
+def entity_store(spark: SparkSession, d: str) -> DataFrame:
+    """Jobs and newer tables go into a snapshot of all kinds, which is written and read again."""
+    jobs = lineage.job_entities(_processes(spark, d), domain="test")
+    held = _both_kinds(spark, d)
+    newer = _customer_tables(spark, d).unionByName(
+        E.make_entity(
+            table(spark, d, "customer").where("c_acctbal < 0"),
+            "customer",
+            qualified_name=F.concat(F.lit("cat://test/c/"), F.col("c_custkey").cast("string")),
+            name=F.lower("c_name"),
+            attributes={"segment": F.lit("IN DEBT")},
+        )
+    )
+    path = scratch_path(spark, "entity-store")
+    files.write_entities(E.upsert(held, newer.unionByName(jobs)), path)
+    first = lambda ends: F.get(ends, F.lit(0))["qualified_name"]
+    return files.read_entities(spark, path).select(
+        "type_name",
+        "qualified_name",
+        "name",
+        F.col("attributes")["segment"].alias("segment"),
+        first("inputs").alias("input"),
+        first("outputs").alias("output"),
+    )
+
+
 def entity_delete(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select(
         "o_orderkey", entity_guid(F.lit("customer"), F.concat(F.lit("cat://test/c/"), F.col("o_custkey").cast("string"))).alias("guid")
@@ -351,6 +481,40 @@ def type_check(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def type_replace(spark: SparkSession, d: str) -> DataFrame:
+    """Jobs checked against a newer definition, with another default and a required schedule."""
+    newer = model.type_table(spark, [(E.JOB, ["Process"], [("job_type", "script", False), ("schedule", None, True)])])
+    types = E.upsert(model.type_table(spark), newer, ["type_name"])
+    checked = model.check_types(_jobs(spark, d), types)
+    attribute = lambda k: F.col("attributes")[k].alias(k)
+    return checked.select(
+        "qualified_name", attribute("job_type"), attribute("schedule"), F.array_join("missing", ",").alias("missing")
+    )
+
+
+def relation_broken(spark: SparkSession, d: str) -> DataFrame:
+    """Nations whose relation to their region lost a type, one relation per nation."""
+    nations = table(spark, d, "nation").collect()
+    regions = {r["r_regionkey"]: r["r_name"] for r in table(spark, d, "region").collect()}
+    relations = model.relation_table(
+        spark,
+        [(r["n_name"], "COMPOSITION", regions[r["n_regionkey"]], "nations", "SET", True, r["n_name"], "region", "SINGLE", False) for r in nations],
+    )
+    types = model.type_table(spark, [(n, [], []) for n in [*regions.values(), *(r["n_name"] for r in nations)]])
+    broken = model.broken_relations(relations, model.delete_types(types, ["ASIA", "FRANCE"]))
+    return broken.select("name", "parent_type", "parent_container", "child_container")
+
+
+def relation_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Orders against a relation that lets a child have many parents, but not none."""
+    relations = model.relation_table(
+        spark, [("order_of", "COMPOSITION", "customer", "orders", "SET", True, "order", "customers", "SET", False)]
+    )
+    claims = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("parent"))
+    parents = table(spark, d, "customer").where("c_nationkey <> 3").select(F.col("c_custkey").alias("parent"))
+    return model.relation_faults(claims, relations, "order_of", parents, "o_orderkey", "parent")
+
+
 def type_delete(spark: SparkSession, d: str) -> DataFrame:
     types = model.type_table(spark, [("customer", [], []), ("nation", [], [])])
     left = model.delete_types(types, ["nation"])
@@ -397,6 +561,10 @@ QUERIES = {
     "inventory_tables": inventory_tables,
     "inventory_columns": inventory_columns,
     "table_detail": table_detail,
+    "catalog_tables": catalog_tables,
+    "catalog_columns": catalog_columns,
+    "catalog_detail": catalog_detail,
+    "catalog_entities": catalog_entities,
     "table_names_split": table_names_split,
     "nonempty_filter": nonempty_filter,
     "preview": preview,
@@ -419,6 +587,10 @@ QUERIES = {
     "lineage_all_matches": lineage_all_matches,
     "lineage_edges": lineage_edges,
     "lineage_jobs": lineage_jobs,
+    "lineage_unresolved": lineage_unresolved,
+    "lineage_files": lineage_files,
+    "csv_odd_roundtrip": csv_odd_roundtrip,
+    "text_odd_roundtrip": text_odd_roundtrip,
     "csv_roundtrip": csv_roundtrip,
     "text_roundtrip": text_roundtrip,
     "entity_build": entity_build,
@@ -429,10 +601,14 @@ QUERIES = {
     "entity_lookup": entity_lookup,
     "entity_misses": entity_misses,
     "entity_upsert": entity_upsert,
+    "entity_store": entity_store,
     "entity_delete": entity_delete,
     "entity_delete_by_search": entity_delete_by_search,
     "column_parent": column_parent,
     "type_check": type_check,
+    "type_replace": type_replace,
+    "relation_broken": relation_broken,
+    "relation_faults": relation_faults,
     "type_delete": type_delete,
     "type_orphans": type_orphans,
     "term_assign": term_assign,

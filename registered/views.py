@@ -40,9 +40,9 @@ def asset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asset_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both asset lists as entities; files of nine characters are left uncatalogued."""
-    listed = asset_files(spark, sf_dir).where(F.length("name") != 9).withColumn("type_name", F.lit(FILE))
-    both = listed.unionByName(asset_tables(spark, sf_dir).withColumn("type_name", F.lit(TABLE)))
+    """Both asset lists as entities; tables of seven characters are left uncatalogued."""
+    tables = asset_tables(spark, sf_dir).where(F.length("name") != 7).withColumn("type_name", F.lit(TABLE))
+    both = asset_files(spark, sf_dir).withColumn("type_name", F.lit(FILE)).unionByName(tables)
     return both.withColumn("guid", entity_guid("type_name", "qualified_name"))
 
 
