@@ -5,7 +5,7 @@ of the pattern can cross, so that each call is short: between a character that
 is no white space and white space after it, and between a letter and a digit.
 
 Null and empty texts give no ids. Ids outside the vocabulary fail. Other
-columns of the input are kept and may have any name but those added.
+columns of the input are kept, but for one named as the column added.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from .common import spread
+from .common import fields_of, spread, without
 
 LONG_TEXT = 1 << 16
 # Every alternative of the pattern either starts with its only white space or is
@@ -64,9 +64,7 @@ def _local(path: str) -> str:
 
 
 def _schema_with(df: DataFrame, name: str, kind: str) -> str:
-    if name in df.columns:
-        raise ValueError(f"the input already has a column {name}")
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), f"`{name}` {kind}"])
+    return ", ".join([*fields_of(df), f"`{name}` {kind}"])
 
 
 def encode(docs: DataFrame, *, text: str, ranks: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -75,6 +73,7 @@ def encode(docs: DataFrame, *, text: str, ranks: str, pattern: str, ids: str = "
     `ranks` is a path of the rank file on every executor, or ``files:NAME`` for
     one sent with SparkContext.addFile.
     """
+    docs = without(docs, ids)
     at = docs.columns.index(text)
 
     def run(batches):
@@ -101,6 +100,7 @@ def _portions(batch: pa.RecordBatch, lengths: pa.Array, limit: int = 2 << 20):
 
 def decode(coded: DataFrame, *, ids: str = "ids", ranks: str, pattern: str, decoded: str = "decoded") -> DataFrame:
     """The columns of `coded` and `decoded` binary: the raw bytes of the ids, NULL ids as none."""
+    coded = without(coded, decoded)
     at = coded.columns.index(ids)
 
     def run(batches):

@@ -27,6 +27,16 @@ def spread(docs: DataFrame, *keys: str) -> DataFrame:
     return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores, *keys)
 
 
+def without(docs: DataFrame, *names: str) -> DataFrame:
+    """Less the columns that an operator adds itself; those of the input give way."""
+    return docs.drop(*names)
+
+
+def fields_of(df: DataFrame) -> list[str]:
+    """The columns as parts of a schema string."""
+    return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+
+
 def parts_for(amount: int, each: int, least: int = 1, most: int = 16384) -> int:
     return int(min(most, max(least, math.ceil((amount or 0) / each))))
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import (
+    fields_of,
     map_arrow,
     mix,
     parts_for,
@@ -33,6 +34,7 @@ from .common import (
     spread,
     text_runs,
     total_bytes,
+    without,
     word_hashes,
 )
 
@@ -107,16 +109,14 @@ def as_text(signs: np.ndarray, some: np.ndarray) -> list[str]:
 
 def fingerprint(docs: DataFrame, *, text: str = "text", out: str = "fingerprint", samples: int = SAMPLES) -> DataFrame:
     """The columns of `docs` and the fingerprint of each whole text."""
-    if out in docs.columns:
-        raise ValueError(f"the input already has a column {out}")
+    docs = without(docs, out)
     at = docs.columns.index(text)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def add(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = pa.array(as_text(*signatures(batch.column(at), samples)), pa.string())
         return pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, out])
 
-    return map_arrow(spread(docs), add, f"{fields}, `{out}` string")
+    return map_arrow(spread(docs), add, ", ".join([*fields_of(docs), f"`{out}` string"]))
 
 
 def likeness(a: Column | str, b: Column | str) -> Column:

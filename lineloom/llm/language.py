@@ -13,7 +13,8 @@ text, contexts kept). Scoring reads every text whole.
 
 Null texts and texts without a letter are `und` with score 0. Ties go to the
 language that sorts first. Equal texts get equal results. With nothing to learn
-from, every text is `und`. Extra columns are kept by `identify`.
+from, every text is `und`. Extra columns are kept by
+`identify`, but for those named as the ones added.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import spread, text_runs
+from .common import fields_of, spread, text_runs, without
 
 UNKNOWN = "und"
 ORDER = 3
@@ -192,20 +193,16 @@ def learn(
 
 def identify(docs: DataFrame, model: Model | None, *, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """The columns of `docs` with the predicted language and its probability."""
-    for name in (pred, score):
-        if name in docs.columns:
-            raise ValueError(f"the input already has a column {name}")
+    docs = without(docs, pred, score)
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-
     def run(batches):
         for batch in batches:
             languages, chance = predict(shared.value, batch.column(at))
             added = [pa.array(languages, pa.string()), pa.array(chance, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, pred, score])
 
-    found = spread(docs).mapInArrow(run, ", ".join([*fields, f"`{pred}` string", f"`{score}` double"]))
+    found = spread(docs).mapInArrow(run, ", ".join([*fields_of(docs), f"`{pred}` string", f"`{score}` double"]))
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     return found.withColumns(
         {pred: F.when(letters, F.col(pred)).otherwise(UNKNOWN), score: F.when(letters, F.col(score)).otherwise(0.0)}

@@ -24,7 +24,8 @@ to every task.
 Null and empty texts stay as they are. Null ids come before all others. Rows
 with equal ids are one document: they are not compared with each other's lines
 at the same or a later place. Chains count: a line may go for one that goes
-itself. Extra columns are kept; they must not be named as the added ones.
+itself. Extra columns are kept, but
+for those named as the ones added.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import spread
+from .common import spread, without
 
 FEW_ROWS = 1_000_000
 FIRST_ID = -(1 << 63)
@@ -193,10 +194,7 @@ def dropped_lines(
 
 def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", edits: int = 2, **limits: int) -> DataFrame:
     """The columns of `docs` with the text left, and n_lines, dropped (places) and sources (ids)."""
-    for name in ("n_lines", "dropped", "sources", "_spot"):
-        if name in docs.columns:
-            raise ValueError(f"the input already has a column {name}")
-    docs = spread(docs)
+    docs = spread(without(docs, "n_lines", "dropped", "sources", "_spot"))
     dropped = dropped_lines(docs, doc_id=doc_id, text=text, edits=edits, **limits)
     dropped = dropped.withColumnRenamed("spot", "_spot")
     size = dropped.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("dropped") + 2 * F.size("sources")), F.lit(0))).first()

@@ -12,7 +12,8 @@ gradient, so a step costs little more than a forward pass.
 
 Null and empty texts are scored as one empty chunk. Equal texts get equal
 scores. With rows of one label only, the score is that label's smoothed share;
-with no rows it is 0.5. Extra columns are kept by `score`.
+with no rows it is 0.5. Extra columns are kept by `score`,
+but for one named as the column added.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import spread, text_runs
+from .common import fields_of, spread, text_runs, without
 
 WIDTH, STRIDE, DEPTH, FILTERS, HIDDEN = 16, 8, 8, 32, 16
 MARK = 256  # pads the ends
@@ -181,15 +182,12 @@ def learn(
 
 def score(docs: DataFrame, net: Network | float, *, text: str = "text", out: str = "score") -> DataFrame:
     """The columns of `docs` with the probability of label 1."""
-    if out in docs.columns:
-        raise ValueError(f"the input already has a column {out}")
+    docs = without(docs, out)
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-
     def run(batches):
         for batch in batches:
             added = pa.array(probability(shared.value, batch.column(at)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, added], [*batch.schema.names, out])
 
-    return spread(docs).mapInArrow(run, ", ".join([*fields, f"`{out}` double"]))
+    return spread(docs).mapInArrow(run, ", ".join([*fields_of(docs), f"`{out}` double"]))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .common import map_arrow, mix, parts_for, shingle_hashes, spread, text_runs, total_bytes, word_hashes
+from .common import map_arrow, mix, parts_for, shingle_hashes, spread, text_runs, total_bytes, without, word_hashes
 from .components import connected
 
 CROWDED = 8
@@ -158,7 +158,8 @@ def doc_sets(docs: DataFrame, k: int) -> DataFrame:
     return map_arrow(docs, run, SET_SCHEMA)
 
 
-# A key's set carries its spare segments, capped to a byte.
+# A key's set carries its spare segments, capped, plus DOWN for keys of the band below its own.
+DOWN = 64
 POSTING_SCHEMA = "bucket int, keys binary, sets binary, spare binary"
 
 
@@ -192,7 +193,7 @@ def postings(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum([len(c) for c in chosen])])
                 for down in (0, 1):
                     keys, owner, _, spare = maker.of(np.concatenate(chosen), ends, down)
-                    held.append((keys, ids[new][owner], np.clip(spare, -1, 127).astype(np.int8)))
+                    held.append((keys, ids[new][owner], (np.clip(spare, -1, 40) + down * DOWN).astype(np.int8)))
                     count += len(keys)
                 if count >= FLUSH_KEYS:
                     yield packed(held)
@@ -203,49 +204,145 @@ def postings(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, POSTING_SCHEMA)
 
 
-CANDIDATE_SCHEMA = "kind byte, a long, b long, spare byte"
-STAR, PAIR, MEMBER = 0, 1, 2  # (least set met, set); (set, set) of few; (crowded key, set)
+CANDIDATE_SCHEMA = "kind byte, a long, b long, n int, need int"
+STAR = 0  # (least set met, set)
+PAIR = 1  # (set, set), common keys, and how many they need at least
+MEMBER = 2  # (crowded key, set), 1 for a key of the band below, spare segments
 
 
 def _meet(part: pa.Table) -> pa.Table:
-    """Candidates of one bucket."""
+    """Candidates of one bucket.
+
+    Two sets link through keys of the lower of their bands, so at least one of
+    them is at home there.
+    """
     joined = lambda name, kind: np.frombuffer(b"".join(part.column(name).to_pylist()), kind)
     keys, sets, spare = joined("keys", np.uint64), joined("sets", np.int64), joined("spare", np.int8)
     # Keys that stand alone are most; drop them before sorting by set.
     order = np.argsort(keys, kind="stable")
     k = keys[order]
     same = k[1:] == k[:-1]
-    again = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    order = order[again]
-    order = order[np.lexsort((sets[order], keys[order]))]
-    k, s, e = keys[order], sets[order], spare[order]
+    order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+    below = spare[order] >= DOWN - 1
+    order = order[np.lexsort((sets[order], below, keys[order]))]  # sets at home first
+    k, s, e = keys[order], sets[order], spare[order].astype(np.int32)
     if len(k):
         fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])])  # a set once per key
         k, s, e = k[fresh], s[fresh], e[fresh]
+    below = e >= DOWN - 1
+    e = np.where(below, e - DOWN, e)
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
     count = np.diff(np.append(first, len(k)))
-    first, count = first[count > 1], count[count > 1]
-    rows: list[np.ndarray] = []
+    met = (count > 1) & ~below[first] if len(first) else np.zeros(0, bool)
+    first, count = first[met], count[met]
     leader = np.repeat(first, count - 1)
     member = np.concatenate([np.arange(f + 1, f + c) for f, c in zip(first, count)]) if len(first) else leader
     order = np.lexsort((s[leader], s[member]))  # each set with the least of its leaders
     a, b = s[leader][order], s[member][order]
     once = np.concatenate([[True], b[1:] != b[:-1]]) if len(b) else np.zeros(0, bool)
-    rows.append(np.stack([a[once], b[once]], 1))
-    pairs = [np.zeros((0, 2), np.int64)]
+    stars = np.stack([a[once], b[once]], 1)
+    left, right = [], []
     for c in range(2, CROWDED + 1):
         i, j = np.triu_indices(c, 1)
         at = first[count == c]
-        pairs.append(np.stack([s[at[:, None] + i].ravel(), s[at[:, None] + j].ravel()], 1))
-    rows.append(np.unique(np.concatenate(pairs), axis=0))
+        left.append((at[:, None] + i).ravel())
+        right.append((at[:, None] + j).ravel())
+    left, right = np.concatenate(left), np.concatenate(right)
+    home = ~(below[left] & below[right])
+    left, right = left[home], right[home]
+    swap = s[left] > s[right]
+    left, right = np.where(swap, right, left), np.where(swap, left, right)
+    pairs, where, common = np.unique(np.stack([s[left], s[right]], 1), axis=0, return_inverse=True, return_counts=True)
+    need = np.zeros(len(pairs), np.int64)
+    np.maximum.at(need, where.ravel(), 1 + np.maximum(e[left], e[right]))
     crowded = count > CROWDED
     inside = np.concatenate([np.arange(f, f + c) for f, c in zip(first[crowded], count[crowded])]) if crowded.any() else leader[:0]
-    rows.append(np.stack([k[inside].view(np.int64), s[inside]], 1))
+    members = np.stack([k[inside].view(np.int64), s[inside]], 1)
+    rows = [stars, pairs.reshape(-1, 2), members]
     kinds = np.repeat(np.array([STAR, PAIR, MEMBER], np.int8), [len(r) for r in rows])
-    spares = np.concatenate([np.zeros(len(rows[0]) + len(rows[1]), np.int8), e[inside]])
+    none = np.zeros(len(stars), np.int64)
     both = np.concatenate(rows)
-    columns = [pa.array(kinds), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(spares)]
-    return pa.table(columns, ["kind", "a", "b", "spare"])
+    columns = [
+        pa.array(kinds),
+        pa.array(both[:, 0]),
+        pa.array(both[:, 1]),
+        pa.array(np.concatenate([none, common, below[inside]]).astype(np.int32)),
+        pa.array(np.concatenate([none, need, e[inside]]).astype(np.int32)),
+    ]
+    return pa.table(columns, ["kind", "a", "b", "n", "need"])
+
+
+SKETCH_SCHEMA = "set long, size long, below byte, sketch binary"
+
+
+def sketches(shingles: np.ndarray, lows: np.ndarray, below: int) -> bytes:
+    """A byte per segment of a fine partition for a band: the sum of the hashes in it.
+
+    Two sets of a band differ in at least as many shingles as sketch bytes.
+    """
+    band = int(np.searchsorted(lows, len(shingles), "right")) - 1 - below
+    width = int(max(32, lows[max(band, 0)]))
+    place = ((mix(shingles ^ _DELETED) >> _U(32)) * _U(width) >> _U(32)).astype(np.int64)
+    return np.bincount(place, mix(shingles ^ _SEGMENT) & _U(255), width).astype(np.int64).astype(np.uint8).tobytes()
+
+
+CLOSE_SCHEMA = "a long, b long"
+BLOCK = 1000
+
+
+def _close(part: pa.Table, percent: int) -> pa.Table:
+    """Pairs of two blocks of a crowded key's sets that may link, by size and sketch."""
+    side = part.column("side").to_numpy()
+    sets, labels, sizes, below = (part.column(c).to_numpy() for c in ("set", "label", "size", "below"))
+    sketch = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for x in part.column("sketch")])
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(right):
+        right = left
+    out = [np.zeros((0, 2), np.int64)]
+    for i in left:
+        near = labels[right] != labels[i]
+        near &= (sizes[right] * 100 >= sizes[i] * percent) & (sizes[i] * 100 >= sizes[right] * percent)
+        near &= (below[right] == 0) | (below[i] == 0)
+        j = right[near]
+        apart = (sketch[j] != sketch[i]).sum(1)
+        j = j[apart * (100 + percent) <= (100 - percent) * (sizes[i] + sizes[j])]
+        out.append(np.stack([np.minimum(sets[i], sets[j]), np.maximum(sets[i], sets[j])], 1))
+    pairs = np.unique(np.concatenate(out), axis=0)
+    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def close_members(crowded: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b) pairs that share a crowded key and may link; rows (key, set, below, label).
+
+    The sets of a key meet in blocks of bounded size, and only what the sketches
+    leave possible comes out.
+    """
+    lows = bands(percent)
+    wanted = materialize(reps.join(crowded.select("set").distinct(), "set", "left_semi"), "crowded-sets")
+    few = wanted.count() <= 1_000_000  # 16 bytes each
+    chosen = docs.join(F.broadcast(wanted) if few else wanted, "spot").select("set", "text")
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        sets = batch.column(0).to_pylist()
+        for lo, hi, shingles, bounds in set_runs(batch.column(1), k):
+            for i in range(hi - lo):
+                own = shingles[bounds[i] : bounds[i + 1]]
+                rows += [(sets[lo + i], len(own), below, sketches(own, lows, below)) for below in (0, 1)]
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int8(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(columns, ["set", "size", "below", "sketch"])
+
+    made = materialize(map_arrow(chosen, cut, SKETCH_SCHEMA).dropDuplicates(["set", "below"]), "sketches")
+    sizes = crowded.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = crowded.join(sizes, "key").withColumn("blocks", blocks)
+    own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    meets = lambda o: F.struct(
+        F.least(own, o).alias("one"), F.greatest(own, o).alias("two"), F.when(own > o, 1).otherwise(0).alias("side")
+    )
+    dealt = dealt.withColumn("m", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), meets)))
+    rows = dealt.select("key", "set", "label", "below", "m.*").join(made, ["set", "below"])
+    return rows.groupBy("key", "one", "two").applyInArrow(lambda part: _close(part, percent), CLOSE_SCHEMA).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
@@ -316,17 +413,25 @@ def jaccard_components(
         joined = pairs.join(x, "a", "left").join(y, "b", "left")
         return joined.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
-    crowded = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("key"), F.col("b").alias("set"), "spare")
-    load = crowded.groupBy("set").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("spare"))
-    short = load.where("n > spare").select("set")
-    rest = crowded.join(short, "set").join(labels.withColumnRenamed("node", "set"), "set", "left")
-    rest = materialize(rest.select("key", "set", F.coalesce("label", "set").alias("label")), "crowded")
+    shared = met.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    crowded = met.where(F.col("kind") == MEMBER).select(
+        F.col("a").alias("key"), F.col("b").alias("set"), F.col("n").cast("byte").alias("below"), F.col("need").alias("spare")
+    )
+    load = materialize(crowded.groupBy("set", "below").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("spare")), "load")
+    most = load.groupBy("set").agg(F.max("n").alias("most"))
+    shared = materialize(shared, "pairs-met")
+    enough = shared.where("n >= need").select("a", "b")
+    # Too few keys in common, unless crowded ones make up for it.
+    lacking = shared.where("n < need").join(most.select(F.col("set").alias("a"), F.col("most").alias("na")), "a")
+    lacking = lacking.join(most.select(F.col("set").alias("b"), F.col("most").alias("nb")), "b")
+    lacking = lacking.where("n + least(na, nb) >= need").select("a", "b")
+
+    short = load.where("n > spare").select("set", "below")
+    rest = crowded.join(short, ["set", "below"]).join(labels.withColumnRenamed("node", "set"), "set", "left")
+    rest = materialize(rest.select("key", "set", "below", F.coalesce("label", "set").alias("label")), "crowded")
     mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     rest = rest.join(mixed.select("key"), "key", "left_semi")
-    other = rest.select("key", F.col("set").alias("b"), F.col("label").alias("lb"))
-    across = rest.select("key", F.col("set").alias("a"), F.col("label").alias("la")).join(other, "key")
-    across = across.where("a < b AND la <> lb").select("a", "b")
-    pairs = apart(met.where(F.col("kind") == PAIR).select("a", "b").distinct()).unionByName(across)
+    pairs = apart(enough.unionByName(lacking)).unionByName(close_members(rest, docs, reps, k, percent))
     more = verified(pairs, docs, reps, k, percent)
     if not more.isEmpty():
         labels = connected(links.unionByName(more), "a", "b")
@@ -352,18 +457,19 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     Documents without shingles stay. Of rows equal in id and text one stays; of
     rows that share an id only, the one whose hash is least.
     """
-    if "_spot" in docs.columns:
-        raise ValueError("the input already has a column _spot")
+    docs = without(docs, "_spot", "_rows", "_size")
     found = jaccard_components(docs, doc_id=doc_id, text=text, **rule)
     some = found.where("n_shingles > 0").select("label", F.struct(F.col("doc_id"), F.col("spot")).alias("row"))
     best = some.groupBy("label").agg(F.min("row").alias("row"))
     rows = found.groupBy("spot").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("size"))
     kept = rows.join(best.select(F.col("row.spot").alias("spot"), F.lit(True).alias("best")), "spot", "left")
-    kept = kept.where("best OR size = 0").select(F.col("spot").alias("_spot"), "n", "size")
+    kept = kept.where("best OR size = 0").select(
+        F.col("spot").alias("_spot"), F.col("n").alias("_rows"), F.col("size").alias("_size")
+    )
     kept = materialize(kept, "kept")
     few = kept.count() <= 1_000_000  # 24 bytes each
     spotted = docs.withColumn("_spot", F.xxhash64(F.col(doc_id).cast("long"), text))
     joined = spotted.join(F.broadcast(kept) if few else kept, "_spot")
-    single = joined.where("n = 1 OR size = 0").select(*docs.columns)
-    repeated = joined.where("n > 1 AND size > 0").dropDuplicates(["_spot"]).select(*docs.columns)
+    single = joined.where("_rows = 1 OR _size = 0").select(*docs.columns)
+    repeated = joined.where("_rows > 1 AND _size > 0").dropDuplicates(["_spot"]).select(*docs.columns)
     return single.unionByName(repeated)
