@@ -12,8 +12,8 @@ only for an equal line.
    lines up to `edits` characters shorter.
 2. One aggregation with map-side combining finds the keys that two different
    lines share, and only lines with such a key go on, each once per key.
-3. Lines that share a key are compared inside the join: equal starts and ends
-   are taken off, and a bit-parallel automaton of 2 * edits + 1 diagonals, one
+3. Lines that share a key are compared inside the join: if their counts of some
+   characters allow it, equal starts and ends are taken off, and a bit-parallel automaton of 2 * edits + 1 diagonals, one
    register per number of edits, reads what is left.
 4. Equal lines are found by hash, with map-side combining.
 5. A document's dropped places are gathered, and its text is put together again.
@@ -30,6 +30,8 @@ for those named as the ones added.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
@@ -79,6 +81,11 @@ def _common_start(a: Column, b: Column, side, most: int = 20) -> Column:
     return F.aggregate(steps, F.lit(0), grown)
 
 
+def _let(values: Column, body) -> Column:
+    """`body` of a struct that is computed once, however often body names its fields."""
+    return F.get(F.transform(F.array(values), body), F.lit(0))
+
+
 def within(a: Column, b: Column, edits: int) -> Column:
     """Whether two texts are within `edits` edits of each other.
 
@@ -86,23 +93,20 @@ def within(a: Column, b: Column, edits: int) -> Column:
     edits: keep the diagonals whose next characters are equal, or come from
     e - 1 edits by replacing (same d), adding (d - 1) or leaving out (d + 1).
     """
-    ca, cb = (F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)) for x in (a, b))
     diagonals = range(-edits, edits + 1)
     mask = (1 << len(diagonals)) - 1
     state = [1 << edits]
     for _ in range(edits):
         state.append((state[-1] | state[-1] << 1) & mask)
     fields = [f"r{e}" for e in range(edits + 1)]
+    start = F.struct(*[F.lit(s).alias(f) for s, f in zip(state, fields)])
 
-    def equal_bits(x: Column, y: Column) -> Column:
-        def bits(char: Column, j: Column) -> Column:
-            out = F.lit(0)
-            for d in diagonals:
-                there = F.when(j + d >= 0, F.get(x, j + d))
-                out = out + F.when(F.coalesce(there == char, F.lit(False)), 1 << (d + edits)).otherwise(0)
-            return out
-
-        return F.transform(y, bits)
+    def equal_bits(x: Column, char: Column, j: Column) -> Column:
+        out = F.lit(0)
+        for d in diagonals:
+            there = F.when(j + d >= 0, F.get(x, j + d)) if d < 0 else F.get(x, j + d)
+            out = out + F.when(there == char, 1 << (d + edits)).otherwise(0)
+        return out
 
     def step(now: Column, equal: Column) -> Column:
         new = []
@@ -115,30 +119,43 @@ def within(a: Column, b: Column, edits: int) -> Column:
             new.append(value)
         return F.struct(*[v.alias(f) for v, f in zip(new, fields)])
 
-    start = F.struct(*[F.lit(s).alias(f) for s, f in zip(state, fields)])
-    differ = F.size(ca) - F.size(cb)
-    # The end is reached on the diagonal of the two lengths.
-    place = [F.when(differ == d, 1 << (d + edits)) for d in diagonals]
-    reached = F.aggregate(equal_bits(ca, cb), start, step, lambda s: s[fields[-1]].bitwiseAND(F.coalesce(*place)))
-    return (F.abs(differ) <= edits) & (reached != 0)
+    def read(p: Column) -> Column:
+        bits = F.transform(p["b"], lambda char, j: equal_bits(p["a"], char, j))
+        end = F.aggregate(bits, start, step, lambda s: s[fields[-1]])
+        differ = F.size(p["a"]) - F.size(p["b"])
+        # The end is reached on the diagonal of the two lengths.
+        place = F.coalesce(*[F.when(differ == d, 1 << (d + edits)) for d in diagonals], F.lit(0))
+        return end.bitwiseAND(place) != 0
+
+    chars = lambda x: F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0))
+    return _let(F.struct(chars(a).alias("a"), chars(b).alias("b")), read)
 
 
 def similar(a: Column, b: Column, edits: int) -> Column:
     """`within` after taking off the equal start and end, which no edit is needed for."""
-    near = F.abs(F.length(a) - F.length(b)) <= edits
     cut = lambda x, n: F.substring(x, n + 1, F.length(x))
-    head = _common_start(a, b, lambda x, n: F.left(x, n))
-    # One-element arrays, so that each part is computed once and named.
-    heads = F.transform(F.array(head), lambda n: F.struct(cut(a, n).alias("a"), cut(b, n).alias("b")))
-    ends = F.transform(
-        heads,
-        lambda p: F.struct(
-            p["a"].alias("a"), p["b"].alias("b"), _common_start(p["a"], p["b"], lambda x, n: F.right(x, n)).alias("n")
-        ),
-    )
     left = lambda x, n: F.left(x, F.length(x) - n)
-    found = F.transform(ends, lambda p: within(left(p["a"], p["n"]), left(p["b"], p["n"]), edits))
-    return near & F.get(found, F.lit(0))
+
+    def tail(p: Column) -> Column:
+        same = _common_start(p["a"], p["b"], lambda x, n: F.right(x, n))
+        named = F.struct(p["a"].alias("a"), p["b"].alias("b"), same.alias("n"))
+        return _let(named, lambda q: within(left(q["a"], q["n"]), left(q["b"], q["n"]), edits))
+
+    def head(p: Column) -> Column:
+        rest = F.struct(cut(p["a"], p["n"]).alias("a"), cut(p["b"], p["n"]).alias("b"))
+        return _let(rest, tail)
+
+    same = _common_start(a, b, lambda x, n: F.left(x, n))
+    found = _let(F.struct(a.alias("a"), b.alias("b"), same.alias("n")), head)
+    return F.when(F.abs(F.length(a) - F.length(b)) <= edits, found).otherwise(False)
+
+
+# An edit changes the counts of two characters by one at most, whichever are counted.
+COUNTED = "eaintrsolud "
+
+
+def char_counts(line: Column) -> list[Column]:
+    return [(F.length(line) - F.length(F.replace(line, F.lit(c)))).alias(f"c{i}") for i, c in enumerate(COUNTED)]
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -160,11 +177,13 @@ def near_lines(lines: DataFrame, edits: int, least: int) -> DataFrame:
     shared = materialize(shared.where("own AND low <> high").select("key"), "shared-keys")
     few = shared.count() <= FEW_ROWS
     members = keyed.join(F.broadcast(shared) if few else shared, "key").distinct()
-    members = materialize(members, "line-members")
-    own = members.where("own").select("key", F.col("id").alias("a"), F.col("line").alias("of_a"))
-    other = members.select(F.col("key").alias("key_b"), F.col("id").alias("b"), F.col("line").alias("of_b"))
+    members = materialize(members.select("*", *char_counts(F.col("line"))), "line-members")
+    counted = [f"c{i}" for i in range(len(COUNTED))]
+    own = members.where("own").select("key", F.col("id").alias("a"), F.col("line").alias("of_a"), *[F.col(c).alias(f"a_{c}") for c in counted])
+    other = members.select(F.col("key").alias("key_b"), F.col("id").alias("b"), F.col("line").alias("of_b"), *counted)
     # The comparison belongs to the join, so that no pair is kept that fails it.
-    alike = similar(F.col("of_a"), F.col("of_b"), edits)
+    apart = reduce(lambda x, y: x + y, [F.abs(F.col(f"a_{c}") - F.col(c)) for c in counted])
+    alike = F.when(apart <= 2 * edits, similar(F.col("of_a"), F.col("of_b"), edits)).otherwise(False)
     met = own.join(other, (F.col("key") == F.col("key_b")) & (F.col("a") != F.col("b")) & alike)
     one, two = (F.struct(F.col(x).alias("id"), F.col(y).alias("other")) for x, y in ("ab", "ba"))
     pairs = met.select(F.explode(F.array(one, two)).alias("p"))
