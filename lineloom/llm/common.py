@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keyed_mod(column: str | Column, n: int) -> Column:
     """crc32 of the value written as text, modulo n; NULL counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")) % n
+    value = F.col(column) if isinstance(column, str) else column
+    return F.crc32(F.coalesce(value.cast("string"), F.lit(""))) % n
 
 
 def spread(docs: DataFrame, *keys: str) -> DataFrame:

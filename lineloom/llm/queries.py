@@ -126,6 +126,60 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
+    # A near line holds one of three segments of the shorter line.
+    "op5_linededup": """
+WITH line AS (
+    SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS raw
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+), item AS (
+    SELECT *, trim(raw, ' ') AS line FROM line WHERE length(trim(raw, ' ')) >= 10
+), distinct_line AS (
+    SELECT line, min((doc_id, pos)) AS first FROM item GROUP BY line
+), cut AS (
+    SELECT line, first, length(line) AS n, length(line) // 3 AS b, length(line) % 3 AS r FROM distinct_line WHERE length(line) >= 24
+), near AS (
+    SELECT x.line AS line, y.first AS first, y.line AS other, x.first AS other_first
+    FROM cut x JOIN cut y ON x.n BETWEEN y.n AND y.n + 2 AND x.line <> y.line
+     AND (starts_with(x.line, left(y.line, y.b)) OR ends_with(x.line, right(y.line, y.b + CAST(y.r > 0 AS INT)))
+          OR contains(x.line, substr(y.line, y.b + 1, y.b + CAST(y.r > 1 AS INT))))
+    WHERE levenshtein(x.line, y.line) <= 2
+), earliest AS (
+    SELECT line, min(first) AS first
+    FROM (SELECT line, first FROM distinct_line UNION ALL SELECT line, first FROM near UNION ALL SELECT other, other_first FROM near)
+    GROUP BY line
+), gone AS (
+    SELECT i.doc_id, i.pos, e.first FROM item i JOIN earliest e USING (line) WHERE e.first < (i.doc_id, i.pos)
+), per_doc AS (
+    SELECT doc_id, list(pos ORDER BY pos) AS pos, list_sort(list(DISTINCT first[1])) AS sources FROM gone GROUP BY doc_id
+), kept AS (
+    SELECT l.doc_id, coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text, count(*) AS n
+    FROM line l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id
+)
+SELECT doc_id, CAST(n AS INTEGER) AS n_lines, CAST(coalesce(len(p.pos), 0) AS INTEGER) AS n_dropped, length(text) AS kept_chars,
+       sha256(text) AS kept_sha256, coalesce(array_to_string(p.pos, ','), '') AS dropped,
+       coalesce(array_to_string(p.sources, ','), '') AS source_doc_ids
+FROM kept LEFT JOIN per_doc p USING (doc_id)
+""",
+    "op8_jaccard": """
+WITH RECURSIVE word AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') AS w
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM word
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN size x ON x.doc_id = a.doc_id JOIN size y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+    SELECT doc_id AS node, doc_id AS label FROM documents UNION SELECT link.b, reach.label FROM reach JOIN link ON link.a = reach.node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, label AS component_id
+FROM (SELECT node AS doc_id, min(label) AS label FROM reach GROUP BY node) LEFT JOIN size USING (doc_id)
+""",
     "op10_topk": """
 WITH sound AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
