@@ -82,12 +82,12 @@ def parse_listing(bodies: DataFrame, column: str = "body", *, on_fault: str = "f
     A body that is no JSON object, or is a service's error, fails the query;
     with `on_fault` = "skip" it gives no row, and `listing_faults` reports it.
     """
-    return _objects(_parsed(bodies, column).select("b.*"), F.col("corrupt"), on_fault)
+    return _objects(_parsed(bodies, column), F.col("corrupt"), on_fault)
 
 
 def listing_faults(bodies: DataFrame, column: str = "body") -> DataFrame:
     """(body, fault): bodies that `parse_listing` cannot take, and why."""
-    found = _parsed(bodies, column).select(F.col(column).alias("body"), "b.*")
+    found = _parsed(bodies, column)
     return found.withColumn("fault", _fault(F.col("corrupt"))).where("fault IS NOT NULL").select("body", "fault")
 
 
@@ -96,8 +96,10 @@ _FAULT_FIELDS = "error_code string, message string, corrupt string"
 
 def _parsed(bodies: DataFrame, column: str) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
-    missing = F.coalesce(F.col(column), F.lit("null"))
-    return bodies.withColumn("b", F.from_json(missing, f"{LISTING_SCHEMA}, {_FAULT_FIELDS}", options))
+    parsed = F.from_json("body", f"{LISTING_SCHEMA}, {_FAULT_FIELDS}", options)
+    found = bodies.select(F.col(column).alias("body")).withColumn("b", parsed)
+    corrupt = F.when(F.col("body").isNull(), "no body").otherwise(F.col("b.corrupt"))
+    return found.select("body", "b.objects", "b.error_code", "b.message", corrupt.alias("corrupt"))
 
 
 def _fault(corrupt):

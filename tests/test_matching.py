@@ -1,6 +1,7 @@
 """Name search against brute force, and the properties of the lineage map."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,3 +283,34 @@ def test_breaks_cover_white_space(spark):
     df = spark.createDataFrame([("a\tb\u000bc\fd",)], "t string")
     assert df.select(words_of(F.col("t")).alias("w")).first().w == ["a", "b", "c", "d"]
     assert "/" in WORD_BREAKS
+
+
+@pytest.mark.parametrize("bound", [NARROW, WIDE])
+def test_least_names_equal_brute_force(spark, bound):
+    rng = random.Random(bound + 1)
+    letters = "ab ,.'\n"
+    texts = {f"p{i}": "".join(rng.choice(letters) for _ in range(rng.randrange(30))) for i in range(120)} | {"none": "", "blank": "\n"}
+    names = sorted({"".join(rng.choice("ab ,'") for _ in range(rng.randrange(1, 5))) for _ in range(40)} - {""})
+    table = materialize(
+        spark.createDataFrame([(n, "xy"[i % 2], i) for i, n in enumerate(names)], "pattern string, kind string, place long"), "t"
+    )
+    hits = matching.least_names(scripts(spark, texts), ["path"], "text", table, kinds=["x", "y"], bound=bound)
+    got = {r.path: (r.x, r.y) for r in hits.groupBy("path").agg(F.min("x").alias("x"), F.min("y").alias("y")).collect()}
+    first = lambda text, k: min((i for i, n in enumerate(names) if i % 2 == k and n in text), default=None)
+    assert got == {p: (first(t, 0), first(t, 1)) for p, t in texts.items()}
+
+
+def test_a_name_in_parts_is_looked_for_once_per_text(spark):
+    """A name with a blank whose longest part stands in the text tens of thousands of times."""
+    known = assets(spark, ["my report", "my"])
+
+    def seconds(n):
+        text = "".join(f"my_report{i % 9} = report + 1\n" for i in range(n))
+        start = time.perf_counter()
+        assert rows(first_match(scripts(spark, {"/s": text}), known, SOURCE)) == [("/s", "cat://d/x/my")]
+        found = all_matches(scripts(spark, {"/s": text + "my report"}), known, known, words=["report"])
+        assert found.count() == 3
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 2 * seconds(20_000) + 3

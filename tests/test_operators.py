@@ -162,6 +162,41 @@ def test_composition_faults(spark):
     assert rows(model.composition_faults(links, parents, "c", "p")) == [("orphan", 0), ("two", 2)]
 
 
+def test_options_containers_and_cardinality(spark):
+    types = {r.type_name: r for r in model.type_table(spark).collect()}
+    assert types["table"].options == {"schemaElementAttribute": "columns"} and types["job"].options == {}
+    relation = model.relation_table(spark).first()
+    assert (relation.parent_container, relation.child_container) == (True, False)
+    assert model.type_table(spark, []).count() == 0 == model.relation_table(spark, []).count()
+    odd = model.type_table(spark, [("it's \\", [], [("a'b", "\\n'", True)], {"k'": "v"})]).first()
+    assert (odd.type_name, odd.attributes[0].default, odd.options) == ("it's \\", "\\n'", {"k'": "v"})
+    assert "Scan ExistingRDD" not in model.type_table(spark)._jdf.queryExecution().toString()
+    links = spark.createDataFrame([("ok", "t1"), ("none", "gone"), ("two", "t1"), ("two", "t2")], "c string, p string")
+    parents = spark.createDataFrame([("t1",), ("t2",)], "p string")
+    one = lambda category, cardinality: model.relation_table(spark, [("r", category, "a", "x", "SET", True, "b", "y", cardinality, False)])
+    found = lambda *rule: rows(model.relation_faults(links, one(*rule), "r", parents, "c", "p"))
+    assert found("COMPOSITION", "SINGLE") == [("none", 0), ("two", 2)]
+    assert found("COMPOSITION", "SET") == [("none", 0)] and found("ASSOCIATION", "SINGLE") == [("two", 2)]
+    with pytest.raises(ValueError):
+        model.relation_faults(links, one("COMPOSITION", "SINGLE"), "other", parents, "c", "p")
+
+
+def test_processes_and_tables_share_one_table(spark):
+    ends = F.array(F.struct(F.lit("file").alias("type_name"), F.col("k").alias("qualified_name"), F.lit("g").alias("guid")))
+    df = spark.createDataFrame([("a",)], "k string")
+    job = E.make_entity(df, "job", qualified_name=F.col("k"), name=F.col("k"), attributes={}, inputs=ends, outputs=ends)
+    merged = E.upsert(entity_table(spark, ["a", "b"]), job.unionByName(entity_table(spark, ["b"])))
+    assert sorted((r.type_name, r.qualified_name, r.inputs is not None) for r in merged.collect()) == [
+        ("job", "a", True), ("table", "a", False), ("table", "b", False)
+    ]
+
+
+def test_upsert_refuses_two_new_rows_without_an_order(spark):
+    new = entity_table(spark, ["a"])
+    with pytest.raises(ValueError, match="more than one new row"):
+        E.upsert(entity_table(spark, ["b"]), new.unionByName(new))
+
+
 # -- terms -------------------------------------------------------------------
 
 

@@ -1,6 +1,7 @@
 """Catalog inventory, script files, listings and round trips on temporary data."""
 
 import json
+import shutil
 from pathlib import Path
 
 import pytest
@@ -232,3 +233,107 @@ def test_edges_and_jobs(spark):
     jobs = lineage.job_entities(found, domain="d").collect()
     assert len({j.guid for j in jobs}) == 2
     assert all(j.inputs[0].guid == "gF" and j.outputs[0].guid == "gT" and j.attributes["job_type"] == "notebook" for j in jobs)
+
+
+# -- paths, bodies and values that are easily lost -------------------------------
+
+
+ODD_NAMES = ["My Notebook", "a+b", "100%", "50%20off", "Übersicht ß", "dots.in.name", "semi;colon", "hash#tag", "quest?ion"]
+
+
+@pytest.mark.parametrize("root", ["plain", "root with space", "r+%41"])
+def test_script_paths_are_the_names_written(spark, tmp_path, root):
+    folder = tmp_path / root / "deep er"
+    folder.mkdir(parents=True)
+    for i, name in enumerate(ODD_NAMES):
+        (folder / f"{name}.py").write_text(f"line {i}")
+    base = str(tmp_path / root)
+    wanted = sorted((f"/Shared/deep er/{n}", f"line {i}") for i, n in enumerate(ODD_NAMES))
+    for read in (S.read_scripts, S.read_script_lines):
+        for export_root in (base, f"file://{base}", f"file:{base}/"):
+            assert rows(S.listed_paths(read(spark, base), export_root, "/Shared")) == wanted
+
+
+def test_a_path_outside_the_root_fails(spark):
+    odd = spark.createDataFrame([("/other/x/a.py",)], "path string")
+    for root in ("/x", "/other/y", "/other/x/a.p"):
+        with pytest.raises(Exception, match="not below"):
+            S.listed_paths(odd, root).collect()
+
+
+def test_listing_faults(spark, tmp_path):
+    good = {"objects": [{"object_id": "1", "object_type": "NOTEBOOK", "path": "/n"}]}
+    bodies = [json.dumps(good), json.dumps(good, indent=2), "{}", '{"objects": [', '{"error_code": "DENIED", "message": "no"}', None]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    sound = spark.createDataFrame([(b,) for b in bodies[:3]], "body string")
+    assert rows(S.parse_listing(sound)) == [("1", "NOTEBOOK", "/n", None)] * 2
+    for body in bodies[3:]:
+        with pytest.raises(Exception, match="listing body"):
+            S.parse_listing(spark.createDataFrame([(body,)], "body string")).collect()
+    assert len(rows(S.parse_listing(df, on_fault="skip"))) == 2
+    faults = {r.body: r.fault for r in S.listing_faults(df).collect()}
+    assert set(faults) == set(bodies[3:]) and faults[None] == "malformed: no body"
+    assert faults[bodies[4]] == "error DENIED: no" and faults[bodies[3]].startswith("malformed")
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "l.json").write_text(json.dumps(good, indent=2))
+    assert len(rows(S.read_listing(spark, str(tmp_path / "one"), multiline=True))) == 1
+    with pytest.raises(Exception, match="listing body"):
+        S.read_listing(spark, str(tmp_path / "one")).collect()
+
+
+VALUES = ["", None, " ", "a ", " a", ",", "a,b", '"', 'say "x"', "\\", "\\N", "\\\\N", "\\n", "\n", "a\r\nb", "\t", "é", "#", "'"]
+
+
+def test_odd_values_survive(spark, tmp_path):
+    mapping = spark.createDataFrame([(f"/p{i}{v}", v, VALUES[-i]) for i, v in enumerate(VALUES)], "path string, source string, target string")
+    files.write_map(mapping, str(tmp_path / "map"))
+    assert rows(files.read_map(spark, str(tmp_path / "map"))) == rows(mapping)
+    for columns in (["path", "source", "target"], ["source"], ["source", "path"]):
+        files.write_ids(mapping, columns, str(tmp_path / "-".join(columns)))
+        assert rows(files.read_ids(spark, str(tmp_path / "-".join(columns)), columns)) == rows(mapping.select(*columns))
+
+
+def test_catalog_keeps_declared_types_and_lives_with_absent_folders(spark, tmp_path):
+    spark.range(3).selectExpr("CAST(id AS STRING) AS v", "'abc' AS c").write.parquet(str(tmp_path / "gone"))
+    spark.sql("CREATE DATABASE declared")
+    try:
+        spark.sql(f"CREATE TABLE declared.gone (v VARCHAR(10), c CHAR(5)) USING parquet LOCATION '{tmp_path}/gone'")
+        spark.sql("CREATE TABLE declared.here (x INT) USING parquet")
+        spark.sql("INSERT INTO declared.here VALUES (1)")
+        columns = {r[1:] for r in rows(catalog.list_columns(spark, ["declared"]))}
+        assert columns == {("gone", "v", "varchar(10)"), ("gone", "c", "char(5)"), ("here", "x", "int")}
+        shutil.rmtree(tmp_path / "gone")
+        found = {r.name: r for r in catalog.table_detail(spark, ["declared"]).collect()}
+        assert found["declared.gone"].numFiles == 0 and found["declared.gone"].lastModified is None
+        assert found["declared.here"].numFiles == 1
+    finally:
+        spark.sql("DROP DATABASE declared CASCADE")
+
+
+def test_many_databases_are_one_plan(spark):
+    names = [f"many{i}" for i in range(40)]
+    for n in names:
+        spark.sql(f"CREATE DATABASE {n}")
+    try:
+        listed = catalog.list_tables(spark, names)
+        assert listed.count() == 0 and "Union" not in listed._jdf.queryExecution().toString()
+    finally:
+        for n in names:
+            spark.sql(f"DROP DATABASE {n}")
+
+
+def test_scratch_of_round_trips_is_dropped_too(spark):
+    from lineloom.session import scratch_path
+
+    path = scratch_path(spark, "by-hand")
+    files.write_ids(spark.range(2).select(F.col("id").cast("string")), ["id"], path)
+    assert Path(path).exists()
+    drop_scratch(spark)
+    assert not Path(path).exists()
+
+
+def test_unresolved_processes(spark):
+    mapping = spark.createDataFrame([("/a", "f1", "t1"), ("/b", "f1", "t2"), ("/c", "f2", "t1"), ("/d", None, "t1")], "path string, source string, target string")
+    known = spark.createDataFrame([("file", "f1", "g1"), ("table", "t1", "g2")], "type_name string, qualified_name string, guid string")
+    assert rows(lineage.resolve_processes(mapping, known).select("path")) == [("/a",)]
+    assert rows(lineage.unresolved_processes(mapping, known)) == [("/b", "f1", "t2", True, False), ("/c", "f2", "t1", False, True)]
