@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..session import materialize
 
@@ -25,6 +25,13 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))).first()[0]
 
 
+def materialize_measured(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The written table and its `measured_bytes`, both from one job."""
+    seen = Observation(f"bytes of {label}")
+    size = F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes")
+    return materialize(df.observe(seen, size), label), seen.get["bytes"]
+
+
 def hot_keys(left: DataFrame, on: list[str], parts: int) -> DataFrame:
     """(on, _salts): keys with more than one part in `parts` of the rows, at most `parts` of them.
 

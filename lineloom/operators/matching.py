@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import WORD_BREAKS, grams_of, pieces_of, tokens_of
 from ..session import materialize
-from .joins import BROADCAST_BYTES, keyed_join, measured_bytes, row_bytes
+from .joins import BROADCAST_BYTES, keyed_join, materialize_measured, row_bytes
 
 # Lengths of the pieces names are looked up by. A name takes the longest that
 # fits; few lengths keep the words from being cut up too often.
@@ -73,17 +73,17 @@ class _Search:
         vocabulary = self.words([]).where(F.length("word") >= self.facts["shortest"]).distinct()
         return _word_pairs(vocabulary, self.prepared, self.facts, self.bound)
 
-    def joined(self, pairs: DataFrame) -> DataFrame:
-        return keyed_join(self.words(self.keys), pairs, ["word"], "inner", self.keys, bound=self.bound)
+    def joined(self, pairs: DataFrame, size: int) -> DataFrame:
+        return keyed_join(self.words(self.keys), pairs, ["word"], "inner", self.keys, bound=self.bound, right_bytes=size)
 
     def checked(self, asked: DataFrame) -> DataFrame:
         """Those of the distinct (keys, pattern, …) whose text contains the whole pattern."""
-        asked = materialize(asked, "open-hits")
+        asked, size = materialize_measured(asked, "open-hits")
         aside = {k: f"_{k}" for k in self.keys}
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(aside[k])) for k in self.keys])
         contains = _verifies(self.text, self.wildcards)
         probe = self.texts.select(*self.keys, self.text)
-        if measured_bytes(asked) <= self.bound:
+        if size <= self.bound:
             right = F.broadcast(asked.withColumnsRenamed(aside))
             found = probe.join(right, same & contains)
             return found.select(*self.keys, *[c for c in asked.columns if c not in self.keys])
@@ -113,7 +113,7 @@ def find_names(
     search = _Search(texts, keys, text, patterns, wildcards, bound)
     if search.empty:
         return texts.select(*keys, *search.blank).where(F.lit(False))
-    joined = search.joined(materialize(search.pairs(), "word-pairs"))
+    joined = search.joined(*materialize_measured(search.pairs(), "word-pairs"))
     if search.facts["exact"]:
         return joined.select(*keys, *search.payload)
     joined = materialize(joined.select(*keys, "exact", "pattern", *search.payload).distinct(), "hits")
@@ -150,21 +150,23 @@ def least_names(
     if not search.facts["exact"]:
         every = materialize(every, "word-pairs")
     exact = every.where("exact").groupBy("word").agg(*firsts(every))
-    exact = materialize(exact, "first-pairs")
+    exact, size = materialize_measured(exact, "first-pairs")
     by_word = search.words(keys)
-    size = measured_bytes(exact)
     if size <= bound:
         sure = by_word.join(F.broadcast(exact), "word", "left").select(*keys, *kinds)
     else:
         found = keyed_join(by_word, exact, ["word"], "inner", keys, bound=bound, right_bytes=size)
         sure = found.select(*keys, *kinds).unionByName(texts.select(*keys, *none))
-    if search.facts["exact"]:
+    open_pairs, open_size = None, 0
+    if not search.facts["exact"]:
+        unsure = every.where("NOT exact").select("word", "pattern", "kind", "place")
+        open_pairs, open_size = materialize_measured(unsure, "open-pairs")
+    if not open_size:
         # Texts without a word give no row above.
         return sure.unionByName(texts.where(F.coalesce(F.size(tokens_of(F.col(text))), F.lit(0)) == 0).select(*keys, *none))
     sure = sure.unionByName(texts.select(*keys, *none)).groupBy(*keys).agg(*[F.min(k).alias(k) for k in kinds])
     sure = materialize(sure, "sure")
-    open_pairs = materialize(every.where("NOT exact").select("word", "pattern", "kind", "place"), "open-pairs")
-    asked = search.joined(open_pairs).select(*keys, "pattern", "kind", "place").distinct()
+    asked = search.joined(open_pairs, open_size).select(*keys, "pattern", "kind", "place").distinct()
     known = reduce(lambda out, k: F.when(F.col("kind") == k, F.col(f"_of_{k}")).otherwise(out), kinds, F.lit(None))
     aside = sure.withColumnsRenamed({**{k: f"_key_{k}" for k in keys}, **{k: f"_of_{k}" for k in kinds}})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])

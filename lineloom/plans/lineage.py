@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.names import is_csv_name, job_key, last_segment, short_name
 from ..functions.text import WRITE_WORDS, lines_of, mentions_any
 from ..operators.entities import TABLE, FILE, JOB, make_entity
-from ..operators.joins import BROADCAST_BYTES, keyed_join, measured_bytes
+from ..operators.joins import BROADCAST_BYTES, keyed_join, materialize_measured
 from ..operators.matching import find_names, least_names
 from ..operators.tree import scripts_of, walk_tree
 from ..session import materialize
@@ -52,8 +52,8 @@ def _ordered(asset_list: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def _catalogue(files: DataFrame | None, tables: DataFrame | None) -> DataFrame:
-    """One row per kind and name, its first qualified name, and its place in the order.
+def _catalogue(files: DataFrame | None, tables: DataFrame | None) -> tuple[DataFrame, int]:
+    """One row per kind and name, its first qualified name, and its place in the order; and the bytes of all.
 
     `place` makes "first match" a minimum of a number, which the matching
     aggregates in place. It is taken after a global sort and written, so it
@@ -65,7 +65,7 @@ def _catalogue(files: DataFrame | None, tables: DataFrame | None) -> DataFrame:
     ordered = best.select("kind", "pattern", "name", "best.rank", "best.qualified_name").orderBy(
         "rank", "name", "qualified_name", "kind"
     )
-    return materialize(ordered.withColumn("place", F.monotonically_increasing_id()), "catalogue")
+    return materialize_measured(ordered.withColumn("place", F.monotonically_increasing_id()), "catalogue")
 
 
 def _lowered(scripts: DataFrame, wildcards: bool) -> DataFrame:
@@ -92,12 +92,12 @@ def first_match(
     First means the caller's `rank` if the list has one, then the name, then
     the qualified name. Scripts that name none are left out.
     """
-    catalogue = _catalogue(asset_list if kind == SOURCE else None, asset_list if kind == TARGET else None)
+    catalogue, size = _catalogue(asset_list if kind == SOURCE else None, asset_list if kind == TARGET else None)
     texts = _unit_keys(_lowered(scripts, wildcards))
     patterns = catalogue.select("pattern", "kind", "place")
     hits = least_names(texts, ["path", "unit"], "text", patterns, kinds=[kind], wildcards=wildcards, bound=bound)
     first = hits.where(F.col(kind).isNotNull()).groupBy("path").agg(F.min(kind).alias("place"))
-    return _name_of(first, catalogue, "place", kind, measured_bytes(catalogue), bound)
+    return _name_of(first, catalogue, "place", kind, size, bound)
 
 
 def match_counts(
@@ -139,8 +139,7 @@ def lineage_map(
     else:
         scripts = scripts.withColumn("writes", writes)
 
-    catalogue = _catalogue(files, tables)
-    size = measured_bytes(catalogue)
+    catalogue, size = _catalogue(files, tables)
     texts = _unit_keys(_lowered(scripts.select("path", "text", "writes"), wildcards))
     hits = least_names(
         texts,
