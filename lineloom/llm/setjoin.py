@@ -288,12 +288,18 @@ def sketches(shingles: np.ndarray, lows: np.ndarray, below: int) -> bytes:
 
 CLOSE_SCHEMA = "a long, b long"
 BLOCK = 1000
+ROUNDS = 4
 
 
-def _close(part: pa.Table, percent: int) -> pa.Table:
-    """Pairs of two blocks of a crowded key's sets that may link, by size and sketch."""
+def _close(part: pa.Table, percent: int, spanning: bool) -> pa.Table:
+    """Pairs of two blocks of a crowded key's sets that may link, by size and sketch.
+
+    With `spanning`, each set gets the nearest only, and the two count as
+    connected from there on, so no more pairs come out than sets go in.
+    """
     side = part.column("side").to_numpy()
-    sets, labels, sizes, below = (part.column(c).to_numpy() for c in ("set", "label", "size", "below"))
+    sets, sizes, below = (part.column(c).to_numpy() for c in ("set", "size", "below"))
+    labels = part.column("label").to_numpy().copy()
     sketch = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for x in part.column("sketch")])
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if not len(right):
@@ -305,20 +311,20 @@ def _close(part: pa.Table, percent: int) -> pa.Table:
         near &= (below[right] == 0) | (below[i] == 0)
         j = right[near]
         apart = (sketch[j] != sketch[i]).sum(1)
-        j = j[apart * (100 + percent) <= (100 - percent) * (sizes[i] + sizes[j])]
+        may = apart * (100 + percent) <= (100 - percent) * (sizes[i] + sizes[j])
+        j = j[may]
+        if spanning and len(j):
+            j = j[[apart[may].argmin()]]
+            labels[labels == labels[i]] = labels[j[0]]
         out.append(np.stack([np.minimum(sets[i], sets[j]), np.maximum(sets[i], sets[j])], 1))
     pairs = np.unique(np.concatenate(out), axis=0)
     return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def close_members(crowded: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b) pairs that share a crowded key and may link; rows (key, set, below, label).
-
-    The sets of a key meet in blocks of bounded size, and only what the sketches
-    leave possible comes out.
-    """
+def sketched(members: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """(set, size, below, sketch) of the sets of crowded keys."""
     lows = bands(percent)
-    wanted = materialize(reps.join(crowded.select("set").distinct(), "set", "left_semi"), "crowded-sets")
+    wanted = materialize(reps.join(members.select("set").distinct(), "set", "left_semi"), "crowded-sets")
     few = wanted.count() <= 1_000_000  # 16 bytes each
     chosen = docs.join(F.broadcast(wanted) if few else wanted, "spot").select("set", "text")
 
@@ -332,17 +338,30 @@ def close_members(crowded: DataFrame, docs: DataFrame, reps: DataFrame, k: int,
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int8(), pa.binary()))]
         return pa.RecordBatch.from_arrays(columns, ["set", "size", "below", "sketch"])
 
-    made = materialize(map_arrow(chosen, cut, SKETCH_SCHEMA).dropDuplicates(["set", "below"]), "sketches")
-    sizes = crowded.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = crowded.join(sizes, "key").withColumn("blocks", blocks)
+    return materialize(map_arrow(chosen, cut, SKETCH_SCHEMA).dropDuplicates(["set", "below"]), "sketches")
+
+
+def close_members(members: DataFrame, labels: DataFrame, made: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """(a, b) pairs that share a crowded key, are not connected, and may link.
+
+    `members` is (key, set, below). The sets of a key meet in blocks of bounded
+    size, and only what the sketches leave possible comes out.
+    """
+    labelled = members.join(labels.withColumnRenamed("node", "set"), "set", "left")
+    labelled = materialize(labelled.select("key", "set", "below", F.coalesce("label", "set").alias("label")), "crowded")
+    sizes = labelled.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    mixed = sizes.where("low <> high").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = labelled.join(mixed, "key")
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
     meets = lambda o: F.struct(
         F.least(own, o).alias("one"), F.greatest(own, o).alias("two"), F.when(own > o, 1).otherwise(0).alias("side")
     )
     dealt = dealt.withColumn("m", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), meets)))
     rows = dealt.select("key", "set", "label", "below", "m.*").join(made, ["set", "below"])
-    return rows.groupBy("key", "one", "two").applyInArrow(lambda part: _close(part, percent), CLOSE_SCHEMA).distinct()
+    met = rows.groupBy("key", "one", "two").applyInArrow(lambda part: _close(part, percent, spanning), CLOSE_SCHEMA)
+    return met.distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
@@ -427,11 +446,19 @@ def jaccard_components(
     lacking = lacking.where("n + least(na, nb) >= need").select("a", "b")
 
     short = load.where("n > spare").select("set", "below")
-    rest = crowded.join(short, ["set", "below"]).join(labels.withColumnRenamed("node", "set"), "set", "left")
-    rest = materialize(rest.select("key", "set", "below", F.coalesce("label", "set").alias("label")), "crowded")
-    mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rest = rest.join(mixed.select("key"), "key", "left_semi")
-    pairs = apart(enough.unionByName(lacking)).unionByName(close_members(rest, docs, reps, k, percent))
+    members = materialize(crowded.join(short, ["set", "below"]).select("key", "set", "below"), "members")
+    rest = None
+    if not members.isEmpty():
+        made = sketched(members, docs, reps, k, percent)
+        for _ in range(ROUNDS):  # join groups of near copies by few pairs before all pairs left are looked at
+            new = verified(close_members(members, labels, made, percent, True), docs, reps, k, percent)
+            if new.isEmpty():
+                break
+            links = links.unionByName(new)
+            labels = connected(links, "a", "b")
+        rest = close_members(members, labels, made, percent, False)
+    pairs = apart(enough.unionByName(lacking))
+    pairs = pairs if rest is None else pairs.unionByName(rest)
     more = verified(pairs, docs, reps, k, percent)
     if not more.isEmpty():
         labels = connected(links.unionByName(more), "a", "b")
