@@ -176,15 +176,18 @@ def shingle_hashes(words: np.ndarray, place: np.ndarray, k: int) -> tuple[np.nda
 def split_points(df: DataFrame, key: str, parts: int, sample: int = 20000) -> list:
     """Up to parts - 1 values of `key` that cut the rows into ranges of like size.
 
-    They come from a bounded sample by hash and steer only how rows are dealt out.
+    They come from a sample by hash of about `sample` different values, and
+    steer only how rows are dealt out.
     """
     if parts < 2:
         return []
     keys = df.select(key).where(F.col(key).isNotNull())
-    rows = keys.orderBy(F.xxhash64(key), key).limit(sample).collect()
-    values = sorted(r[0] for r in rows)
-    picked = [values[len(values) * i // parts] for i in range(1, parts)] if values else []
-    return sorted(set(picked) - {values[0]} if values else picked)
+    share = min(1.0, sample / max(1, keys.count()))
+    picked = F.pmod(F.xxhash64(key, F.lit("split")), F.lit(1 << 30)) < int(share * (1 << 30))
+    # Different values only: a frequent one comes once.
+    values = sorted(r[0] for r in keys.where(picked).distinct().collect())
+    points = {values[len(values) * i // parts] for i in range(1, parts)} if values else set()
+    return sorted(points - set(values[:1]))
 
 
 def range_of(key: str, points: list) -> Column:
