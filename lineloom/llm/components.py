@@ -33,3 +33,16 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
         labels = moved.select("node", "label")
         if moved.where("moved").isEmpty():
             return labels
+
+
+def with_links(labels: DataFrame, links: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, label) after more links: only the components that they join are worked on."""
+    ends = links.select(F.explode(F.array(a, b)).alias("node")).distinct()
+    new = ends.join(labels.select("node"), "node", "left_anti").withColumn("label", F.col("node"))
+    nodes = materialize(labels.select("node", "label").unionByName(new), "nodes")
+    of = lambda end, label: nodes.select(F.col("node").alias(end), F.col("label").alias(label))
+    between = links.select(a, b).join(of(a, "_la"), a).join(of(b, "_lb"), b).where("_la <> _lb")
+    joined = connected(between.select("_la", "_lb").distinct(), "_la", "_lb")
+    joined = joined.select(F.col("node").alias("label"), F.col("label").alias("_least"))
+    moved = nodes.join(joined, "label", "left").select("node", F.coalesce("_least", "label").alias("label"))
+    return materialize(moved, "labels")

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .common import map_arrow, mix, parts_for, shingle_hashes, spread, text_runs, total_bytes, without, word_hashes
-from .components import connected
+from .components import connected, with_links
 
 CROWDED = 8
 SURPLUS = 0.1
@@ -288,7 +288,7 @@ def sketches(shingles: np.ndarray, lows: np.ndarray, below: int) -> bytes:
 
 CLOSE_SCHEMA = "a long, b long"
 BLOCK = 1000
-ROUNDS = 4
+ROUNDS = 8
 
 
 def _close(part: pa.Table, percent: int, spanning: bool) -> pa.Table:
@@ -451,17 +451,17 @@ def jaccard_components(
     if not members.isEmpty():
         made = sketched(members, docs, reps, k, percent)
         for _ in range(ROUNDS):  # join groups of near copies by few pairs before all pairs left are looked at
-            new = verified(close_members(members, labels, made, percent, True), docs, reps, k, percent)
+            close = close_members(members, labels, made, percent, True).groupBy("b").agg(F.min("a").alias("a"))
+            new = verified(close, docs, reps, k, percent)
             if new.isEmpty():
                 break
-            links = links.unionByName(new)
-            labels = connected(links, "a", "b")
+            labels = with_links(labels, new, "a", "b")
         rest = close_members(members, labels, made, percent, False)
     pairs = apart(enough.unionByName(lacking))
     pairs = pairs if rest is None else pairs.unionByName(rest)
     more = verified(pairs, docs, reps, k, percent)
     if not more.isEmpty():
-        labels = connected(links.unionByName(more), "a", "b")
+        labels = with_links(labels, more, "a", "b")
 
     placed = labels.withColumnRenamed("node", "set")
     in_set = sets.where("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"))

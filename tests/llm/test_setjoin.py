@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lineloom.llm import setjoin
-from lineloom.llm.components import connected
+from lineloom.llm.components import connected, with_links
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 SCHEMA = "doc_id long, text string"
@@ -113,3 +113,12 @@ def test_connected(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.node: r.label for r in connected(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
+
+
+def test_more_links_give_the_same_as_all_at_once(spark):
+    rng = random.Random(11)
+    links = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)]
+    frame = lambda part: spark.createDataFrame(part, "a long, b long")
+    plain = lambda df: {r.node: r.label for r in df.collect() if r.node != r.label}
+    step = with_links(with_links(connected(frame(links[:20]), "a", "b"), frame(links[20:40]), "a", "b"), frame(links[40:]), "a", "b")
+    assert plain(step) == plain(connected(frame(links), "a", "b"))
