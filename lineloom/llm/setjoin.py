@@ -288,7 +288,7 @@ def sketches(shingles: np.ndarray, lows: np.ndarray, below: int) -> bytes:
 
 CLOSE_SCHEMA = "a long, b long"
 BLOCK = 1000
-ROUNDS = 3
+ROUNDS = 4
 
 
 def _close(part: pa.Table, percent: int, spanning: bool) -> pa.Table:
