@@ -3,14 +3,16 @@
 A page becomes lines, one per block of text, each marked by where it stands:
 in an element that is never main text (menu, page header, footer, sidebar,
 notice, advert, form, comments, …), in the article, or in neither. Only the
-third kind is in doubt. To settle it, the pages of a host are put in the order
-of their URL paths and each is paired with the neighbour that shares the longer
-start of the path; the lines of both are aligned by longest common subsequence,
-and lines in doubt that both have are deleted. What an article says is kept
-even if the neighbour says the same, so copies of an article stay whole.
+third kind is in doubt. The pages of a host are put in the order of their URL
+paths and each is paired with the neighbour that shares the longer start of the
+path; the lines of both are aligned by longest common subsequence, and lines that
+both have are deleted, those of an article too. A neighbour that has more than
+MOST_SHARED of the characters of a page's article (of its lines in doubt, if it
+has none) is a copy, which tells nothing: copies stay whole.
 
-If a page has an article, lines in neither kind of place are left out; without
-one, those that differ from the neighbour's are its text.
+If a page has an article, lines in doubt are left out, unless those that differ
+from the neighbour's hold more characters than are left of the article, which is
+a mere card then; without an article, they are its text.
 
 Null and empty pages give the empty text. Repeated rows (equal id, URL and
 page) and equal URLs are neighbours like others. A page that is alone on its
@@ -31,6 +33,8 @@ from .common import map_arrow, parts_for, range_of, split_points, spread, total_
 LINES_SCHEMA = "page_id long, url string, at string, lines array<string>, kinds array<tinyint>"
 TEXT_SCHEMA = "page_id long, url string, text string"
 BOILERPLATE, DOUBT, MAIN = 0, 1, 2
+# Shared characters, by kind, that make a copy: an article is mostly text, lines in doubt are often mostly frame.
+MOST_SHARED = {MAIN: 0.5, DOUBT: 0.8}
 
 # Element names of the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -240,12 +244,21 @@ def _near(a: str | None, b: str | None) -> int:
     return same
 
 
+def _is_copy(lines: list[str], kinds: list[int], shared: list[bool]) -> bool:
+    """Whether a page with these shared lines would lose its text by leaving them out."""
+    kind = MAIN if MAIN in kinds else DOUBT
+    sizes = [(len(line), s) for line, k, s in zip(lines, kinds, shared) if k == kind]
+    return sum(n for n, s in sizes if s) > MOST_SHARED[kind] * sum(n for n, _ in sizes)
+
+
 def _settled(page: tuple, other: tuple | None) -> str:
     _, _, _, lines, kinds = page
     shared = [False] * len(lines) if other is None else common_lines(lines, other[3])[0]
-    wanted = MAIN if MAIN in kinds else DOUBT
-    keep = [k == wanted and (k == MAIN or not s) for k, s in zip(kinds, shared)]
-    return "\n".join(line for line, k in zip(lines, keep) if k)
+    if _is_copy(lines, kinds, shared):
+        shared = [False] * len(lines)
+    size = lambda kind: sum(len(line) for line, k, s in zip(lines, kinds, shared) if k == kind and not s)
+    wanted = {DOUBT} if MAIN not in kinds else {MAIN, DOUBT} if size(DOUBT) > size(MAIN) else {MAIN}
+    return "\n".join(line for line, k, s in zip(lines, kinds, shared) if k in wanted and not s)
 
 
 def main_text(

@@ -108,6 +108,16 @@ def test_article_text():
     assert html._settled(page, page) == html._settled(page, None)
 
 
+def test_differences_decide_in_articles_too():
+    notice, own = "Read our letter every week.", "The text of page {0} is long and is found on no other page {0}."
+    made = lambda n, html_of: (n, "u", f"h/{n}", *html.page_lines(html_of.format(n)))
+    marked = f"<div>Frame</div><article><p>{own}</p><p>{notice}</p></article>"
+    assert html._settled(made(1, marked), made(2, marked)) == own.format(1)
+    assert html._settled(made(1, marked), None) == f"{own.format(1)}\n{notice}"
+    card = f"<article>By author {{0}}</article><div>Frame</div><p>{own}</p>"
+    assert html._settled(made(1, card), made(2, card)) == f"By author 1\n{own.format(1)}"
+
+
 def test_lines_in_doubt_are_compared(spark):
     block = lambda n: f"<div>Menu of the site</div><p>text of page {n}</p><p>shared by all</p><div>Imprint</div>"
     rows = [(i, f"https://h.example/{i // 3}/{i}.html?q=1#f", block(i)) for i in range(9)]
