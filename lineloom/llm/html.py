@@ -24,6 +24,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -251,6 +252,60 @@ def _is_copy(lines: list[str], kinds: list[int], shared: list[bool]) -> bool:
     return sum(n for n, s in sizes if s) > MOST_SHARED[kind] * sum(n for n, _ in sizes)
 
 
+class _Row(NamedTuple):
+    page_id: int | None
+    url: str | None
+    at: str | None
+    lines: list[str]
+    kinds: list[int]
+    copy: bool
+
+
+class _Range:
+    """Pages in order of place, and which page each is compared with."""
+
+    def __init__(self, rows: list[_Row]):
+        self.rows = rows
+        self.met: dict[tuple[int, int], bool] = {}
+        self.found: dict[tuple[int, int], int | None] = {}
+
+    def near(self, i: int, j: int) -> int:
+        return _near(self.rows[i].at, self.rows[j].at) if 0 <= j < len(self.rows) else 0
+
+    def copied(self, i: int, j: int) -> bool:
+        a, b = self.rows[i], self.rows[j]
+        pair = (id(a.lines), id(b.lines))  # equal pages share one list
+        if pair not in self.met:
+            self.met[pair] = _is_copy(a.lines, a.kinds, common_lines(a.lines, b.lines)[0])
+        return self.met[pair]
+
+    def beside(self, i: int, step: int) -> int | None:
+        """The nearest page on one side (step = -1 or 1) that is no copy."""
+        at, stack = {}, [i]
+        while stack:
+            k = stack[-1]
+            j = at.setdefault(k, k + step)
+            if (k, step) in self.found:
+                stack.pop()
+            elif j is None or not self.near(k, j):
+                self.found[k, step] = None
+            elif not self.copied(k, j):
+                self.found[k, step] = j
+            elif (j, step) in self.found:
+                at[k] = self.found[j, step]
+            else:
+                stack.append(j)
+        return self.found[i, step]
+
+    def other(self, i: int) -> _Row | None:
+        """The page that row i is compared with: that with the longer equal start of the place."""
+        best, most = None, 0
+        for step in sorted((-1, 1), key=lambda step: -self.near(i, i + step)):
+            if self.near(i, i + step) > most and (j := self.beside(i, step)) is not None and self.near(i, j) > most:
+                best, most = self.rows[j], self.near(i, j)
+        return best
+
+
 def _settled(page: tuple, other: tuple | None) -> str:
     _, _, _, lines, kinds = page
     shared = [False] * len(lines) if other is None else common_lines(lines, other[3])[0]
@@ -267,47 +322,99 @@ def main_text(
     """(page_id, url, text) of every page.
 
     Pages are dealt out by ranges of host and path, so a host of any size is
-    spread over tasks; rows at both ends of a range are copied to the ranges
-    beside it, where they are neighbours but give no result.
+    spread over tasks; rows beyond both ends of a range are copied to it, where
+    they are neighbours but give no result.
     """
     lines = split_pages(pages, page_id=page_id, url=url, html=html)
-    places = pages.select(F.col(page_id).alias("page_id"), _place(url).alias("at")).select(_sort_key().alias("key"))
+    places = pages.select(F.col(page_id).alias("page_id"), _place(url).alias("at")).select("at", _sort_key().alias("key"))
     points = split_points(places, "key", parts_for(total_bytes(pages, html), part_bytes))
-    ends = places.groupBy(range_of("key", points).alias("part")).agg(F.max("key").alias("key")).collect() if points else []
-    ends = [r["key"] for r in ends if r["key"] is not None and r["part"] < len(points)]
+    edges = _edges(places.where("key IS NOT NULL"), points) if points else {}
 
-    place = lambda part, copy: F.struct(part.cast("int").alias("part"), F.lit(copy).alias("copy"))
+    place = lambda part, copy: F.struct(part.cast("int").alias("part"), copy.alias("copy"))
     keyed = lines.withColumn("key", _sort_key())
-    own = range_of("key", points)
-    among = lambda values: F.coalesce(F.col("key").isin(values), F.lit(False)) if values else F.lit(False)
-    copies = F.array(
-        place(own, False),
-        F.when(among(points), place(own - 1, True)),
-        F.when(among(ends), place(own + 1, True)),
-    )
-    dealt = keyed.select("*", F.explode(F.array_compact(copies)).alias("to")).select(*keyed.columns, "to.*")
+    own = place(range_of("key", points), F.lit(False))
+    if edges:
+        there = pages.sparkSession.createDataFrame([(k, sorted(v)) for k, v in edges.items()], "edge string, ranges array<int>")
+        keyed = keyed.join(F.broadcast(there), F.col("key") == F.col("edge"), "left")
+        copies = F.transform(F.coalesce("ranges", F.array().cast("array<int>")), lambda r: place(r, F.lit(True)))
+        to = F.concat(F.array(own), copies)
+    else:
+        to = F.array(own)
+    dealt = keyed.select(*lines.columns, "key", F.explode(to).alias("to")).select(*lines.columns, "key", "to.*")
     ordered = dealt.repartitionById(len(points) + 1, F.col("part")).sortWithinPartitions("key", "url", "copy")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = this = None
-        for batch in _with_end(batches):
-            out = []
-            for row in batch:
-                if this is not None and not this[5]:
-                    left, right = (_near(this[2], o[2]) if o else 0 for o in (before, row))
-                    other = None if not max(left, right) else before if left >= right else row
-                    out.append((this[0], this[1], _settled(this[:5], other)))
-                before, this = this, row
+    def texts(rows: list[_Row]) -> Iterator[pa.RecordBatch]:
+        pages = _Range(rows)
+        for lo in range(0, len(rows), 512):
+            out = [
+                (rows[i].page_id, rows[i].url, _settled(rows[i][:5], pages.other(i)))
+                for i in range(lo, min(lo + 512, len(rows)))
+                if not rows[i].copy
+            ]
             if out:
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.string(), pa.string()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "text"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[_Row] = []  # a host's pages in this range
+        host, known = None, {}
+        for rows in _portions(batches):
+            alone = [r for r in rows if r.at is None]
+            yield from texts(alone)
+            for row in rows[len(alone) :]:  # rows without a place come first
+                if row.at.split("/", 1)[0] != host:
+                    yield from texts(held)
+                    held, host, known = [], row.at.split("/", 1)[0], {}
+                same = known.setdefault((tuple(row.lines), bytes(row.kinds)), row)
+                held.append(row._replace(lines=same.lines, kinds=same.kinds))
+        yield from texts(held)
+
     return ordered.select("page_id", "url", "at", "lines", "kinds", "copy").mapInArrow(run, TEXT_SCHEMA)
 
 
-def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
-    """Rows of each batch in portions, then None in place of a row behind the last."""
+def _edges(places: DataFrame, points: list[str]) -> dict[str, set[int]]:
+    """{key: ranges it is copied to}: on either side of a range the next row, and the next with another place.
+
+    Rows of one place are mostly copies of each other, and may fill many ranges.
+    """
+    place = lambda key: key.rsplit("\t", 1)[0]
+    ranged = places.withColumn("part", range_of("key", points))
+    last = {r["part"]: r["key"] for r in ranged.groupBy("part").agg(F.max("key").alias("key")).collect()}
+    first = {k + 1: key for k, key in enumerate(points)}
+    spark = places.sparkSession
+    bounds = [(k, place(first[k]) if k else None, place(last[k])) for k in last]
+    bounds = F.broadcast(spark.createDataFrame(bounds, "part int, head string, tail string"))
+    inner = ranged.join(bounds, "part").groupBy("part").agg(
+        F.min(F.when(F.col("at") > F.col("head"), F.col("key"))).alias("after"),
+        F.max(F.when(F.col("at") < F.col("tail"), F.col("key"))).alias("before"),
+    )
+    inner = {r["part"]: r for r in inner.collect()}
+    out: dict[str, set[int]] = {}
+
+    def copy(key: str | None, part: int) -> None:
+        if key is not None:
+            out.setdefault(key, set()).add(part)
+
+    beyond = None  # the first key behind range k's first place
+    for k in range(len(points), 0, -1):
+        if k in inner and inner[k]["after"] is not None:
+            beyond = inner[k]["after"]
+        elif k < len(points) and place(first[k + 1]) != place(first[k]):
+            beyond = first[k + 1]
+        copy(first[k], k - 1)
+        copy(beyond, k - 1)
+    beyond = None
+    for k in sorted(last)[:-1]:
+        if inner[k]["before"] is not None:
+            beyond = inner[k]["before"]
+        elif k - 1 in last and place(last[k - 1]) != place(last[k]):
+            beyond = last[k - 1]
+        copy(last[k], k + 1)
+        copy(beyond, k + 1)
+    return out
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[list[_Row]]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
-            yield list(zip(*(c.to_pylist() for c in batch.slice(lo, 512).columns)))
-    yield [None]
+            yield [_Row(*r) for r in zip(*(c.to_pylist() for c in batch.slice(lo, 512).columns))]

@@ -131,6 +131,19 @@ def test_lines_in_doubt_are_compared(spark):
     assert html.main_text(df.limit(0)).count() == 0
 
 
+def test_copies_are_passed_over(spark):
+    page = lambda n: f"<div>Menu of the site</div><p>text of page {n}</p><p>shared by all</p><div>Imprint</div>"
+    rows = [(i, f"https://h.example/a/x?page={i}", page("a")) for i in range(40)]
+    rows += [(50, "https://h.example/a/a", page("b")), (51, "https://h.example/a/y", page("c"))]
+    rows += [(60 + i, f"https://copies.example/x?ref={i}", page("d")) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for part_bytes in (300, 1000, 4 << 20):
+        got = {r.page_id: r.text for r in html.main_text(df, part_bytes=part_bytes).collect()}
+        assert {got[i] for i in range(40)} == {"text of page a"}
+        assert (got[50], got[51]) == ("text of page b", "text of page c")
+        assert {got[60 + i] for i in range(3)} == {"Menu of the site\ntext of page d\nshared by all\nImprint"}
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(400):
