@@ -175,16 +175,17 @@ def learn(
 ) -> Model | None:
     """Fit on about `per_language` texts of each language, taken by hash of `order_by`.
 
-    Only non-null texts of at most `max_chars` characters are learned from. The
-    sample alone comes to the driver: as many texts as the bound times languages.
+    Of a text, the first `max_chars` characters are learned from, so that every
+    language with a non-null text is learned. The sample alone comes to the driver:
+    as many texts as the bound times languages.
     """
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= max_chars))
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
     share = F.lit(0.0)
     for language, n in counts.items():
         share = F.when(F.col(lang) == language, min(1.0, per_language / n)).otherwise(share)
     place = F.pmod(F.xxhash64(order_by, F.lit("learn")), F.lit(1 << 30)) / float(1 << 30)
-    rows = known.where(place < share).select(lang, text).collect()
+    rows = known.where(place < share).select(lang, F.left(text, F.lit(max_chars))).collect()
     samples: dict[str, list[str]] = {}
     for language, value in sorted(map(tuple, rows)):
         samples.setdefault(language, []).append(value)

@@ -85,6 +85,14 @@ def test_chunks_cover_every_byte():
         assert set(range(n)) <= set(chunks.ravel().tolist()) and bounds[-1] == max(1, -(-n // quality.STRIDE))
 
 
+def test_a_language_of_long_texts_is_learned(spark):
+    rows = [(i, "word and other words " * 3, "en") for i in range(5)] + [(9, "zwölf größere bäume " * 50, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(df, order_by=F.col("doc_id"), max_chars=200)
+    assert model.languages == ["de", "en"]
+    assert {r.lang: r.lang_pred for r in language.identify(df, model).collect()} == {"de": "de", "en": "en"}
+
+
 def test_pooling_equals_the_whole_and_gradient_learns():
     rng = random.Random(2)
     good = ["".join(rng.choice("abcdefgh .") for _ in range(rng.randrange(5, 300))) for _ in range(300)]
