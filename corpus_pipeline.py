@@ -39,8 +39,14 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less the lines that an earlier line says as well; those left without words go."""
-    found = linededup.dedup_lines(docs.select(*COLUMNS))
+    """Documents less the lines that an earlier line says as well; those left without words go.
+
+    All lines with a character besides white space count, and near copies are
+    searched from the least length on that the join can search.
+    """
+    found = linededup.dedup_lines(
+        docs.select(*COLUMNS), edits=2, least=1, least_near=linededup.shortest(2), stays=r"\A\s*\z"
+    )
     emptied = (F.size("dropped") > 0) & F.col("text").rlike(r"\A\s*\z")
     left = found.where(~F.coalesce(emptied, F.lit(False)))
     changed = F.when(F.size("dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))

@@ -191,10 +191,22 @@ def near_lines(lines: DataFrame, edits: int, least: int) -> DataFrame:
 
 
 def dropped_lines(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", edits: int = 2, least: int = 10, least_near: int = 24
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    edits: int = 2,
+    least: int = 10,
+    least_near: int = 24,
+    stays: str | None = None,
 ) -> DataFrame:
-    """(spot, dropped, sources): per row with lines to drop, their places and the documents that had them first."""
+    """(spot, dropped, sources): per row with lines to drop, their places and the documents that had them first.
+
+    Lines that the pattern `stays` finds something in always stay.
+    """
     lines = _lines(docs, doc_id, text).where(F.col("size") >= least)
+    if stays is not None:
+        lines = lines.where(~F.col("line").rlike(stays))
     place = F.struct(F.col("doc"), F.col("pos"))
     firsts = lines.groupBy("id", "id2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     links = materialize(near_lines(lines, edits, least_near), "near-lines")
@@ -211,7 +223,7 @@ def dropped_lines(
     return materialize(dropped, "dropped-lines")
 
 
-def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", edits: int = 2, **limits: int) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", edits: int = 2, **limits: int | str) -> DataFrame:
     """The columns of `docs` with the text left, and n_lines, dropped (places) and sources (ids)."""
     docs = spread(without(docs, "n_lines", "dropped", "sources", "_spot"))
     dropped = dropped_lines(docs, doc_id=doc_id, text=text, edits=edits, **limits)

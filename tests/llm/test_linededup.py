@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lineloom.llm import linededup as L
 
 SCHEMA = "doc_id long, text string"
@@ -104,3 +105,18 @@ def test_empty_table_and_no_python(spark):
     assert L.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     plan = L.dedup_lines(spark.createDataFrame([(1, "a")], SCHEMA))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_line_stage_of_the_pipeline_takes_short_lines(spark):
+    rows = [(1, "Les.\na\n \t\nshort line 12\nTop"), (2, "b\n  Les. \n\r\nshort line 13\n\nTap"), (3, "Les.\n \t\na"), (4, "\r\n \t\nown")]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    left = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert left == {1: rows[0][1], 2: "b\n\r\n\nTap", 4: rows[3][1]}
+
+
+def test_short_lines_equal_brute_force(spark):
+    rng = random.Random(4)
+    pool = ["".join(rng.choice("abc") for _ in range(n)) for n in range(1, 24) for _ in range(3)]
+    rows = [(doc, "\n".join(edited(rng, rng.choice(pool), rng.choice([0, 0, 1, 2, 3])).strip() for _ in range(6))) for doc in range(80)]
+    found = L.dedup_lines(spark.createDataFrame(rows, SCHEMA), least=1, least_near=L.shortest(2))
+    assert sorted(((r.doc_id, r.text, r.dropped) for r in found.collect()), key=repr) == expected(rows, 2, 1, 12)
