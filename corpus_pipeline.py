@@ -20,6 +20,8 @@ from lineloom.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_QUALITY, LEAST_CONFIDENCE = 0.5, 0.5
+# Bits that a text may need: a multiple of what its language needs a byte, and what a few odd words cost.
+MOST_BITS, SPARE_BITS = 1.5, 256
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +33,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows; a missing `lang` is filled in."""
-    model = language.learn(docs.where(keyed_mod("doc_id", 4) != 2), order_by=F.col("doc_id"))
-    found = language.identify(docs.select(*COLUMNS), model, pred="_lang", score="_score")
-    known = found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= LEAST_CONFIDENCE))
+    """Documents in a language that the model knows; a missing `lang` is filled in.
+
+    A text is known if it needs few enough bits under its language, by what held
+    back learning texts need. Without any labelled text all documents are kept.
+    """
+    samples = language.sample(docs.where(keyed_mod("doc_id", 4) != 2), order_by=F.col("doc_id"))
+    model = language.fit(samples)
+    if model is None:
+        return docs.select(*COLUMNS)
+    found = language.identify(docs.select(*COLUMNS), model, pred="_lang", score="_score", bits="_bits")
+    usual = F.lit(float("inf"))
+    for name, bits in language.usual_bits(samples).items():
+        usual = F.when(F.col("_lang") == name, bits).otherwise(usual)
+    fluent = F.col("_bits") <= MOST_BITS * usual * F.octet_length("text") + SPARE_BITS
+    known = found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= LEAST_CONFIDENCE) & fluent)
     return known.withColumn("lang", F.coalesce("lang", "_lang")).select(*COLUMNS)
 
 

@@ -155,12 +155,34 @@ def code_lengths(model: Model, texts: pa.Array) -> np.ndarray:
 
 def predict(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """(language, probability among those learned at equal odds) of each text."""
+    return _judged(model, texts)[:2]
+
+
+def _judged(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """`predict`, and the bits of each text under its language."""
     if model is None:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     bits = code_lengths(model, texts)
-    best = bits.argmin(1)
-    behind = np.minimum(bits - bits.min(1, keepdims=True), 1000)
-    return [model.languages[i] for i in best], 1 / np.exp2(-behind).sum(1)
+    best, least = bits.argmin(1), bits.min(1)
+    behind = np.minimum(bits - least[:, None], 1000)
+    return [model.languages[i] for i in best], 1 / np.exp2(-behind).sum(1), least
+
+
+def usual_bits(samples: dict[str, list[str]], max_contexts: int = 20000, share: float = 0.99) -> dict[str, float]:
+    """Bits a byte that are enough for a share of texts not learned from, per language.
+
+    Every fifth text is held back from learning; a language of under 20 texts is
+    left out, as too few are held back.
+    """
+    known = {k: sorted(t for t in texts if t) for k, texts in samples.items()}
+    known = {k: v for k, v in known.items() if v}
+    model = fit({k: [t for i, t in enumerate(v) if len(v) < 20 or i % 5] for k, v in known.items()}, max_contexts)
+    out = {}
+    for k, v in known.items():
+        if len(v) >= 20:
+            bits = code_lengths(model, pa.array(v[::5])).min(1)
+            out[k] = float(np.quantile(bits / [len(t.encode()) for t in v[::5]], share))
+    return out
 
 
 def learn(
@@ -179,6 +201,14 @@ def learn(
     language with a non-null text is learned. The sample alone comes to the driver:
     as many texts as the bound times languages.
     """
+    samples = sample(docs, text=text, lang=lang, order_by=order_by, per_language=per_language, max_chars=max_chars)
+    return fit(samples, max_contexts)
+
+
+def sample(
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", order_by: Column, per_language: int = 400, max_chars: int = 20000
+) -> dict[str, list[str]]:
+    """The texts that `learn` fits on, per language."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
     share = F.lit(0.0)
@@ -189,21 +219,31 @@ def learn(
     samples: dict[str, list[str]] = {}
     for language, value in sorted(map(tuple, rows)):
         samples.setdefault(language, []).append(value)
-    return fit(samples, max_contexts)
+    return samples
 
 
-def identify(docs: DataFrame, model: Model | None, *, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """The columns of `docs` with the predicted language and its probability."""
-    docs = without(docs, pred, score)
+def identify(
+    docs: DataFrame,
+    model: Model | None,
+    *,
+    text: str = "text",
+    pred: str = "lang_pred",
+    score: str = "score",
+    bits: str | None = None,
+) -> DataFrame:
+    """The columns of `docs` with the predicted language, its probability and, if named, the text's bits under it."""
+    more = [] if bits is None else [bits]
+    docs = without(docs, pred, score, *more)
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     def run(batches):
         for batch in batches:
-            languages, chance = predict(shared.value, batch.column(at))
-            added = [pa.array(languages, pa.string()), pa.array(chance, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, pred, score])
+            languages, *numbers = _judged(shared.value, batch.column(at))
+            added = [pa.array(languages, pa.string()), *(pa.array(n, pa.float64()) for n in numbers[: 1 + len(more)])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, pred, score, *more])
 
-    found = spread(docs).mapInArrow(run, ", ".join([*fields_of(docs), f"`{pred}` string", f"`{score}` double"]))
+    fields = [*fields_of(docs), f"`{pred}` string", *(f"`{c}` double" for c in [score, *more])]
+    found = spread(docs).mapInArrow(run, ", ".join(fields))
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     return found.withColumns(
         {pred: F.when(letters, F.col(pred)).otherwise(UNKNOWN), score: F.when(letters, F.col(score)).otherwise(0.0)}

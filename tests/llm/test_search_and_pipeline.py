@@ -100,6 +100,19 @@ def test_run_equals_the_stages_one_by_one(spark):
     assert len(wanted) > 50 and corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
 
 
+def test_language_stage_judges_by_code_length(spark):
+    rng = random.Random(5)
+    words = {"en": "the house and this other thing with some words there", "de": "das haus und dieses andere ding mit einigen worten dort"}
+    text = lambda lang: " ".join(rng.choice(words[lang].split()) for _ in range(60))
+    rows = [(i, text("de" if i % 2 else "en"), "de" if i % 2 else "en", "s", 0) for i in range(120)]
+    garbled = ["".join(rng.choice("qxzjkvwyp ") for _ in range(400)), "Этого языка модель не знает совсем. " * 8]
+    odd = [(200 + i, t, None, "s", 0) for i, t in enumerate([*garbled, text("en")])]
+    known = corpus_pipeline.language_stage(spark, frame(spark, rows + odd), "").collect()
+    assert {r.doc_id for r in known} == {*range(120), 202}
+    unlabelled = frame(spark, [(i, t, None, "s", 0) for i, t in enumerate([*garbled, None, "a"])])
+    assert corpus_pipeline.language_stage(spark, unlabelled, "").count() == 4
+
+
 def test_stages_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     docs = frame(spark, []).drop("score")
