@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprint, html, language, linededup, lm, packing, quality, setjoin, topk
+from . import bpe, conversations, fingerprint, html, language, linededup, lm, merkle, packing, quality, setjoin, topk
 from .common import keyed_mod, table
 
 
@@ -112,6 +112,44 @@ def op10_topk(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op11_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations with planted damage, by the checksum of each row's key, repaired."""
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    said = lambda column: F.coalesce(F.col(column).cast("string"), F.lit(" "))
+    rows = rows.withColumns({"role": said("role"), "text": said("text")})
+    harm = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn"))) % 20
+    text = F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    damaged = rows.withColumn("harm", harm).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"),
+        (F.col("harm") == 0).alias("dropped"),
+        F.explode(F.array_repeat(F.lit(0), F.when(F.col("harm") == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return conversations.repair(damaged, absent=F.col("dropped"))
+
+
+def op12_merkle(spark: SparkSession, d: str) -> DataFrame:
+    """Proofs of all documents, and what they say of documents of which some were changed."""
+    docs = table(spark, d, "documents")
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    n_chars = F.when(changed, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(
+        docs,
+        key="doc_id",
+        group="lang",
+        leaf=merkle.row_digest("doc_id", "source", "lang", "n_chars", "text"),
+        carry={"shown": merkle.row_digest("doc_id", "source", "lang", n_chars, "text")},
+    )
+    found = found.withColumn("folded_root", merkle.folded("shown"))
+    proof = F.sha2(F.array_join(merkle.siblings(), ""), 256)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_html": op2_html,
@@ -123,8 +161,16 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
+    "op11_conversations": op11_conversations,
+    "op12_merkle": op12_merkle,
     "pipeline": corpus_pipeline.run,
 }
+# CRC-32 of a text of ASCII characters.
+_CRC32 = """(xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295))"""
+_FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || {0}, '-')"
+_LEAF = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n_chars}", "text"))
+
 ORACLE: dict[str, str] = {
     # A near line holds one of three segments of the shorter line.
     "op5_linededup": """
@@ -193,5 +239,101 @@ WITH sound AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    # The state of a repaired prefix is its last role: 0 none, 1 system, 2 user, 3 assistant.
+    "op11_conversations": f"""
+WITH RECURSIVE harmed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_CRC32.format("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS harm
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE harm WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM harmed WHERE harm <> 0
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged
+), judged AS (
+    SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+           row_number() OVER w AS place, lag(left(role, 1)) OVER w AS before,
+           CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS fault
+    FROM numbered WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth)
+), edge(state, ins, target, letter, price, role) AS (
+    -- Steps that take a row, after an insertion if `ins`; an initial of NULL is any.
+    SELECT s.state, i.ins, e.target, e.letter, e.price + 2 * i.ins, e.role
+    FROM (VALUES (0), (1), (2), (3)) s(state), (VALUES (0), (1)) i(ins), LATERAL (
+        SELECT CASE WHEN i.ins = 0 THEN s.state WHEN s.state = 2 THEN 3 ELSE 2 END AS pos
+    ) a, LATERAL (
+        SELECT CASE WHEN a.pos = 2 THEN 3 ELSE 2 END AS target, 'R' AS letter, 2 AS price, CASE WHEN a.pos = 2 THEN 'assistant' ELSE 'user' END AS role
+        UNION ALL SELECT CASE WHEN a.pos = 2 THEN 3 ELSE 2 END, 'K', 0, CASE WHEN a.pos = 2 THEN 'a' ELSE 'u' END
+        UNION ALL SELECT 1, 'K', 0, 's' WHERE a.pos = 0
+        UNION ALL SELECT s.state, 'D', 3, NULL WHERE i.ins = 0
+    ) e
+), way(conv_id, place, state, best) AS (
+    SELECT conv_id, CAST(0 AS BIGINT), 0, {{'cost': 0::BIGINT, 'audit': '', 'said': []::VARCHAR[]}} FROM (SELECT DISTINCT conv_id FROM judged)
+    UNION ALL
+    SELECT conv_id, place, target, min(best)
+    FROM (
+        SELECT w.conv_id, j.place, e.target, {{
+            'cost': w.best.cost + e.price + CASE WHEN e.letter <> 'D' AND j.fault = 'truncated' THEN 1 ELSE 0 END,
+            'audit': w.best.audit || CASE e.ins WHEN 1 THEN 'I' ELSE '' END || e.letter,
+            'said': w.best.said || CASE WHEN e.ins = 0 THEN []::VARCHAR[] WHEN w.state = 2 THEN ['assistant:'] ELSE ['user:'] END
+                    || CASE e.letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [j.role || ':' || j.text] ELSE [e.role || ':' || j.text] END
+        }} AS best
+        FROM way w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.place = w.place + 1
+        JOIN edge e ON e.state = w.state AND (e.letter <> 'K' OR e.role = j.initial)
+         AND (e.letter = 'D' OR j.fault IS NULL OR j.fault = 'truncated')
+    ) GROUP BY conv_id, place, target
+), fact AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+           count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+           count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+), ended AS (
+    SELECT w.conv_id, min(CASE w.state WHEN 2 THEN {{'cost': best.cost + 2, 'audit': best.audit || 'I', 'said': best.said || ['assistant:']}} ELSE best END) AS best
+    FROM way w JOIN fact f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.place WHERE w.state <> 1 GROUP BY w.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost,
+       coalesce(e.best.audit, '') AS audit, sha256(coalesce(array_to_string(e.best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN fact f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+""",
+    "op12_merkle": f"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, lang, sha256({_LEAF.format(n_chars="n_chars")}) AS leaf,
+           CASE WHEN {_CRC32.format("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN sha256({_LEAF.format(n_chars="(n_chars + 1)")})
+                ELSE sha256({_LEAF.format(n_chars="n_chars")}) END AS shown,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+    FROM documents
+), low(level, lang, pos, node, n) AS (
+    SELECT 0, lang, pos, leaf, n FROM doc
+    UNION ALL
+    SELECT level + 1, lang, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2 FROM low WHERE n > 1 GROUP BY level, lang, pos // 2, n
+), sub AS (
+    SELECT lang, level AS height, node AS subroot, row_number() OVER (ORDER BY coalesce('=' || lang, '')) - 1 AS pos, count(*) OVER () AS n
+    FROM low WHERE n = 1
+), high(level, pos, node, n) AS (
+    SELECT 0, pos, subroot, n FROM sub
+    UNION ALL
+    SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2 FROM high WHERE n > 1 GROUP BY level, pos // 2, n
+), top AS (SELECT level AS height, node AS root FROM high WHERE n = 1
+), step AS (
+    SELECT d.doc_id, l.level, d.pos >> l.level AS place, l.node
+    FROM doc d JOIN low l ON l.lang IS NOT DISTINCT FROM d.lang AND l.n > 1 AND l.pos = xor(d.pos >> l.level, 1)
+    UNION ALL
+    SELECT d.doc_id, s.height + h.level, s.pos >> h.level, h.node
+    FROM doc d JOIN sub s ON s.lang IS NOT DISTINCT FROM d.lang JOIN high h ON h.n > 1 AND h.pos = xor(s.pos >> h.level, 1)
+), fold(doc_id, level, height, node) AS (
+    SELECT d.doc_id, CAST(0 AS BIGINT), CAST(s.height + t.height AS BIGINT), d.shown FROM doc d JOIN sub s ON s.lang IS NOT DISTINCT FROM d.lang, top t
+    UNION ALL
+    SELECT f.doc_id, f.level + 1, f.height, sha256(CASE WHEN s.node IS NULL THEN f.node WHEN s.place & 1 = 1 THEN s.node || f.node ELSE f.node || s.node END)
+    FROM fold f LEFT JOIN step s ON s.doc_id = f.doc_id AND s.level = f.level WHERE f.level < f.height
+), proof AS (SELECT doc_id, string_agg(node, '' ORDER BY level) AS all_nodes FROM step GROUP BY doc_id)
+SELECT d.doc_id, d.leaf, s.subroot, t.root, sha256(coalesce(p.all_nodes, '')) AS proof_sha256, f.node AS folded_root, f.node = t.root AS verified
+FROM doc d JOIN sub s ON s.lang IS NOT DISTINCT FROM d.lang LEFT JOIN proof p USING (doc_id)
+JOIN fold f ON f.doc_id = d.doc_id AND f.level = f.height, top t
 """,
 }
