@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, conversations, fingerprint, html, language, linededup, lm, merkle, packing, quality, setjoin, topk
+from . import bpe, conversations, fingerprint, html, language, linededup, lm, merkle, packing, quality, setjoin, suffix, topk
 from .common import keyed_mod, table
 
 
@@ -150,6 +150,18 @@ def op12_merkle(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op13_suffix(spark: SparkSession, d: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, d, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return found.select(
+        "doc_id",
+        (F.octet_length("kept") + removed).alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_html": op2_html,
@@ -163,6 +175,7 @@ QUERIES = {
     "op10_topk": op10_topk,
     "op11_conversations": op11_conversations,
     "op12_merkle": op12_merkle,
+    "op13_suffix": op13_suffix,
     "pipeline": corpus_pipeline.run,
 }
 # CRC-32 of a text of ASCII characters.
@@ -335,5 +348,31 @@ WITH RECURSIVE doc AS (
 SELECT d.doc_id, d.leaf, s.subroot, t.root, sha256(coalesce(p.all_nodes, '')) AS proof_sha256, f.node AS folded_root, f.node = t.root AS verified
 FROM doc d JOIN sub s ON s.lang IS NOT DISTINCT FROM d.lang LEFT JOIN proof p USING (doc_id)
 JOIN fold f ON f.doc_id = d.doc_id AND f.level = f.height, top t
+""",
+    # Bytes as two hex digits each.
+    "op13_suffix": """
+WITH doc AS (
+    SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), start AS (
+    SELECT doc_id, row, pos, substr(h, 2 * pos + 1, 100) AS s FROM (SELECT *, unnest(range(n - 49)) AS pos FROM doc WHERE n >= 50)
+), least AS (
+    SELECT s, min(coalesce(doc_id, -9223372036854775808)) AS least FROM start GROUP BY s HAVING count(*) > 1
+), hit AS (
+    SELECT row, pos FROM start JOIN least USING (s) WHERE coalesce(doc_id, -9223372036854775808) > least
+), run AS (
+    SELECT row, min(pos) AS low, max(pos) + 50 AS high
+    FROM (SELECT *, sum(fresh) OVER (PARTITION BY row ORDER BY pos) AS nr
+          FROM (SELECT *, CASE WHEN pos > lag(pos, 1, -51) OVER (PARTITION BY row ORDER BY pos) + 50 THEN 1 ELSE 0 END AS fresh FROM hit))
+    GROUP BY row, nr
+), piece AS (
+    SELECT row, high AS low, lead(low) OVER (PARTITION BY row ORDER BY low) AS high FROM run
+    UNION ALL SELECT row, 0, min(low) FROM run GROUP BY row
+), kept AS (
+    SELECT row, string_agg(substr(h, 2 * p.low + 1, 2 * (coalesce(p.high, n) - p.low)), '' ORDER BY p.low) AS h
+    FROM piece p JOIN doc USING (row) GROUP BY row
+), gone AS (SELECT row, sum(high - low) AS n_removed, count(*) AS n_spans FROM run GROUP BY row)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM doc d LEFT JOIN gone USING (row) LEFT JOIN kept k USING (row)
 """,
 }
