@@ -353,8 +353,11 @@ JOIN fold f ON f.doc_id = d.doc_id AND f.level = f.height, top t
     "op13_suffix": """
 WITH doc AS (
     SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), part AS (
+    SELECT doc_id, row, low, substr(h, 2 * low + 1, 2 * (256 + 49)) AS h, least(256, n - 49 - low) AS n
+    FROM (SELECT *, unnest(range(0, n - 49, 256)) AS low FROM doc WHERE n >= 50)
 ), start AS (
-    SELECT doc_id, row, pos, substr(h, 2 * pos + 1, 100) AS s FROM (SELECT *, unnest(range(n - 49)) AS pos FROM doc WHERE n >= 50)
+    SELECT doc_id, row, low + pos AS pos, md5_number(substr(h, 2 * pos + 1, 100)) AS s FROM (SELECT *, unnest(range(n)) AS pos FROM part)
 ), least AS (
     SELECT s, min(coalesce(doc_id, -9223372036854775808)) AS least FROM start GROUP BY s HAVING count(*) > 1
 ), hit AS (
