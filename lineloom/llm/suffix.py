@@ -16,8 +16,8 @@ mostly share theirs, so a text falls into runs of starts with one anchor, about
 2. A block sends the runs with such an anchor, or one that two of its own
    documents have, as segments to the anchor's bucket: the bytes of all strings
    that start in the run. Of equal segments it sends the one of the least id.
-3. A bucket cuts its segments into shards, sorts the suffixes of each by
-   Larsson-Sadakane refinement, and takes common prefixes by Kasai's way; neighbours
+3. A bucket takes equal segments as one of their least id, cuts them into shards,
+   sorts the suffixes of each by Larsson-Sadakane refinement, and takes common prefixes by Kasai's way; neighbours
    with 50 common bytes are one string. The sorted strings of the shards are merged by
    binary search, which gives every string the least id that has it. Strings whose
    least id is smaller than their segment's are told to the block.
@@ -54,6 +54,7 @@ CHUNK = 1 << 15
 NO_ID = -(2**63)
 
 _U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15)
 _KEY = ~_U(0xFFFF)  # the low 16 bits of a posting count its segments
 _random = np.random.default_rng(19)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -70,15 +71,26 @@ OWNER_SCHEMA = "block int, places binary, firsts binary, counts binary, owners b
 # -- anchors ------------------------------------------------------------------
 
 
+_POWER = [_U(pow(_BASE, n, 1 << 64)) for n in range(PIECE)]
+
+
 def _least_pieces(data: np.ndarray, length: int) -> np.ndarray:
     """The least hash of the pieces of each string of `length` bytes in `data`."""
-    power = lambda n: _U(pow(_BASE, n, 1 << 64))
     one = _BYTE[data]
-    two = one[:-1] * power(1) + one[1:]
-    four = two[:-2] * power(2) + two[2:]
-    eight = four[:-4] * power(4) + four[4:]
-    sixteen = eight[:-8] * power(8) + eight[8:]
-    least = mix(sixteen[:-4] * power(4) + four[16 : 16 + len(sixteen) - 4])
+
+    def longer(a: np.ndarray, n: int, b: np.ndarray, m: int) -> np.ndarray:
+        """Hashes of n + m bytes from those of n bytes and of the m bytes behind them."""
+        out = a[: len(a) - m] * _POWER[m]
+        out += b[n : n + len(out)]
+        return out
+
+    two = longer(one, 1, one, 1)
+    four = longer(two, 2, two, 2)
+    eight = longer(four, 4, four, 4)
+    least = longer(longer(eight, 8, eight, 8), 16, four, 4)
+    # High bits depend on all bytes; they go down, and up again by a factor.
+    least ^= least >> _U(32)
+    least *= _U(0xD6E8FEB86659FD93)
     window, width = length - PIECE + 1, 1
     while 2 * width <= window:
         least = np.minimum(least[:-width], least[width:])
@@ -95,30 +107,43 @@ class Runs:
         parts = []
         for lo in range(0, max(0, len(data) - length + 1), CHUNK):
             hi = min(lo + CHUNK, len(data) - length + 1)
-            anchors = _least_pieces(data[lo : hi + length - 1], length) & _KEY
-            places = np.arange(lo, hi)
-            text = np.searchsorted(ends, places, "right")
-            inside = places + length <= ends[np.minimum(text, len(ends) - 1)]
-            begins = np.ones(len(places), bool)
-            begins[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1]) | ~inside[:-1]
-            first = np.flatnonzero(begins)
-            far = np.arange(len(places)) - np.repeat(first, np.diff(np.append(first, len(places))))
-            first = np.flatnonzero((begins | (far % RUN == 0)) & inside)
+            anchors = _least_pieces(data[lo : hi + length - 1], length)
+            begins = np.ones(hi - lo, bool)
+            begins[1:] = anchors[1:] != anchors[:-1]
+            inside = np.ones(hi - lo, bool)
+            for text in range(*np.searchsorted(ends, [lo, hi + length], "right")):
+                inside[max(0, ends[text] - length + 1 - lo) : max(0, ends[text] - lo)] = False
+                begins[min(max(0, ends[text] - lo), hi - lo - 1)] = True
+            # A run ends at the next begin, or where its text has no more strings.
+            cuts = np.flatnonzero(begins | ~inside)
+            sizes = np.diff(np.append(cuts, hi - lo))
+            if sizes.max() > RUN:
+                n = -(-sizes // RUN)
+                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                cuts = np.repeat(cuts, n) + RUN * step
+                sizes = np.diff(np.append(cuts, hi - lo))
+            mine = inside[cuts]
+            first, starts = cuts[mine], sizes[mine]
             if not len(first):
                 continue
-            # A run ends at the next begin, or where its text has no more strings.
-            stops = np.append(np.flatnonzero(begins | (far % RUN == 0) | ~inside), len(places))
-            starts = stops[np.searchsorted(stops, first, "right")] - first
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data[lo : hi + length - 1]] * _UP[: hi - lo + length - 1])])
             content = (sums[first + starts + length - 1] - sums[first]) * _DOWN[first] + starts.astype(np.uint64)
-            parts.append((first + lo, starts, anchors[first], mix(content), text[first]))
+            text = np.searchsorted(ends, first + lo, "right")
+            # The least of many hashes is small; mixed, it is spread again.
+            parts.append((first + lo, starts, mix(anchors[first]) & _KEY, mix(content), text))
         empty = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int64)]
         columns = [np.concatenate(c) for c in zip(empty, *parts)]
         self.place, self.starts, self.anchor, self.content, self.text = columns
 
     def grouped(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(order by anchor, bytes, id and place; whether a run in that order is the first of its segment)."""
-        order = np.lexsort((self.place, ids[self.text], self.content, self.anchor))
+        order = np.argsort(self.anchor)
+        anchor = self.anchor[order]
+        alone = np.ones(len(order) + 1, bool)
+        alone[1:-1] = anchor[1:] != anchor[:-1]
+        rest = np.flatnonzero(~(alone[1:] & alone[:-1]))
+        few = order[rest]
+        order[rest] = few[np.lexsort((self.place[few], ids[self.text[few]], self.content[few], self.anchor[few]))]
         anchor, content = self.anchor[order], self.content[order]
         first = np.ones(len(order), bool)
         first[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
@@ -337,26 +362,26 @@ def suffix_array(words: np.ndarray, left: np.ndarray, segment: np.ndarray) -> np
     byte, and ends are in the order of their segments, so all suffixes differ.
     """
     n, ends = len(words), int(segment[-1]) + 1
-    short = np.minimum(left, 7)
-    kept = _U(0xFFFFFFFFFFFFFF00) << (_U(8) * (7 - short).astype(np.uint64))
-    first = (words & kept) | short.astype(np.uint64)
+    short = np.minimum(left, 7).astype(np.uint64)
+    first = (words & (_U(0xFFFFFFFFFFFFFF00) << (_U(8) * (_U(7) - short)))) | short
     order = np.argsort(first).astype(np.int32)
-    new = np.ones(n, bool)
-    new[1:] = first[order[1:]] != first[order[:-1]]
-    group = np.empty(n, np.int64)
-    done = 7
+    new = np.ones(n + 1, bool)
+    new[1:n] = first[order[1:]] != first[order[:-1]]
+    group = np.empty(n, np.int32)
+    open_at, done = np.arange(n), 7
     while True:
         # A group's number is the place of its first suffix, behind the numbers of the ends.
-        group[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0)) + ends
-        open_at = np.flatnonzero(~(new & np.append(new[1:], True)))
+        group[order[open_at]] = np.maximum.accumulate(np.where(new[open_at], open_at, 0)) + ends
+        open_at = open_at[~(new[open_at] & new[open_at + 1])]
         if not len(open_at):
             return order
-        place = order[open_at].astype(np.int64)
+        place = order[open_at]
         follows = np.where(left[place] > done, group[np.minimum(place + done, n - 1)], segment[place])
-        key = (group[place] << 32) | follows
+        key = (group[place].astype(np.int64) << 32) | follows
         by = np.argsort(key)
         order[open_at] = place[by]
-        new[open_at[1:]] |= key[by][1:] != key[by][:-1]
+        key = key[by]
+        new[open_at[1:]] |= key[1:] != key[:-1]
         done *= 2
 
 
@@ -393,41 +418,63 @@ def common_prefixes(
     return out
 
 
-class Shard:
-    """Segments, the sorted different strings in them, and each string's least id."""
+class Segments:
+    """All segments of a bucket, as rows of bytes with zeros behind the end; of equal ones the least id counts."""
 
     def __init__(self, rows: list[dict], length: int):
         join = lambda name, kind: np.concatenate([np.frombuffer(r[name], kind) for r in rows])
-        data = join("data", np.uint8)
-        lengths = join("lengths", np.uint8).astype(np.int64)
+        data, self.lengths = join("data", np.uint8), join("lengths", np.uint8).astype(np.int32)
         self.place, self.id = join("places", np.int64), join("ids", np.int64)
         self.block = np.repeat([r["block"] for r in rows], [len(r["lengths"]) for r in rows])
-        begins = np.cumsum(lengths) - lengths
-        self.begins = begins
+        n, width = len(self.lengths), -(-(length + RUN) // 8) * 8
+        self.cells = np.zeros((n, width), np.uint8)
+        self.cells[np.arange(width) < self.lengths[:, None]] = data
+        hashes = self.lengths.astype(np.uint64)
+        for word in self.cells.view(np.uint64).T:
+            hashes = mix(hashes * _STEP + word)
+        order = np.lexsort((self.id, hashes))
+        heads = _runs_of(hashes[order])
+        first = np.empty(n, np.int64)
+        first[order] = np.repeat(order[heads[:-1]], np.diff(heads))
+        # Equal hashes of different bytes would only leave a segment on its own.
+        same = (self.lengths == self.lengths[first]) & (self.cells == self.cells[first]).all(axis=1)
+        self.first = np.where(same, first, np.arange(n))
+        self.distinct = np.unique(self.first)
+
+
+class Shard:
+    """Some of the distinct segments, the different strings in them in order, and each string's least id."""
+
+    def __init__(self, held: Segments, chosen: np.ndarray, length: int, alone: bool):
+        self.chosen = chosen
+        lengths = held.lengths[chosen]
+        cells = held.cells[chosen]
+        data = cells[np.arange(cells.shape[1]) < lengths[:, None]]
+        self.begins = (np.cumsum(lengths) - lengths).astype(np.int32)
         n = lengths - length + 1
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        self.starts = np.repeat(begins, n) + step
-        self.segment = np.repeat(np.arange(len(n)), n)
+        self.segment = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        self.step = (np.arange(len(self.segment)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+        starts = self.begins[self.segment] + self.step
         words = _words(data)
-        left = np.repeat(begins + lengths, lengths) - np.arange(len(data))
-        order = suffix_array(words, left, np.repeat(np.arange(len(n)), lengths))
-        prefix = common_prefixes(order, words, left, begins, n, length)
+        left = np.repeat(self.begins + lengths, lengths) - np.arange(len(data), dtype=np.int32)
+        order = suffix_array(words, left, np.repeat(np.arange(len(n), dtype=np.int32), lengths))
+        prefix = common_prefixes(order, words, left, self.begins, n, length)
         string = np.cumsum(prefix[order] < length)
-        mine = np.full(len(data), -1, np.int64)
-        mine[self.starts] = np.arange(len(self.starts))
+        mine = np.full(len(data), -1, np.int32)
+        mine[starts] = np.arange(len(starts))
         start = mine[order]
         counts = start >= 0
         start, string = start[counts], string[counts]
         at = _runs_of(string)
-        self.least = np.minimum.reduceat(self.id[self.segment[start]], at[:-1])
-        self.string = np.empty(len(self.starts), np.int64)
+        self.least = np.minimum.reduceat(held.id[chosen][self.segment[start]], at[:-1])
+        self.string = np.empty(len(starts), np.int32)
         self.string[start] = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        firsts = self.starts[start[at[:-1]]]
-        # One byte more at the end, as numpy's texts lose zeros there.
-        text = np.empty((len(firsts), length + 1), np.uint8)
-        text[:, :length] = data[firsts[:, None] + np.arange(length)]
-        text[:, length] = 1
-        self.strings = text.view(f"S{length + 1}").ravel()
+        self.strings = None
+        if not alone:
+            # One byte more at the end, as numpy's texts lose zeros there.
+            text = np.ones((len(at) - 1, length + 1), np.uint8)
+            text[:, :length] = np.lib.stride_tricks.sliding_window_view(data, length)[starts[start[at[:-1]]]]
+            self.strings = text.view(f"S{length + 1}").ravel()
 
 
 def merged(one: tuple, two: tuple) -> tuple:
@@ -443,37 +490,43 @@ def merged(one: tuple, two: tuple) -> tuple:
 
 def settle(rows: pa.Table, length: int, shard_bytes: int) -> pa.Table:
     """Step 3: the strings of a bucket's segments whose least id is smaller than the segment's."""
-    held, shards, size = [], [], 0
-    for row in rows.sort_by("block").to_pylist():
-        held.append(row)
-        size += len(row["data"])
-        if size >= shard_bytes:
-            shards.append(Shard(held, length))
-            held, size = [], 0
-    if held:
-        shards.append(Shard(held, length))
+    held = Segments(rows.sort_by("block").to_pylist(), length)
+    each = max(1, shard_bytes // held.cells.shape[1])
+    cuts = range(0, len(held.distinct), each)
+    shards = [Shard(held, held.distinct[i : i + each], length, len(cuts) == 1) for i in cuts]
     lists = [(s.strings, s.least) for s in shards]
     while len(lists) > 1:
         lists = [merged(*lists[i : i + 2]) if i + 1 < len(lists) else lists[i] for i in range(0, len(lists), 2)]
     strings, least = lists[0]
-    out = {c.split()[0]: [] for c in OWNER_SCHEMA.split(", ")}
+    reports = []
     for shard in shards:
         owners = least[np.searchsorted(strings, shard.strings)] if len(shards) > 1 else shard.least
         owner = owners[shard.string]
-        hit = owner < shard.id[shard.segment]
-        start, segment, owner = shard.starts[hit], shard.segment[hit], owner[hit]
-        fresh = np.ones(len(start), bool)
-        fresh[1:] = (segment[1:] != segment[:-1]) | (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
-        at = np.append(np.flatnonzero(fresh), len(start))
-        segment, first, count, owner = segment[at[:-1]], start[at[:-1]], np.diff(at), owner[at[:-1]]
-        block = shard.block[segment]
-        cut = _runs_of(block)
-        for lo, hi in zip(cut, cut[1:]):
-            out["block"].append(int(block[lo]))
-            out["places"].append(shard.place[segment[lo:hi]].tobytes())
-            out["firsts"].append((first[lo:hi] - shard.begins[segment[lo:hi]]).astype(np.uint8).tobytes())
-            out["counts"].append(count[lo:hi].astype(np.uint8).tobytes())
-            out["owners"].append(owner[lo:hi].tobytes())
+        # Neighbouring strings of a segment with one owner are one report.
+        fresh = np.ones(len(owner), bool)
+        fresh[1:] = (shard.segment[1:] != shard.segment[:-1]) | (owner[1:] != owner[:-1])
+        at = np.append(np.flatnonzero(fresh), len(owner))
+        reports.append((shard.chosen[shard.segment[at[:-1]]], shard.step[at[:-1]], np.diff(at), owner[at[:-1]]))
+    segment, first, count, owner = (np.concatenate(c) for c in zip(*reports))
+    # The reports of a segment go to all blocks that sent it.
+    members = np.argsort(held.first, kind="stable")
+    lo, hi = (np.searchsorted(held.first[members], segment, side) for side in ("left", "right"))
+    n = hi - lo
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    member = members[np.repeat(lo, n) + step]
+    of = np.repeat(np.arange(len(n)), n)
+    hit = held.id[member] > owner[of]
+    member, of = member[hit], of[hit]
+    order = np.argsort(held.block[member], kind="stable")
+    member, of = member[order], of[order]
+    cut = _runs_of(held.block[member])
+    out = {c.split()[0]: [] for c in OWNER_SCHEMA.split(", ")}
+    for lo, hi in zip(cut, cut[1:]):
+        out["block"].append(int(held.block[member[lo]]))
+        out["places"].append(held.place[member[lo:hi]].tobytes())
+        out["firsts"].append(first[of[lo:hi]].astype(np.uint8).tobytes())
+        out["counts"].append(count[of[lo:hi]].astype(np.uint8).tobytes())
+        out["owners"].append(owner[of[lo:hi]].tobytes())
     kinds = [pa.int32()] + [pa.binary()] * 4
     return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
 
@@ -496,12 +549,13 @@ def remove_repeats(
         raise ValueError(f"length must be from {PIECE + 1} to {255 - RUN}")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     parts = parts_for(total_bytes(texts, "text"), block_bytes)
+    buckets = 2 * parts
     order = F.coalesce("doc_id", F.lit(NO_ID))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")
     blocks = spread(texts, "doc_id").select(block.alias("block"), "doc_id", order.alias("order"), "text").groupBy("block")
-    asked = blocks.applyInArrow(lambda rows: ask(rows, parts, length), POSTING_SCHEMA)
+    asked = blocks.applyInArrow(lambda rows: ask(rows, buckets, length), POSTING_SCHEMA)
     known = asked.groupBy("bucket").applyInArrow(lambda rows: answer(rows, many), KNOWN_SCHEMA)
-    sent = blocks.cogroup(known.groupBy("block")).applyInArrow(lambda r, k: send(r, k, parts, length), SEGMENT_SCHEMA)
+    sent = blocks.cogroup(known.groupBy("block")).applyInArrow(lambda r, k: send(r, k, buckets, length), SEGMENT_SCHEMA)
     settled = sent.groupBy("bucket", "sub").applyInArrow(lambda rows: settle(rows, length, shard_bytes), OWNER_SCHEMA)
     spans = "array<struct<start:bigint,end:bigint>>"
     return blocks.cogroup(settled.groupBy("block")).applyInArrow(
