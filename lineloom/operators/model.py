@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import materialize
 from .entities import COLUMN, JOB, TABLE
 from .joins import keyed_join
 
@@ -88,6 +89,75 @@ def check_types(entities: DataFrame, types: DataFrame) -> DataFrame:
     )
 
 
+# Both ends of the search upwards are told by the list of types seen, so a ring ends it.
+_ANCESTORS = """
+WITH RECURSIVE held AS (
+    SELECT type_name AS sub, place, super FROM {types} LATERAL VIEW posexplode(super_types) AS place, super
+), up(type_name, ancestor, way, seen, ring) AS (
+    SELECT type_name, type_name, CAST(array() AS array<int>), array(type_name), false FROM {types}
+    UNION ALL
+    SELECT up.type_name, super, array_append(way, place), array_append(seen, super), super = up.type_name
+    FROM up JOIN held ON sub = ancestor
+    WHERE NOT ring AND (super = up.type_name OR NOT array_contains(seen, super))
+)
+SELECT type_name, ancestor, way, seen, ring FROM up
+"""
+_RECURSION = ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit")
+
+
+def type_ancestors(types: DataFrame) -> DataFrame:
+    """(type_name, ancestor, way, seen, ring): every way up from a type, itself with an empty way included.
+
+    `way` has the place of each step in its list of super types, `seen` the types
+    on it. A way that comes back to its type ends there, with `ring`. Super types
+    that are not defined are ancestors too. The search has an end in any table, so
+    the session's limits of recursion are lifted while the result is written.
+    """
+    spark = types.sparkSession
+    known = materialize(types.select("type_name", "super_types"), "types")
+    before = {name: spark.conf.get(name) for name in _RECURSION}
+    try:
+        for name in _RECURSION:
+            spark.conf.set(name, "-1")
+        return materialize(spark.sql(_ANCESTORS, types=known), "ancestors")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def inherited_types(types: DataFrame) -> DataFrame:
+    """The types with the attributes of all their super types.
+
+    Of several definitions of a name the nearest counts: the one fewest steps up,
+    then the one by the super type named first. An attribute comes after those of
+    nearer types. Rings of super types inherit from each other; `type_rings`
+    reports them.
+    """
+    ways = type_ancestors(types).where("NOT ring").select("type_name", F.col("ancestor"), F.struct(F.size("way").alias("far"), "way").alias("at"))
+    fields = types.select(F.col("type_name").alias("ancestor"), F.posexplode("attributes").alias("place", "attribute"))
+    order = F.struct("at", "place")
+    nearest = ways.join(fields, "ancestor").groupBy("type_name", F.col("attribute.name").alias("name")).agg(
+        F.min_by("attribute", order).alias("attribute"), F.min(order).alias("order")
+    )
+    # As many as the type has attributes.
+    merged = nearest.groupBy("type_name").agg(F.array_sort(F.collect_list(F.struct("order", "attribute"))).alias("found"))
+    attributes = F.coalesce(F.transform("found", lambda f: f["attribute"]), F.array()).cast(ATTRIBUTES)
+    rest = [c for c in types.columns if c != "attributes"]
+    return types.drop("attributes").join(merged, "type_name", "left").select(*rest, attributes.alias("attributes"))
+
+
+def type_rings(types: DataFrame) -> DataFrame:
+    """(type_name, ring): types that are among their own super types, by their shortest way back."""
+    back = type_ancestors(types).where("ring")
+    return back.groupBy("type_name").agg(F.min_by("seen", F.struct(F.size("way"), "way")).alias("ring"))
+
+
+def undefined_supers(types: DataFrame) -> DataFrame:
+    """(type_name, super_type): super types that are not defined themselves."""
+    named = types.select("type_name", F.explode("super_types").alias("super_type"))
+    return named.join(types.select(F.col("type_name").alias("super_type")), "super_type", "left_anti").select("type_name", "super_type")
+
+
 def delete_types(types: DataFrame, names: list[str]) -> DataFrame:
     return types.where(~F.col("type_name").isin(list(names)))
 

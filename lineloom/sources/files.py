@@ -49,8 +49,18 @@ def write_map(mapping: DataFrame, path: str) -> None:
     mapping.select(*columns).write.options(**_CSV).mode("overwrite").csv(path)
 
 
-def read_map(spark: SparkSession, path: str) -> DataFrame:
-    """(path, source, target) of a map that `write_map` wrote."""
+# A map as other programs write it: quoted where needed, nothing for NULL, no escapes.
+_PLAIN = {**_CSV, "nullValue": "", "multiLine": "true"}
+
+
+def read_map(spark: SparkSession, path: str, *, escaped: bool = True) -> DataFrame:
+    """(path, source, target) of a map that `write_map` wrote.
+
+    With `escaped` off it is a CSV of another writer: backslashes are themselves,
+    values may hold line ends inside quotes, and a cell without anything is NULL.
+    """
+    if not escaped:
+        return spark.read.options(**_PLAIN).schema(MAP_SCHEMA).csv(path).withColumnRenamed("notebook", "path")
     rows = spark.read.options(**_CSV).schema(MAP_SCHEMA).csv(path).withColumnRenamed("notebook", "path")
     return rows.select(*[_unescape(F.col(c), _ESCAPED[:2]).alias(c) for c in rows.columns])
 

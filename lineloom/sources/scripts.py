@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import lines_of
 
@@ -117,3 +117,71 @@ def unpack_objects(bodies: DataFrame) -> DataFrame:
     # An outer explode, as a plain one has the optimizer add a filter on the
     # array's size, which would parse each body a second time.
     return bodies.select(F.explode_outer("objects").alias("o")).where("o IS NOT NULL").select("o.*")
+
+
+def listing_objects(bodies: DataFrame, column: str = "body", *, on_fault: str = "fail") -> DataFrame:
+    """(object): each object of the bodies with all its fields, as VARIANT.
+
+    Faults are treated as by `parse_listing`.
+    """
+    found = bodies.select(F.col(column).alias("body")).withColumn("v", F.try_parse_json("body"))
+    field = lambda path, kind: F.try_variant_get("v", path, kind)
+    # A body that is no JSON object has no objects, and one of a service's error has its code.
+    broken = F.col("body").isNull() | F.col("v").isNull() | ~F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))
+    text = F.coalesce(F.left(F.col("body"), F.lit(200)), F.lit("no body"))
+    error = F.concat(F.lit("error "), field("$.error_code", "string"), F.coalesce(F.concat(F.lit(": "), field("$.message", "string")), F.lit("")))
+    fault = F.when(broken, F.concat(F.lit("malformed: "), text)).otherwise(error)
+    stop = F.raise_error(F.concat(F.lit("listing body, "), fault)) if on_fault == "fail" else F.lit(None)
+    objects = F.when(fault.isNotNull(), stop).otherwise(field("$.objects", "array<variant>"))
+    # An outer explode, as in `unpack_objects`.
+    return found.select(F.explode_outer(objects).alias("object")).where("object IS NOT NULL")
+
+
+def merged_schema(objects: DataFrame, column: str = "object") -> T.StructType:
+    """The fields of all objects: a type that holds all values of a field, or VARIANT where none does."""
+    told = objects.agg(F.schema_of_variant_agg(column)).first()[0]
+    if not told or not told.startswith("OBJECT<"):
+        return T.StructType()
+    return _struct(re.sub(r"\bOBJECT<>", "VARIANT", told))
+
+
+def _struct(told: str) -> T.StructType:
+    kinds = re.sub(r"(?<![`\w])OBJECT<", "STRUCT<", told)
+    return T.StructType.fromDDL(f"root {kinds}")["root"].dataType
+
+
+def parse_listing_all(bodies: DataFrame, column: str = "body", *, on_fault: str = "fail") -> DataFrame:
+    """The objects of listing bodies with every field that any of them has.
+
+    Nested objects become columns named by their path with dots. A field that an
+    object lacks is NULL. The bodies are parsed twice: once for the fields.
+    """
+    objects = listing_objects(bodies, column, on_fault=on_fault)
+    columns = []
+    for path, kind in _leaves(merged_schema(objects)):
+        value = F.col("object")
+        for name in path:
+            value = _field(value, name)
+        columns.append(F.try_variant_get(value, "$", _kind(kind)).alias(".".join(path)))
+    return objects.select(*columns)
+
+
+def _field(value: Column, name: str) -> Column:
+    if "'" not in name and "\\" not in name:
+        return F.try_variant_get(value, f"$['{name}']", "variant")
+    # A path has no way to write such a name.
+    return F.try_element_at(F.try_variant_get(value, "$", "map<string,variant>"), F.lit(name))
+
+
+def _kind(kind: T.DataType) -> str:
+    # Fields that are only ever null have no type of their own.
+    return "string" if isinstance(kind, T.NullType) else kind.simpleString()
+
+
+def _leaves(fields: T.StructType, path: tuple = ()):
+    for f in fields.fields:
+        here = (*path, f.name)
+        if isinstance(f.dataType, T.StructType):
+            yield from _leaves(f.dataType, here)
+        else:
+            yield here, f.dataType

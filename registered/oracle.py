@@ -113,6 +113,19 @@ walk AS (
 
 _LINEAGE = (_SCRIPT, _LINE, _ASSET_TABLE, _ASSET_FILE, _WRITING, _SOURCE, _TARGET, _MAP)
 
+_SALES_GONE = """
+sales_line AS (
+  SELECT DISTINCT l_orderkey, 'cat://test/o/' || l_orderkey || '#' || l_linenumber || '/' || l_partkey AS key FROM lineitem
+), gone_customer AS (
+  SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'
+), gone_order AS (
+  SELECT o_orderkey, o_custkey, 'cat://test/o/' || o_orderkey AS key,
+         CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN 2 ELSE 1 END AS step
+  FROM orders WHERE o_orderstatus = 'F' OR o_custkey IN (SELECT c_custkey FROM gone_customer)
+), gone_line AS (
+  SELECT key FROM sales_line WHERE l_orderkey IN (SELECT o_orderkey FROM gone_order)
+)"""
+
 ORACLE = {
     "inventory_tables": f"""
 SELECT DISTINCT 'testdata' AS database, regexp_extract(filename, '([^/]+)\\.parquet$', 1) AS "tableName"
@@ -361,8 +374,73 @@ SELECT 'cat://test/j/' || c_custkey AS qualified_name, coalesce(nullif(c_mktsegm
        CASE WHEN c_nationkey > 10 THEN '' ELSE 'schedule' END AS missing
 FROM customer""",
     "relation_broken": """
-SELECT n_name AS name, r_name AS parent_type, true AS parent_container, false AS child_container
-FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' OR n_name = 'FRANCE'""",
+SELECT c_name AS name, n_name AS parent_type, true AS parent_container, false AS child_container
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_3' OR c_custkey = 1""",
+    "type_inherited": """
+WITH typed AS (
+  SELECT 'cat://test/p/' || c_custkey AS qualified_name, 'Supplier#' || lpad((c_custkey % 150)::VARCHAR, 9, '0') AS type_name,
+         CASE WHEN c_acctbal > 0 THEN c_custkey::VARCHAR END AS population
+  FROM customer
+)
+SELECT qualified_name, type_name, population,
+       CASE WHEN s_suppkey IS NULL THEN NULL WHEN n_nationkey % 2 = 0 THEN n_name ELSE 'none' END AS comment,
+       s_suppkey::VARCHAR AS rank, n_regionkey::VARCHAR AS region_code,
+       CASE WHEN s_suppkey IS NOT NULL AND population IS NULL THEN 'population' ELSE '' END AS missing, s_suppkey IS NOT NULL AS known
+FROM typed LEFT JOIN supplier ON s_name = type_name LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "entity_cascade": _with(
+        _SALES_GONE,
+        select="""
+SELECT 'line' AS type_name, key AS qualified_name, 1 AS step, false AS ring FROM gone_line
+UNION ALL
+SELECT 'order', key, step, false FROM gone_order
+UNION ALL
+SELECT 'customer', 'cat://test/c/' || c_custkey, coalesce(max(step) + 1, 1), false
+FROM gone_customer LEFT JOIN gone_order ON o_custkey = c_custkey GROUP BY c_custkey""",
+    ),
+    "entity_cascade_left": _with(
+        _SALES_GONE,
+        select="""
+SELECT 'line' AS type_name, key AS qualified_name FROM sales_line WHERE key NOT IN (SELECT key FROM gone_line)
+UNION ALL
+SELECT 'order', 'cat://test/o/' || o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM gone_order)
+UNION ALL
+SELECT 'customer', 'cat://test/c/' || c_custkey FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM gone_customer)""",
+    ),
+    "entity_index_search": _with(
+        _CUSTOMER,
+        select="""
+SELECT guid, qualified_name, name, CASE WHEN lower(name) = 'er#00000001' THEN 0 WHEN starts_with(lower(name), 'er#00000001') THEN 1 ELSE 2 END AS score
+FROM customer_entity WHERE contains(lower(name), 'er#00000001')""",
+    ),
+    "entity_index_page": _with(
+        _CUSTOMER,
+        select="""
+SELECT guid, qualified_name, name, 3 AS score FROM customer_entity
+WHERE contains(qualified_name, 'st/c/1') ORDER BY qualified_name, guid LIMIT 20 OFFSET 20""",
+    ),
+    "lineage_incremental": _with(*_LINEAGE, select="SELECT path, source, target FROM lineage"),
+    "entity_store_partial": """
+SELECT 'customer' AS type_name, 'cat://test/c/' || c_custkey AS qualified_name,
+       CASE WHEN c_acctbal < 0 THEN lower(c_name) ELSE c_name END AS name,
+       CASE WHEN c_acctbal < 0 THEN 'IN DEBT' ELSE c_mktsegment END AS segment
+FROM customer
+UNION ALL
+SELECT 'nation', 'cat://test/n/' || n_nationkey, n_name, NULL FROM nation WHERE NOT starts_with(n_name, 'F')
+UNION ALL
+SELECT 'table', 'cat://test/crm/' || c_name, c_name, NULL FROM customer""",
+    "json_listing_all": """
+SELECT 'd' || doc_id AS object_id, source AS path, 'DIRECTORY' AS object_type, NULL::BIGINT AS created_at, NULL::BIGINT AS size, NULL::VARCHAR AS language
+FROM documents
+UNION ALL
+SELECT doc_id::VARCHAR, source, NULL, doc_id, n_chars, lang FROM documents""",
+    "csv_plain": _with(
+        _SCRIPT,
+        _LINE,
+        select="""
+SELECT path || '#' || pos AS path, 'C:\\new\\raw ' || line || '"' AS source,
+       CASE WHEN pos % 3 > 0 THEN 'a' || chr(10) || 'b\\\\' || line END AS target
+FROM line""",
+    ),
     "relation_faults": """
 SELECT o_orderkey, 0::BIGINT AS parents FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_nationkey <> 3)""",

@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lineloom.functions.names import column_key, entity_guid, short_name, table_key
+from lineloom.operators import cascade, model, search, terms, tree
 from lineloom.operators import entities as E
-from lineloom.operators import model, terms, tree
-from lineloom.plans import inventory, lineage
+from lineloom.plans import incremental, inventory, lineage
 from lineloom.session import materialize, scratch_path
-from lineloom.sources import catalog, files
+from lineloom.sources import catalog, files, store
 from lineloom.sources import scripts as script_source
 
 from . import views
@@ -493,15 +493,15 @@ def type_replace(spark: SparkSession, d: str) -> DataFrame:
 
 
 def relation_broken(spark: SparkSession, d: str) -> DataFrame:
-    """Nations whose relation to their region lost a type, one relation per nation."""
-    nations = table(spark, d, "nation").collect()
-    regions = {r["r_regionkey"]: r["r_name"] for r in table(spark, d, "region").collect()}
-    relations = model.relation_table(
-        spark,
-        [(r["n_name"], "COMPOSITION", regions[r["n_regionkey"]], "nations", "SET", True, r["n_name"], "region", "SINGLE", False) for r in nations],
-    )
-    types = model.type_table(spark, [(n, [], []) for n in [*regions.values(), *(r["n_name"] for r in nations)]])
-    broken = model.broken_relations(relations, model.delete_types(types, ["ASIA", "FRANCE"]))
+    """Customers whose composition with their nation lost a type, one relation and type per customer."""
+    nations = table(spark, d, "nation")
+    customers = table(spark, d, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    text = lambda value: F.lit(value)
+    ends = (F.col("n_name"), text("customers"), text("SET"), F.lit(True), F.col("c_name"), text("nation"), text("SINGLE"), F.lit(False))
+    values = (F.col("c_name"), text("COMPOSITION"), *ends)
+    relations = customers.select(*[v.alias(c) for v, c in zip(values, model.RELATION_COLUMNS)])
+    types = nations.select(F.col("n_name").alias("type_name")).unionByName(customers.select(F.col("c_name").alias("type_name")))
+    broken = model.broken_relations(relations, model.delete_types(types, ["NATION_3", "Customer#000000001"]))
     return broken.select("name", "parent_type", "parent_container", "child_container")
 
 
@@ -527,6 +527,190 @@ def type_orphans(spark: SparkSession, d: str) -> DataFrame:
     return model.untyped_entities(_both_kinds(spark, d), left).select("type_name", "qualified_name")
 
 
+def _type(name, supers, *attributes) -> list:
+    """Columns of the type table; attributes are (name, default, required)."""
+    fields = [F.struct(F.lit(n).alias("name"), default.cast("string").alias("default"), F.lit(r).alias("required")) for n, default, r in attributes]
+    return [
+        name.alias("type_name"),
+        F.array(*supers).cast("array<string>").alias("super_types"),
+        F.array(*fields).cast(model.ATTRIBUTES).alias("attributes"),
+    ]
+
+
+def _place_types(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers are of their nation, nations of their region, regions both places and parties, parties places."""
+    none = F.lit(None)
+    place = _type(F.lit("place"), [], ("population", none, True), ("comment", F.lit("none"), False))
+    party = _type(F.lit("party"), [F.lit("place")], ("comment", F.lit("party"), False), ("rank", F.lit("0"), False))
+    regions, nations = table(spark, d, "region"), table(spark, d, "nation")
+    supplied = table(spark, d, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    even = _type(F.col("n_name"), [F.col("r_name")], ("comment", F.col("n_name"), False))
+    odd = _type(F.col("n_name"), [F.col("r_name")])
+    nations = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    parts = [
+        spark.range(1).select(*place),
+        spark.range(1).select(*party),
+        regions.select(*_type(F.col("r_name"), [F.lit("place"), F.lit("party")], ("region_code", F.col("r_regionkey"), False))),
+        nations.where("n_nationkey % 2 = 0").select(*even),
+        nations.where("n_nationkey % 2 = 1").select(*odd),
+        supplied.select(*_type(F.col("s_name"), [F.col("n_name")], ("rank", F.col("s_suppkey"), False))),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def type_inherited(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as entities of a supplier's type, which has its attributes from four levels of types."""
+    customers = table(spark, d, "customer")
+    held = E.make_entity(
+        customers,
+        "",
+        qualified_name=F.concat(F.lit("cat://test/p/"), F.col("c_custkey").cast("string")),
+        name=F.col("c_name"),
+        attributes={"population": F.when(F.col("c_acctbal") > 0, F.col("c_custkey"))},
+    )
+    number = F.pmod(F.split_part("qualified_name", F.lit("/"), F.lit(5)).cast("long"), F.lit(150))
+    held = held.withColumn("type_name", F.concat(F.lit("Supplier#"), F.lpad(number.cast("string"), 9, "0")))
+    checked = model.check_types(held, model.inherited_types(_place_types(spark, d)))
+    attribute = lambda k: F.col("attributes")[k].alias(k)
+    return checked.select(
+        "qualified_name",
+        "type_name",
+        *[attribute(k) for k in ("population", "comment", "rank", "region_code")],
+        F.array_join("missing", ",").alias("missing"),
+        "known",
+    )
+
+
+def _reference(name: str, kind: str, key):
+    return F.array(
+        F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type_name"), key.alias("qualified_name"), entity_guid(F.lit(kind), key).alias("guid"))
+    )
+
+
+def _sales_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Customers, their orders, and the orders' lines; each names its owner."""
+    number = lambda c: F.col(c).cast("string")
+    customer = lambda c: F.concat(F.lit("cat://test/c/"), number(c))
+    order = lambda c: F.concat(F.lit("cat://test/o/"), number(c))
+    line = F.concat(order("l_orderkey"), F.lit("#"), number("l_linenumber"), F.lit("/"), number("l_partkey"))
+    orders = E.make_entity(
+        table(spark, d, "orders"), "order", qualified_name=order("o_orderkey"), name=number("o_orderkey"),
+        attributes={"status": F.col("o_orderstatus")}, relationships=_reference("customer", "customer", customer("o_custkey")),
+    )
+    lines = E.make_entity(
+        table(spark, d, "lineitem"), "line", qualified_name=line, name=number("l_linenumber"),
+        attributes={}, relationships=_reference("order", "order", order("l_orderkey")),
+    )
+    return views.customer_entities(spark, d).unionByName(orders).unionByName(lines)
+
+
+def _sales_relations(spark: SparkSession) -> DataFrame:
+    return model.relation_table(
+        spark,
+        [
+            ("orders", "COMPOSITION", "customer", "orders", "SET", True, "order", "customer", "SINGLE", False),
+            ("lines", "COMPOSITION", "order", "lines", "SET", True, "line", "order", "SINGLE", False),
+        ],
+    )
+
+
+def _sales_hits(entities: DataFrame) -> DataFrame:
+    value = lambda k: F.col("attributes")[k]
+    return entities.where((value("segment") == "BUILDING") | (value("status") == "F"))
+
+
+def entity_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """What goes with one segment's customers and all finished orders, lines first."""
+    held = _sales_entities(spark, d)
+    edges = cascade.composition_edges(held, _sales_relations(spark))
+    gone = cascade.deletion_order(edges, _sales_hits(held))
+    return held.select("guid", "type_name", "qualified_name").distinct().join(gone, "guid").select("type_name", "qualified_name", "step", "ring")
+
+
+def entity_cascade_left(spark: SparkSession, d: str) -> DataFrame:
+    held = _sales_entities(spark, d)
+    left = cascade.delete_cascading(held, _sales_hits(held), _sales_relations(spark))
+    return left.select("type_name", "qualified_name").distinct()
+
+
+def _index(spark: SparkSession, d: str) -> str:
+    path = scratch_path(spark, "search-index")
+    search.write_index(_both_kinds(spark, d), path)
+    return path
+
+
+def entity_index_search(spark: SparkSession, d: str) -> DataFrame:
+    hits = search.search_index(spark, _index(spark, d), "ER#00000001", "customer")
+    return hits.select("guid", "qualified_name", "name", "score")
+
+
+def entity_index_page(spark: SparkSession, d: str) -> DataFrame:
+    """The second twenty hits, found from the last of the first."""
+    hits = search.search_index(spark, _index(spark, d), "st/c/1")
+    last = search.page(hits, 20).collect()[-1]
+    found = search.page(hits, 20, tuple(last[c] for c in search.ORDER))
+    return found.select("guid", "qualified_name", "name", "score")
+
+
+def lineage_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The map after two rounds in which scripts come, change and vanish."""
+    now = views.scripts(spark, d)
+    assets = views.asset_files(spark, d), views.asset_tables(spark, d)
+    place = F.pmod(F.xxhash64("path"), F.lit(10))
+    vanished = now.select(F.concat("path", F.lit("_old")).alias("path"), "text")
+    older = now.withColumn("text", F.when(place < 3, F.substring("text", 1, 40)).otherwise(F.col("text"))).where(place != 3)
+    later = now.withColumn("text", F.when(place == 4, F.lower("text")).otherwise(F.col("text"))).where(place != 5)
+    state = incremental.update_map(older.unionByName(vanished), *assets, words=WORDS)
+    state = incremental.update_map(later, *assets, state, words=WORDS)
+    return incremental.mapping_of(incremental.update_map(now, *assets, state, words=WORDS))
+
+
+def entity_store_partial(spark: SparkSession, d: str) -> DataFrame:
+    """A store of customers and nations after an update of debtors, a deletion, and a new kind."""
+    root = scratch_path(spark, "store")
+    store.create_store(_both_kinds(spark, d), root)
+    debtors = E.make_entity(
+        table(spark, d, "customer").where("c_acctbal < 0"),
+        "customer",
+        qualified_name=F.concat(F.lit("cat://test/c/"), F.col("c_custkey").cast("string")),
+        name=F.lower("c_name"),
+        attributes={"segment": F.lit("IN DEBT")},
+    )
+    gone = views.nation_entities(spark, d).where(F.startswith("name", F.lit("F")))
+    store.update_store(spark, root, debtors, gone)
+    store.update_store(spark, root, _customer_tables(spark, d))
+    return store.read_store(spark, root).select("type_name", "qualified_name", "name", F.col("attributes")["segment"].alias("segment"))
+
+
+def json_listing_all(spark: SparkSession, d: str) -> DataFrame:
+    """Each document as a listing body whose objects have different and nested fields."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    doc_id = F.col("doc_id").cast("string")
+    folder = F.struct(F.concat(F.lit("d"), doc_id).alias("object_id"), F.col("source").alias("path"), F.lit("DIRECTORY").alias("object_type"))
+    info = F.struct(F.col("n_chars").alias("size"), F.col("lang").alias("language"))
+    script = F.struct(doc_id.alias("object_id"), F.col("source").alias("path"), F.col("doc_id").alias("created_at"), info.alias("info"))
+    parts = F.concat_ws(",", F.to_json(folder), F.to_json(script))
+    body = F.concat(F.lit('{"objects":['), parts, F.lit("]}"))
+    found = script_source.parse_listing_all(docs.select(body.alias("body")))
+    return found.select("object_id", "path", "object_type", "created_at", *[F.col(f"`info.{c}`").alias(c) for c in ("size", "language")])
+
+
+def csv_plain(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the documents with backslashes and quotes, in a CSV that another writer left, as a map."""
+    lines = script_source.number_lines(views.scripts(spark, d))
+    rows = lines.select(
+        F.concat_ws("#", "path", F.col("pos").cast("string")).alias("notebook"),
+        F.concat(F.lit("C:\\new\\raw "), "line", F.lit('"')).alias("source"),
+        F.when(F.col("pos") % 3 > 0, F.concat(F.lit("a\nb\\\\"), "line")).alias("target"),
+    )
+    path = scratch_path(spark, "plain-csv")
+    rows.write.option("header", "true").option("escape", '"').csv(path)
+    return files.read_map(spark, path, escaped=False)
+
+
 def _glossary(spark: SparkSession, d: str) -> DataFrame:
     return E.make_entity(
         table(spark, d, "region"),
@@ -609,6 +793,15 @@ QUERIES = {
     "type_replace": type_replace,
     "relation_broken": relation_broken,
     "relation_faults": relation_faults,
+    "type_inherited": type_inherited,
+    "entity_cascade": entity_cascade,
+    "entity_cascade_left": entity_cascade_left,
+    "entity_index_search": entity_index_search,
+    "entity_index_page": entity_index_page,
+    "lineage_incremental": lineage_incremental,
+    "entity_store_partial": entity_store_partial,
+    "json_listing_all": json_listing_all,
+    "csv_plain": csv_plain,
     "type_delete": type_delete,
     "type_orphans": type_orphans,
     "term_assign": term_assign,
