@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import is_csv_name, job_key, last_segment, short_name
-from ..functions.text import WRITE_WORDS, lines_of, mentions_any
+from ..functions.text import LINE_END, WRITE_WORDS, lines_of, mentions_any
 from ..operators.entities import TABLE, FILE, JOB, make_entity
 from ..operators.joins import BROADCAST_BYTES, keyed_join, materialize_measured
 from ..operators.matching import find_names, least_names
@@ -197,17 +197,59 @@ def all_matches(
 
     `scripts` and `whole_texts` are as for `lineage_map`.
     """
-    everything = _ordered(files, SOURCE).unionByName(_ordered(tables, TARGET))
+    named = _named(scripts, files, tables, words=words, whole_texts=whole_texts, wildcards=wildcards, bound=bound)
+    listed = materialize(_both(files, tables).select("kind", "name", "qualified_name").distinct(), "listed")
+    return keyed_join(named, listed, ["kind", "name"], "inner", ["path"], bound=bound).select(
+        "path", "kind", "qualified_name"
+    )
+
+
+def _both(files: DataFrame, tables: DataFrame) -> DataFrame:
+    return _ordered(files, SOURCE).unionByName(_ordered(tables, TARGET))
+
+
+def _named(scripts: DataFrame, files: DataFrame, tables: DataFrame, *, words, whole_texts: bool, wildcards: bool, bound: int) -> DataFrame:
+    """(path, kind, name): every name each writing script has."""
     searched = scripts.where(mentions_any(F.col("text"), words)) if whole_texts else scripts
     texts = _unit_keys(_lowered(searched.select("path", "text"), wildcards))
-    patterns = materialize(everything.select("kind", "name", "pattern").distinct(), "patterns")
+    patterns = materialize(_both(files, tables).select("kind", "name", "pattern").distinct(), "patterns")
     hits = find_names(texts, ["path", "unit"], "text", patterns, wildcards=wildcards, bound=bound)
     named = hits.select("path", "kind", "name").distinct()
-    if not whole_texts:
-        named = named.join(writing_scripts(scripts, words), "path", "left_semi")
-    listed = materialize(everything.select("kind", "name", "qualified_name").distinct(), "listed")
-    return keyed_join(named, listed, ["kind", "name"], "inner", ["path"], bound=bound).select(
-        "path", "kind", "qualified_name"
+    return named if whole_texts else named.join(writing_scripts(scripts, words), "path", "left_semi")
+
+
+def evidence(
+    scripts: DataFrame, files: DataFrame, tables: DataFrame, *, words=WRITE_WORDS, bound: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(path, kind, qualified_name, line, column, excerpt): where each writing script first names an asset.
+
+    `scripts` is (path, text) with one row per script. Lines count from 0 as in
+    `number_lines`, columns from 1. The names that a script has are found first and
+    gathered per script, so a text is joined once and looked through only for those.
+    """
+    named = _named(scripts, files, tables, words=words, whole_texts=True, wildcards=False, bound=bound)
+    names = named.groupBy("path").agg(F.collect_list(F.struct("kind", "name")).alias("names"))
+    names, size = materialize_measured(names, "names-of-scripts")
+    texts = scripts.select("path", F.col("text").alias("original"))
+    texts = keyed_join(texts, names, ["path"], "inner", ["path"], bound=bound, right_bytes=size)
+
+    def placed(hit):
+        pattern = F.concat(hit["name"], F.when(hit["kind"] == TARGET, SUFFIX[TARGET]).otherwise(SUFFIX[SOURCE]))
+        before = F.split(F.left(F.col("text"), F.instr(F.col("text"), pattern) - 1), LINE_END, -1)
+        return F.struct(
+            hit["kind"].alias("kind"),
+            hit["name"].alias("name"),
+            (F.size(before) - 1).alias("line"),
+            (F.length(F.element_at(before, -1)) + 1).alias("column"),
+        )
+
+    found = texts.withColumn("text", F.lower("original"))
+    lines = F.split(F.col("original"), LINE_END, -1)
+    found = found.select("path", F.explode(F.transform("names", placed)).alias("hit"), lines.alias("lines"))
+    found = found.select("path", "hit.*", F.get("lines", F.col("hit.line")).alias("excerpt"))
+    listed = materialize(_both(files, tables).select("kind", "name", "qualified_name").distinct(), "listed")
+    return keyed_join(found, listed, ["kind", "name"], "inner", ["path"], bound=bound).select(
+        "path", "kind", "qualified_name", "line", "column", "excerpt"
     )
 
 

@@ -1,13 +1,16 @@
 """Databases, tables, columns and table detail of the session's catalog.
 
-Only the catalog itself is enumerated on the driver, where Spark keeps it; what
-is found is returned as DataFrames and everything after that is set at a time.
+Only the catalog itself is enumerated on the driver, where Spark keeps it, by a
+bounded number of calls at a time; what is found is returned as DataFrames and
+everything after that is set at a time.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLE_SCHEMA = "database string, tableName string"
@@ -35,6 +38,20 @@ _DESCRIBED = (
 )
 
 
+# Calls to the catalog that are under way at once.
+WORKERS = 16
+
+
+def _each(spark: SparkSession, ask: Callable, items: Iterable) -> list:
+    """`ask` of every item in order, some at a time; the first failure is raised.
+
+    A call mostly waits for the metastore, and each has the caller's job
+    properties.
+    """
+    with ThreadPoolExecutor(WORKERS) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(ask), items))
+
+
 def _quoted(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
@@ -46,8 +63,8 @@ def list_databases(spark: SparkSession) -> DataFrame:
 def table_names(spark: SparkSession, databases: list[str] | None = None) -> list[tuple[str, str]]:
     """(database, table) of every table; temporary views have no database and are left out."""
     names = [r.namespace for r in list_databases(spark).collect()] if databases is None else list(databases)
-    found = [(r.namespace, r.tableName) for n in names for r in spark.sql(f"SHOW TABLES IN {_quoted(n)}").collect()]
-    return [pair for pair in found if pair[0]]
+    listed = _each(spark, lambda n: spark.sql(f"SHOW TABLES IN {_quoted(n)}").collect(), names)
+    return [(r.namespace, r.tableName) for rows in listed for r in rows if r.namespace]
 
 
 def list_tables(spark: SparkSession, databases: list[str] | None = None, names=None) -> DataFrame:
@@ -79,7 +96,9 @@ def column_table(spark: SparkSession, tables: dict[tuple[str, str], DataFrame])
 def list_columns(spark: SparkSession, databases: list[str] | None = None, names=None) -> DataFrame:
     """(databaseName, tableName, colName, dataType) of every table in the catalog."""
     names = table_names(spark, databases) if names is None else names
-    return column_table(spark, {(d, t): spark.table(_quoted(d, t)) for d, t in names})
+    # A table's schema is resolved where it is asked for, so that is done in the pool too.
+    rows = _each(spark, lambda pair: schema_rows(*pair, spark.table(_quoted(*pair))), names)
+    return spark.createDataFrame([row for found in rows for row in found], COLUMN_SCHEMA)
 
 
 def existing_folders(spark: SparkSession, roots: list[str]) -> list[str]:
@@ -141,10 +160,8 @@ def table_detail(spark: SparkSession, databases: list[str] | None = None, names=
     and no time of change.
     """
     names = table_names(spark, databases) if names is None else names
-    described = []
-    for database, name in names:
-        text = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(database, name)} AS JSON").first()[0]
-        described.append((database, name, text))
+    describe = lambda pair: (*pair, spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(*pair)} AS JSON").first()[0])
+    described = _each(spark, describe, names)
     parsed = (
         spark.createDataFrame(described, "database string, tableName string, json string")
         .withColumn("d", F.from_json("json", _DESCRIBED))

@@ -247,6 +247,21 @@ FROM line JOIN writing USING (path) JOIN asset_file ON contains(lower(line), nam
 UNION ALL
 SELECT DISTINCT path, 'target', qualified_name
 FROM line JOIN writing USING (path) JOIN asset_table ON contains(lower(line), name || ' ')""",
+    ),
+    "lineage_evidence": _with(
+        _SCRIPT,
+        _LINE,
+        _ASSET_TABLE,
+        _ASSET_FILE,
+        _WRITING,
+        select="""
+SELECT path, kind, qualified_name, min(pos)::INT AS line, arg_min(instr(lower(line), pattern), pos)::INT AS column, arg_min(line, pos) AS excerpt
+FROM line JOIN writing USING (path) JOIN (
+  SELECT 'source' AS kind, qualified_name, name AS pattern FROM asset_file
+  UNION ALL
+  SELECT 'target', qualified_name, name || ' ' FROM asset_table
+) ON contains(lower(line), pattern)
+GROUP BY path, kind, qualified_name""",
     ),
     "lineage_edges": _with(
         *_LINEAGE,

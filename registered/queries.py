@@ -216,6 +216,12 @@ def lineage_all_matches(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def lineage_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return lineage.evidence(
+        views.scripts(spark, d), views.asset_files(spark, d), views.asset_tables(spark, d), words=WORDS
+    )
+
+
 def _processes(spark: SparkSession, d: str) -> DataFrame:
     return lineage.resolve_processes(lineage_map(spark, d), views.asset_entities(spark, d))
 
@@ -769,6 +775,7 @@ QUERIES = {
     "lineage_map": lineage_map,
     "lineage_scan": lineage_scan,
     "lineage_all_matches": lineage_all_matches,
+    "lineage_evidence": lineage_evidence,
     "lineage_edges": lineage_edges,
     "lineage_jobs": lineage_jobs,
     "lineage_unresolved": lineage_unresolved,

@@ -337,3 +337,9 @@ def test_unresolved_processes(spark):
     known = spark.createDataFrame([("file", "f1", "g1"), ("table", "t1", "g2")], "type_name string, qualified_name string, guid string")
     assert rows(lineage.resolve_processes(mapping, known).select("path")) == [("/a",)]
     assert rows(lineage.unresolved_processes(mapping, known)) == [("/b", "f1", "t2", True, False), ("/c", "f2", "t1", False, True)]
+
+
+def test_catalog_calls_keep_their_order_and_raise(spark):
+    assert catalog._each(spark, lambda n: n * n, range(100)) == [n * n for n in range(100)]
+    with pytest.raises(ZeroDivisionError):
+        catalog._each(spark, lambda n: 1 // n, [3, 0, 2])

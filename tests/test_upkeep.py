@@ -333,3 +333,18 @@ def test_a_plain_csv_is_read_as_it_stands(spark, tmp_path):
         out.writerows(rows)
     got = [tuple(r) for r in files.read_map(spark, path, escaped=False).orderBy("path").collect()]
     assert got == [(a, b or None, c or None) for a, b, c in rows]
+
+
+def test_evidence_of_a_hit(spark):
+    asset = "name string, qualified_name string"
+    one = spark.createDataFrame([("F1.csv", "q/f1"), ("f1.csv", "q/again"), ("none.csv", "q/none")], asset)
+    two = spark.createDataFrame([("tab", "q/tab")], asset)
+    texts = [("/a", "é\r\nx\rINSERT tab, tab x\nfrom F1.CSV tab "), ("/b", "tab "), ("/c", None), ("/d", "create f1.csv\n\ntab")]
+    got = lineage.evidence(spark.createDataFrame(texts, "path string, text string"), one, two).collect()
+    assert sorted(map(tuple, got)) == [
+        ("/a", "source", "q/again", 3, 6, "from F1.CSV tab "),
+        ("/a", "source", "q/f1", 3, 6, "from F1.CSV tab "),
+        ("/a", "target", "q/tab", 2, 13, "INSERT tab, tab x"),
+        ("/d", "source", "q/again", 0, 8, "create f1.csv"),
+        ("/d", "source", "q/f1", 0, 8, "create f1.csv"),
+    ]
