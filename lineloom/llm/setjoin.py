@@ -276,14 +276,15 @@ SKETCH_SCHEMA = "set long, size long, below byte, sketch binary"
 
 
 def sketches(shingles: np.ndarray, lows: np.ndarray, below: int) -> bytes:
-    """A byte per segment of a fine partition for a band: the sum of the hashes in it.
+    """A byte per segment of a fine partition for a band: the sum of odd hashes of what is in it.
 
-    Two sets of a band differ in at least as many shingles as sketch bytes.
+    Where two sets of a band have different bytes they differ in a shingle there,
+    and in two if the lowest bits are equal, as those tell odd from even numbers.
     """
     band = int(np.searchsorted(lows, len(shingles), "right")) - 1 - below
     width = int(max(32, lows[max(band, 0)]))
     place = ((mix(shingles ^ _DELETED) >> _U(32)) * _U(width) >> _U(32)).astype(np.int64)
-    return np.bincount(place, mix(shingles ^ _SEGMENT) & _U(255), width).astype(np.int64).astype(np.uint8).tobytes()
+    return np.bincount(place, mix(shingles ^ _SEGMENT) & _U(255) | _U(1), width).astype(np.int64).astype(np.uint8).tobytes()
 
 
 CLOSE_SCHEMA = "a long, b long"
@@ -310,7 +311,8 @@ def _close(part: pa.Table, percent: int, spanning: bool) -> pa.Table:
         near &= (sizes[right] * 100 >= sizes[i] * percent) & (sizes[i] * 100 >= sizes[right] * percent)
         near &= (below[right] == 0) | (below[i] == 0)
         j = right[near]
-        apart = (sketch[j] != sketch[i]).sum(1)
+        differ = sketch[j] ^ sketch[i]
+        apart = 2 * (differ != 0).sum(1) - (differ & 1).sum(1)
         may = apart * (100 + percent) <= (100 - percent) * (sizes[i] + sizes[j])
         j = j[may]
         if spanning and len(j):
