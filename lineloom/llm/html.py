@@ -5,14 +5,16 @@ in an element that is never main text (menu, page header, footer, sidebar,
 notice, advert, form, comments, …), in the article, or in neither. Only the
 third kind is in doubt. The pages of a host are put in the order of their URL
 paths and each is paired with the neighbour that shares the longer start of the
-path; the lines of both are aligned by longest common subsequence, and lines that
-both have are deleted, those of an article too. A neighbour that has more than
-MOST_SHARED of the characters of a page's article (of its lines in doubt, if it
-has none) is a copy, which tells nothing: copies stay whole.
+path; all lines of both are aligned by longest common subsequence, and lines that
+both have are deleted. Structure comes second: a shared line of an article stays,
+as two articles may say the same, and a line of the first kind goes though the
+neighbour has it not. A neighbour that has more than MOST_SHARED of the
+characters of a page's article (of its lines in doubt, if it has none) is a copy,
+which tells nothing: the next one is taken, and copies stay whole.
 
 If a page has an article, lines in doubt are left out, unless those that differ
-from the neighbour's hold more characters than are left of the article, which is
-a mere card then; without an article, they are its text.
+from the neighbour's hold more characters than the article, which is a mere card
+then; without an article, they are its text.
 
 Null and empty pages give the empty text. Repeated rows (equal id, URL and
 page) and equal URLs are neighbours like others. A page that is alone on its
@@ -311,9 +313,10 @@ def _settled(page: tuple, other: tuple | None) -> str:
     shared = [False] * len(lines) if other is None else common_lines(lines, other[3])[0]
     if _is_copy(lines, kinds, shared):
         shared = [False] * len(lines)
-    size = lambda kind: sum(len(line) for line, k, s in zip(lines, kinds, shared) if k == kind and not s)
+    left = [(line, k) for line, k, s in zip(lines, kinds, shared) if not s or k == MAIN]
+    size = lambda kind: sum(len(line) for line, k in left if k == kind)
     wanted = {DOUBT} if MAIN not in kinds else {MAIN, DOUBT} if size(DOUBT) > size(MAIN) else {MAIN}
-    return "\n".join(line for line, k, s in zip(lines, kinds, shared) if k in wanted and not s)
+    return "\n".join(line for line, k in left if k in wanted)
 
 
 def main_text(
