@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -138,29 +139,44 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@lru_cache(maxsize=2)
-def coder(path: str, pattern: str) -> Callable[[list[str]], list[list[int]]]:
-    """Ids of texts by a tokenizer file, without special tokens.
+@lru_cache(maxsize=4)
+def coder(path: str, pattern: str, added: bool = True) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of texts by a tokenizer file, as its library gives them without adding special tokens.
 
-    If the merges of the file stand in the order of the ids they make, an id is
-    its merge's rank, and tiktoken gives the same ids several times as fast as
+    The strings of the file's added tokens are those tokens, or with `added` off
+    ordinary text. If the merges of the file stand in the order of the ids they make,
+    an id is its merge's rank, and tiktoken gives the same ids several times as fast as
     the tokenizers library (a test compares them). Otherwise that library is used.
     """
     with open(path, encoding="utf-8") as source:
-        model = json.load(source)["model"]
+        file = json.load(source)
+    model, extra = file["model"], file.get("added_tokens") or []
     vocabulary = model["vocab"]
     pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
     made = [vocabulary["".join(m)] for m in pairs]
     letters = _byte_letters()
     single = {t: i for t, i in vocabulary.items() if len(t) == 1 and t in letters}
-    if made == list(range(256, 256 + len(made))) and sorted(single.values()) == list(range(256)):
+    plain = not any(t.get(flag) for t in extra for flag in ("single_word", "lstrip", "rstrip", "normalized"))
+    if made == list(range(256, 256 + len(made))) and sorted(single.values()) == list(range(256)) and (plain or not added):
         tokens = [*single, *("".join(m) for m in pairs)]
         ranks = {bytes(letters[c] for c in t): vocabulary[t] for t in tokens}
         fast = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [encode_text(fast, t) for t in texts]
+        known = {t["content"]: t["id"] for t in extra} if added else {}
+        if not known:
+            return lambda texts: [encode_text(fast, t) for t in texts]
+        cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(known, key=len, reverse=True)) + ")")
+
+        def encode(text: str) -> list[int]:
+            # Every second part is an added token; the others are coded each on its own.
+            parts = cut.split(text)
+            if len(parts) == 1:
+                return encode_text(fast, text)
+            return [i for n, part in enumerate(parts) for i in ([known[part]] if n % 2 else encode_text(fast, part))]
+
+        return lambda texts: [encode(t) for t in texts]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True  # their strings are ordinary text
+    slow.encode_special_tokens = not added
     return lambda texts: [e.ids for e in slow.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -174,11 +190,13 @@ def pack(
     size: int = 1024,
     closing_id: int = 0,
     group_ids: int = GROUP_IDS,
+    added: bool = True,
 ) -> DataFrame:
     """Pieces with their ids (little-endian unsigned 32-bit), by `PIECE_SCHEMA`.
 
     `tokenizer` is the path of a tokenizer file on every executor and `pattern`
-    the pattern that it splits by.
+    the pattern that it splits by. With `added` off, the strings of added tokens,
+    such as an end of text, are ordinary text, so that no text can write one.
     """
 
     def packed(group: list[tuple[int | None, np.ndarray]], first: int) -> tuple[pa.RecordBatch, int]:
@@ -197,7 +215,7 @@ def pack(
         return pa.RecordBatch.from_arrays(arrays, list(rows)), first + len(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = coder(tokenizer, pattern)
+        encoded = coder(tokenizer, pattern, added)
         number = TaskContext.get().partitionId() << 40
         group, held = [], 0
         for batch in batches:

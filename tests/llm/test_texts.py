@@ -108,12 +108,16 @@ def test_article_text():
     assert html._settled(page, page) == html._settled(page, None)
 
 
-def test_differences_decide_in_articles_too():
+def test_differences_first_and_structure_second():
     notice, own = "Read our letter every week.", "The text of page {0} is long and is found on no other page {0}."
     made = lambda n, html_of: (n, "u", f"h/{n}", *html.page_lines(html_of.format(n)))
-    marked = f"<div>Frame</div><article><p>{own}</p><p>{notice}</p></article>"
-    assert html._settled(made(1, marked), made(2, marked)) == own.format(1)
-    assert html._settled(made(1, marked), None) == f"{own.format(1)}\n{notice}"
+    # Title, first and last paragraph equal the neighbour's: the article stays whole.
+    marked = f"<div>Frame</div><article><h1>Title</h1><p>First.</p><p>{own}</p><p>{notice}</p></article><div>Imprint</div>"
+    whole = f"Title\nFirst.\n{own.format(1)}\n{notice}"
+    assert html._settled(made(1, marked), made(2, marked)) == whole == html._settled(made(1, marked), None)
+    # A frame without telling tags or classes goes, one with them goes though it is different.
+    bare = f"<div>Frame</div><nav>Page {{0}} of 9</nav><p>{own}</p><div>Imprint</div>"
+    assert html._settled(made(1, bare), made(2, bare)) == own.format(1)
     card = f"<article>By author {{0}}</article><div>Frame</div><p>{own}</p>"
     assert html._settled(made(1, card), made(2, card)) == f"By author 1\n{own.format(1)}"
 
@@ -187,13 +191,15 @@ def test_safe_pieces_change_nothing():
         assert [i for p in pieces for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
 
 
-def test_packing(spark):
+@pytest.mark.parametrize("added", [True, False])
+def test_packing(spark, added):
     rng = random.Random(6)
     rows = odd_rows() + [(100 + i, " ".join(rng.choice(["token", "x1", "é", "<|endoftext|>"]) for _ in range(rng.randrange(900)))) for i in range(60)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("start", F.lit("clash"))
-    pieces = packing.pack(df.repartition(3), **MODEL, size=256, group_ids=9000).collect()
+    pieces = packing.pack(df.repartition(3), **MODEL, size=256, group_ids=9000, added=added).collect()
     plain = Tokenizer.from_file(MODEL["tokenizer"])
-    plain.encode_special_tokens = True
+    plain.encode_special_tokens = not added
+    assert (50256 in plain.encode("a <|endoftext|> b", add_special_tokens=False).ids) == added
     wanted = collections.Counter((k, *plain.encode(t or "", add_special_tokens=False).ids, 0) for k, t in rows)
     windows, whole = collections.defaultdict(list), collections.defaultdict(dict)
     for p in pieces:
