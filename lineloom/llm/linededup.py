@@ -190,19 +190,25 @@ def near_lines(lines: DataFrame, edits: int, least: int) -> DataFrame:
     return pairs.select("p.*").distinct()
 
 
+# Lines of white space only.
+BLANK = r"\A[\x20\x09-\x0D]*\z"
+
+
 def dropped_lines(
     docs: DataFrame,
     *,
     doc_id: str = "doc_id",
     text: str = "text",
     edits: int = 2,
-    least: int = 10,
-    least_near: int = 24,
-    stays: str | None = None,
+    least: int = 1,
+    least_near: int = 0,
+    stays: str | None = BLANK,
 ) -> DataFrame:
     """(spot, dropped, sources): per row with lines to drop, their places and the documents that had them first.
 
-    Lines that the pattern `stays` finds something in always stay.
+    Lines of `least` characters or more count, and near copies are searched of
+    those of `least_near` or as many as the join can search. Lines that the pattern
+    `stays` finds something in always stay; unless told otherwise, blank ones.
     """
     lines = _lines(docs, doc_id, text).where(F.col("size") >= least)
     if stays is not None:

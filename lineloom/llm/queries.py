@@ -191,11 +191,11 @@ WITH line AS (
     SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS raw
     FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
 ), item AS (
-    SELECT *, trim(raw, ' ') AS line FROM line WHERE length(trim(raw, ' ')) >= 10
+    SELECT *, trim(raw, ' ') AS line FROM line WHERE regexp_matches(raw, '[^\\x20\\x09-\\x0D]')
 ), distinct_line AS (
     SELECT line, min((doc_id, pos)) AS first FROM item GROUP BY line
 ), cut AS (
-    SELECT line, first, length(line) AS n, length(line) // 3 AS b, length(line) % 3 AS r FROM distinct_line WHERE length(line) >= 24
+    SELECT line, first, length(line) AS n, length(line) // 3 AS b, length(line) % 3 AS r FROM distinct_line WHERE length(line) >= 12
 ), near AS (
     SELECT x.line AS line, y.first AS first, y.line AS other, x.first AS other_first
     FROM cut x JOIN cut y ON x.n BETWEEN y.n AND y.n + 2 AND x.line <> y.line

@@ -9,6 +9,7 @@ import corpus_pipeline
 from lineloom.llm import linededup as L
 
 SCHEMA = "doc_id long, text string"
+SPACES = " \t\n\v\f\r"
 
 
 def distance(a, b):
@@ -46,12 +47,12 @@ def test_automaton_equals_dynamic_programming(spark, edits):
         assert (r.s, r.w) == (near, near), (r.a, r.b)
 
 
-def expected(rows, edits, least=10, near=24):
+def expected(rows, edits, least=1, near=0):
     where = {}
     for doc, text in rows:
         for pos, line in enumerate((text if text is not None else "").split("\n")):
             line = line.strip(" ")
-            if len(line) >= least:
+            if len(line) >= least and line.strip(SPACES):
                 at = (-(2**63) if doc is None else doc, pos)
                 where[line] = min(where.get(line, at), at)
     out = []
@@ -67,7 +68,7 @@ def expected(rows, edits, least=10, near=24):
             out.append((doc, None, []))
             continue
         lines = text.split("\n")
-        gone = [p for p, l in enumerate(lines) if len(l.strip(" ")) >= least and first[l.strip(" ")] < (at, p)]
+        gone = [p for p, l in enumerate(lines) if len(l.strip(" ")) >= least and l.strip(SPACES) and first[l.strip(" ")] < (at, p)]
         out.append((doc, "\n".join(l for p, l in enumerate(lines) if p not in gone), gone))
     return sorted(out, key=repr)
 
