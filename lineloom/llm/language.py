@@ -29,6 +29,7 @@ from .common import fields_of, spread, text_runs, without
 
 UNKNOWN = "und"
 ORDER = 3
+PIECE = 1 << 18  # bytes worked on at once
 
 
 @dataclass(frozen=True)
@@ -132,24 +133,27 @@ def _code_lengths(table: list[np.ndarray], nodes: list[np.ndarray], m: int) -> n
 def code_lengths(model: Model, texts: pa.Array) -> np.ndarray:
     """Bits of each whole text under each language."""
     m = int(model.rank.max()) + 1
-    start = np.full(ORDER, model.rank[ord("\n")], np.int64)
+    start = np.full(ORDER, model.rank[ord("\n")], np.int32)
     out = np.zeros((len(texts), len(model.languages)))
-    for lo, hi, data, offsets in text_runs(texts):
-        n = len(data)
-        if not n:
-            continue
-        ranks = np.concatenate([start, model.rank[data]]).astype(np.int64)
-        # Bytes at a text's start see the start mark, not the text before.
+    # A run is whole texts of PIECE bytes together, or one longer text, which is read in pieces.
+    for lo, hi, data, offsets in text_runs(texts, PIECE):
         filled = np.flatnonzero(np.diff(offsets))
-        heads = offsets[:-1][filled]
-        back = [ranks[ORDER - b : ORDER - b + n].copy() for b in range(1, ORDER + 1)]
-        for b in range(1, ORDER + 1):
-            for j in range(b):
-                inside = heads + j
-                back[b - 1][inside[inside < offsets[1:][filled]]] = start[0]
-        context = (back[2] * m + back[1]) * m + back[0]
-        cost = model.bits[model.node[context].astype(np.int64) * m + ranks[ORDER:]]
-        out[lo + filled] = np.add.reduceat(cost, heads, axis=0, dtype=np.float64)
+        for a in range(0, len(data), PIECE):
+            b = min(a + PIECE, len(data))
+            before = max(a - ORDER, 0)
+            ranks = model.rank[data[before:b]]
+            ranks = np.concatenate([start[: ORDER - (a - before)], ranks])
+            # Bytes at a text's start see the start mark, not the text before.
+            heads = offsets[:-1][filled] - a
+            ends = offsets[1:][filled] - a
+            back = [ranks[ORDER - k : ORDER - k + b - a].copy() for k in range(1, ORDER + 1)]
+            for k in range(1, ORDER + 1):
+                for j in range(k):
+                    inside = heads + j
+                    back[k - 1][inside[(inside >= 0) & (inside < np.minimum(ends, b - a))]] = start[0]
+            context = (back[2] * m + back[1]) * m + back[0]
+            cost = model.bits[model.node[context] * m + ranks[ORDER:]]
+            out[lo + filled] += np.add.reduceat(cost, np.maximum(heads, 0), axis=0, dtype=np.float64)
     return out
 
 
