@@ -64,13 +64,15 @@ def chunk_starts(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(offsets[:-1], counts) + at * STRIDE, bounds
 
 
+def _cut(padded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    at = starts[:, None] + np.arange(WIDTH)
+    return np.where(at < ends[:, None], padded[np.minimum(at, len(padded) - 1)].astype(np.int16), np.int16(MARK))
+
+
 def chunks_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of each chunk, chunks before each text, and in all); MARK after a text's end."""
     starts, bounds = chunk_starts(offsets)
-    at = starts[:, None] + np.arange(WIDTH)
-    ends = np.repeat(offsets[1:], np.diff(bounds))[:, None]
-    padded = np.append(data, np.uint8(0))
-    return np.where(at < ends, padded[np.minimum(at, len(data))].astype(np.int16), np.int16(MARK)), bounds
+    return _cut(np.append(data, np.uint8(0)), starts, np.repeat(offsets[1:], np.diff(bounds))), bounds
 
 
 def _answers(net: Network, chunks: np.ndarray) -> np.ndarray:
@@ -79,11 +81,13 @@ def _answers(net: Network, chunks: np.ndarray) -> np.ndarray:
 
 def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Largest answer of each filter over each text."""
-    chunks, bounds = chunks_of(data, offsets)
+    starts, bounds = chunk_starts(offsets)
+    padded = np.append(data, np.uint8(0))
     top = np.full((len(offsets) - 1, FILTERS), -np.inf, np.float32)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-    for lo in range(0, len(chunks), 4096):
-        part, who = _answers(net, chunks[lo : lo + 4096]), owner[lo : lo + 4096]
+    for lo in range(0, len(starts), 4096):
+        who = owner[lo : lo + 4096]
+        part = _answers(net, _cut(padded, starts[lo : lo + 4096], offsets[1:][who]))
         first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
         texts = who[first]
         top[texts] = np.maximum(top[texts], np.maximum.reduceat(part, first, axis=0))
