@@ -38,8 +38,12 @@ def fields_of(df: DataFrame) -> list[str]:
     return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
 
 
-def parts_for(amount: int, each: int, least: int = 1, most: int = 16384) -> int:
-    return int(min(most, max(least, math.ceil((amount or 0) / each))))
+# Ranges of a key at most: their bounds are constants of the plan.
+RANGES = 16384
+
+
+def parts_for(amount: int, each: int, least: int = 1) -> int:
+    return int(max(least, math.ceil((amount or 0) / each)))
 
 
 def total_bytes(docs: DataFrame, text: str) -> int:
@@ -177,8 +181,9 @@ def split_points(df: DataFrame, key: str, parts: int, sample: int = 20000) -> li
     """Up to parts - 1 values of `key` that cut the rows into ranges of like size.
 
     They come from a sample by hash of about `sample` different values, and
-    steer only how rows are dealt out.
+    steer only how rows are dealt out. There are at most RANGES of them.
     """
+    parts = min(parts, RANGES)
     if parts < 2:
         return []
     keys = df.select(key).where(F.col(key).isNotNull())
