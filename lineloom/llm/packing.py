@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from .bpe import encode_text
 from .common import spread
 
-GROUP_IDS = 8_000_000
+GROUP_IDS = 2_000_000
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
