@@ -17,6 +17,11 @@ name is out of the question. The way taken here has equi-joins only:
 A name with a word-breaking character anywhere but at its end is looked up by
 its longest part, and the text is then checked for the whole name, once per
 text and name.
+
+Cutting texts into words costs as much as looking for some thousand names in
+them one after the other. So a list of at most `DIRECT_NAMES` names is looked
+for in each text as it is read: one pass without a shuffle. The way through
+words is for longer lists, for wildcards, and where nothing may be broadcast.
 """
 
 from __future__ import annotations
@@ -34,6 +39,10 @@ from .joins import BROADCAST_BYTES, keyed_join, materialize_measured, row_bytes
 GRAM_SIZES = (8, 5, 3, 2, 1)
 MIN_WINDOW = 128
 
+# Names that are looked for one by one in every text, and the bytes of their
+# rows: they become constants of the plan.
+DIRECT_NAMES, DIRECT_BYTES = 512, 1 << 20
+
 
 def _gram_size(needle: str):
     size = F.lit(0)
@@ -42,6 +51,32 @@ def _gram_size(needle: str):
     return size
 
 
+def _short_list(patterns: DataFrame, wildcards: bool, bound: int) -> list | None:
+    """The rows of a list that is short enough to be looked for directly."""
+    if wildcards or not bound:
+        return None
+    rows = _in_a_line(patterns).limit(DIRECT_NAMES + 1).collect()
+    size = sum(16 + len(str(value).encode()) for row in rows for value in row)
+    return rows if len(rows) <= DIRECT_NAMES and size <= min(bound, DIRECT_BYTES) else None
+
+
+def _names_directly(texts: DataFrame, keys: list[str], text: str, patterns: DataFrame, rows: list) -> DataFrame:
+    held = [F.when(F.contains(F.col(text), F.lit(p)), F.lit(p)) for p in sorted({r["pattern"] for r in rows})]
+    hits = texts.select(*keys, F.explode(F.array_compact(F.array(*held))).alias("pattern"))
+    return hits.join(F.broadcast(patterns), "pattern").select(*keys, *[c for c in patterns.columns if c != "pattern"])
+
+
+def _least_directly(text: str, rows: list, kind: str):
+    """The least place of a kind's patterns in a text: they are tried in order up to the first hit."""
+    tried, first = [], F.when(F.lit(False), F.lit(None).cast("long"))
+    for row in sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["place"]):
+        # A text with a longer pattern has the ones inside it, too.
+        if not any(p in row["pattern"] for p in tried):
+            tried.append(row["pattern"])
+            first = first.when(F.contains(F.col(text), F.lit(row["pattern"])), F.lit(row["place"]).cast("long"))
+    return first.alias(kind)
+
+
 class _Search:
     """What a search in `texts` for `patterns` needs before its two ways part."""
 
@@ -110,6 +145,9 @@ def find_names(
 
     One hit may be given more than once for a text.
     """
+    short = _short_list(patterns, wildcards, bound)
+    if short:
+        return _names_directly(texts, keys, text, patterns, short)
     search = _Search(texts, keys, text, patterns, wildcards, bound)
     if search.empty:
         return texts.select(*keys, *search.blank).where(F.lit(False))
@@ -141,6 +179,9 @@ def least_names(
     a name that needs a look at the text is looked for only where it would come
     before what is known.
     """
+    short = _short_list(patterns, wildcards, bound)
+    if short is not None:
+        return texts.select(*keys, *[_least_directly(text, short, kind) for kind in kinds])
     search = _Search(texts, keys, text, patterns, wildcards, bound)
     none = [F.lit(None).cast("long").alias(k) for k in kinds]
     if search.empty:
@@ -176,6 +217,10 @@ def least_names(
     return sure.unionByName(hits.select(*keys, *each))
 
 
+def _in_a_line(patterns: DataFrame) -> DataFrame:
+    return patterns.where(~F.col("pattern").rlike(r"[\r\n]"))  # no line contains a line end
+
+
 def _with_needles(patterns: DataFrame, wildcards: bool) -> DataFrame:
     """Add `needle`, what a word must contain, and `exact`, whether that is all."""
     special = WORD_BREAKS + ("_%" if wildcards else "")
@@ -185,7 +230,7 @@ def _with_needles(patterns: DataFrame, wildcards: bool) -> DataFrame:
     longest = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
     exact = (body != "") & ~body.rlike(f"[{special}]")
     return (
-        patterns.where(~F.col("pattern").rlike(r"[\r\n]"))  # no line contains a line end
+        _in_a_line(patterns)
         .withColumn("exact", exact)
         .withColumn("needle", F.when(exact, F.col("pattern")).otherwise(longest))
     )

@@ -96,7 +96,8 @@ def first_match(
     texts = _unit_keys(_lowered(scripts, wildcards))
     patterns = catalogue.select("pattern", "kind", "place")
     hits = least_names(texts, ["path", "unit"], "text", patterns, kinds=[kind], wildcards=wildcards, bound=bound)
-    first = hits.where(F.col(kind).isNotNull()).groupBy("path").agg(F.min(kind).alias("place"))
+    # Filtered after grouping: a filter before it would search the texts where they are scanned, before they are dealt.
+    first = hits.groupBy("path").agg(F.min(kind).alias("place")).where("place IS NOT NULL")
     return _name_of(first, catalogue, "place", kind, size, bound)
 
 

@@ -16,6 +16,14 @@ from lineloom.session import materialize
 NARROW, WIDE = 0, 64 * 1024 * 1024  # nothing may be broadcast / everything may
 
 
+@pytest.fixture(params=["shuffled", "broadcast", "direct"])
+def bound(request, monkeypatch):
+    """The three ways of the search: words shuffled, words with broadcasts, short lists in each text."""
+    if request.param != "direct":
+        monkeypatch.setattr(matching, "DIRECT_NAMES", 0)
+    return NARROW if request.param == "shuffled" else WIDE
+
+
 def assets(spark, names, prefix="cat://d/x/"):
     return spark.createDataFrame([(n, prefix + n) for n in names], "name string, qualified_name string")
 
@@ -64,7 +72,6 @@ ALPHABET = ["a", "b", "_", ".", "é", "-", " ", "(", "/", "%", "\n", "x", "0"]
 ODD = ["", " ", "( ", "a(b", "a b", " a", "o'x", "/", "a/b", "%", "_", "a_b", "a%b", "é", "b  a", "((", "a\\b", "$", ".*"]
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
 @pytest.mark.parametrize("wildcards", [False, True])
 def test_find_names_equals_brute_force(spark, bound, wildcards):
     rng = random.Random(7)
@@ -79,7 +86,7 @@ def test_find_names_equals_brute_force(spark, bound, wildcards):
     assert any(n for _, n in expected)
 
 
-def test_long_runs_are_searched_whole(spark):
+def test_long_runs_are_searched_whole(spark, bound):
     rng = random.Random(3)
     run = "".join(rng.choice("abcdefgh0123") for _ in range(20_000))
     names = [run[i : i + n] for i, n in ((0, 5), (126, 128), (127, 9), (255, 130), (9_999, 200), (19_990, 10), (19_700, 300))]
@@ -87,15 +94,14 @@ def test_long_runs_are_searched_whole(spark):
     spaced = [run[-40:] + " ", run[100:140] + " "]
     texts = {"one": "x " + run + " y", "cut": "x " + run[:-1]}
     expected = sorted((p, n) for p, t in texts.items() for n in names + spaced if n in t)
-    assert found(spark, texts, names + spaced) == expected
-    assert found(spark, texts, names + spaced, bound=NARROW) == expected
+    assert found(spark, texts, names + spaced, bound=bound) == expected
 
 
-def test_long_needles_share_a_common_start(spark):
+def test_long_needles_share_a_common_start(spark, bound):
     names = [f"warehouse_events_{i:06d}" for i in range(300)]
     texts = {f"p{i}": f"select * from db.{names[i]} where x" for i in range(0, 300, 7)}
     expected = sorted((p, n) for p, t in texts.items() for n in names if n in t)
-    assert found(spark, texts, names) == expected
+    assert found(spark, texts, names, bound=bound) == expected
 
 
 def test_pieces_are_short_and_cover(spark):
@@ -110,7 +116,6 @@ def test_words_keep_one_space(spark):
     assert df.first().w == ["into ", "t1 ", "x", "t2", "end"]
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
 def test_target_needs_the_space_in_the_same_line(spark, bound):
     texts = {"a": "into T1 x", "b": "into t1", "c": "into t1;", "d": "xt1 y", "e": "t1\n y", "f": "t1\r\n y"}
     got = first_match(scripts(spark, texts), assets(spark, ["t1"]), TARGET, bound=bound)
@@ -181,7 +186,6 @@ def mapped(spark, source, **options):
     return sorted((tuple(r) for r in got.collect()), key=repr)
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
 @pytest.mark.parametrize("wildcards", [False, True])
 def test_lineage_map_keeps_columns_straight(spark, bound, wildcards):
     texts = scripts(spark, SCRIPTS | {"/e/both": "INSERT into T_One\nT_One from F_In.csv"})
@@ -189,7 +193,6 @@ def test_lineage_map_keeps_columns_straight(spark, bound, wildcards):
     assert mapped(spark, texts, bound=bound, wildcards=wildcards) == sorted(EXPECTED, key=repr)
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
 def test_lineage_map_from_lines(spark, bound):
     lines = [("/m", "create x"), ("/m", "load f_in.csv"), ("/m", "load f_in.csv"), ("/m", "to t_one end"), ("/r", "f_in.csv")]
     df = spark.createDataFrame(lines, "path string, text string")
@@ -210,7 +213,6 @@ def test_lineage_map_without_assets(spark):
     assert all(r.source is None and r.target is None for r in got.collect())
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
 def test_counts_are_lines_not_hits(spark, bound):
     lines = spark.createDataFrame(
         [("p", 0, "t1 t1 x t1 "), ("p", 1, "t1"), ("p", 2, "t1 t1 x t1 "), ("q", 0, "a b a b ")],
@@ -237,7 +239,6 @@ def test_all_matches_from_lines(spark):
     assert rows(got) == [("/m", "source", "cat://d/x/f.csv"), ("/m", "source", "cat://d/x/g.csv")]
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
 def test_one_line_repeated(spark, bound):
     """A third of all lines alike, naming something that has to be verified in the line."""
     df = spark.range(3000).select(
@@ -253,8 +254,8 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
-def test_no_nested_loop_and_no_python(spark, bound):
+def plans_of_map(spark, bound):
+    """Plans of everything a lineage map writes on its way, and its own."""
     plans = []
     keep = matching.materialize
     matching.materialize = L.materialize = lambda df, label: plans.append(plan_of(df)) or keep(df, label)
@@ -263,20 +264,48 @@ def test_no_nested_loop_and_no_python(spark, bound):
         plans.append(plan_of(lineage_map(scripts(spark, SCRIPTS), names, names, bound=bound)))
     finally:
         matching.materialize = L.materialize = keep
+    return plans
+
+
+@pytest.mark.parametrize("bound", [NARROW, WIDE])
+def test_no_nested_loop_and_no_python(spark, bound, monkeypatch):
+    monkeypatch.setattr(matching, "DIRECT_NAMES", 0)
+    plans = plans_of_map(spark, bound)
     assert len(plans) >= 3
     for plan in plans:
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan
         assert "PythonUDF" not in plan and "EvalPython" not in plan
 
 
-def test_a_third_of_all_words_alike(spark):
+def test_a_short_list_is_looked_for_in_one_pass(spark):
+    (plan,) = plans_of_map(spark, WIDE)
+    physical = plan.split("== Physical Plan ==")[1]
+    assert physical.count("Exchange hashpartitioning") == 1
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "EvalPython" not in plan
+
+
+def test_lists_over_the_bound_go_through_words(spark, monkeypatch):
+    """At the bound and one beyond it, in names and in bytes, the hits are the same."""
+    names = ["t1", "t2", "a b"]
+    texts = {"p": "t1 and a b", "q": "t2", "r": "t", "s": ""}
+    expected = sorted((p, n) for p, t in texts.items() for n in names if n in t)
+    ways = []
+    keep = matching._short_list
+    monkeypatch.setattr(matching, "_short_list", lambda *args: ways.append(keep(*args)) or ways[-1])
+    for most, size in ((3, 1 << 20), (2, 1 << 20), (3, 50)):
+        monkeypatch.setattr(matching, "DIRECT_NAMES", most)
+        monkeypatch.setattr(matching, "DIRECT_BYTES", size)
+        assert found(spark, texts, names) == expected
+    assert [w is not None for w in ways] == [True, False, False]
+
+
+def test_a_third_of_all_words_alike(spark, bound):
     """One name in every script: both ways to join give every row."""
     texts = spark.range(3000).select(
         F.concat(F.lit("s"), "id").alias("path"), F.concat(F.lit("insert hot_tab "), F.col("id"), F.lit(" tail")).alias("text")
     )
     names = assets(spark, ["hot_tab", "7 "])
-    for bound in (NARROW, WIDE):
-        assert first_match(texts, names, TARGET, bound=bound).count() == 3000
+    assert first_match(texts, names, TARGET, bound=bound).count() == 3000
 
 
 def test_breaks_cover_white_space(spark):
@@ -285,7 +314,6 @@ def test_breaks_cover_white_space(spark):
     assert "/" in WORD_BREAKS
 
 
-@pytest.mark.parametrize("bound", [NARROW, WIDE])
 def test_least_names_equal_brute_force(spark, bound):
     rng = random.Random(bound + 1)
     letters = "ab ,.'\n"
@@ -300,8 +328,9 @@ def test_least_names_equal_brute_force(spark, bound):
     assert got == {p: (first(t, 0), first(t, 1)) for p, t in texts.items()}
 
 
-def test_a_name_in_parts_is_looked_for_once_per_text(spark):
+def test_a_name_in_parts_is_looked_for_once_per_text(spark, monkeypatch):
     """A name with a blank whose longest part stands in the text tens of thousands of times."""
+    monkeypatch.setattr(matching, "DIRECT_NAMES", 0)
     known = assets(spark, ["my report", "my"])
 
     def seconds(n):
