@@ -126,7 +126,7 @@ def test_stages_of_an_empty_table(spark, tmp_path):
 
 def test_one_query_per_operator():
     names = [n for n in queries.QUERIES if n != "pipeline"]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert set(queries.QUERIES) <= set(entry_point.queries()) and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
@@ -134,7 +134,7 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "pages"):
+    for name in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     cursor = con.execute(queries.ORACLE[key])
     names = [c[0] for c in cursor.description]
