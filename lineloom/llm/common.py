@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -54,6 +55,26 @@ def total_bytes(docs: DataFrame, text: str) -> int:
 # -- Arrow --------------------------------------------------------------------
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker lives on after its task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` over the batches of a partition, giving memory back at its end."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """`fn` over each Arrow batch of each partition."""
 
@@ -64,7 +85,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import fields_of, spread, text_runs, without
+from .common import fields_of, spread, text_runs, tidy, without
 
 UNKNOWN = "und"
 ORDER = 3
@@ -247,7 +247,7 @@ def identify(
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, pred, score, *more])
 
     fields = [*fields_of(docs), f"`{pred}` string", *(f"`{c}` double" for c in [score, *more])]
-    found = spread(docs).mapInArrow(run, ", ".join(fields))
+    found = spread(docs).mapInArrow(tidy(run), ", ".join(fields))
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     return found.withColumns(
         {pred: F.when(letters, F.col(pred)).otherwise(UNKNOWN), score: F.when(letters, F.col(score)).otherwise(0.0)}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .bpe import encode_text
-from .common import spread
+from .common import spread, tidy
 
 GROUP_IDS = 2_000_000
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -233,4 +233,4 @@ def pack(
         if group:
             yield packed(group, number)[0]
 
-    return spread(docs.select(doc_id, text), doc_id).mapInArrow(run, PIECE_SCHEMA)
+    return spread(docs.select(doc_id, text), doc_id).mapInArrow(tidy(run), PIECE_SCHEMA)

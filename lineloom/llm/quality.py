@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fields_of, spread, text_runs, without
+from .common import fields_of, spread, text_runs, tidy, without
 
 WIDTH, STRIDE, DEPTH, FILTERS, HIDDEN = 16, 8, 8, 32, 16
 MARK = 256  # pads the ends
@@ -194,4 +194,4 @@ def score(docs: DataFrame, net: Network | float, *, text: str = "text", out: str
             added = pa.array(probability(shared.value, batch.column(at)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, added], [*batch.schema.names, out])
 
-    return spread(docs).mapInArrow(run, ", ".join([*fields_of(docs), f"`{out}` double"]))
+    return spread(docs).mapInArrow(tidy(run), ", ".join([*fields_of(docs), f"`{out}` double"]))

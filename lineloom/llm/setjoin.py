@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .common import map_arrow, mix, parts_for, shingle_hashes, spread, text_runs, total_bytes, without, word_hashes
+from .common import map_arrow, mix, parts_for, shingle_hashes, spread, text_runs, tidy, total_bytes, without, word_hashes
 from .components import connected, with_links
 
 CROWDED = 8
@@ -201,7 +201,7 @@ def postings(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
         if count:
             yield packed(held)
 
-    return docs.mapInArrow(run, POSTING_SCHEMA)
+    return docs.mapInArrow(tidy(run), POSTING_SCHEMA)
 
 
 CANDIDATE_SCHEMA = "kind byte, a long, b long, n int, need int"
