@@ -20,12 +20,24 @@ from lineloom.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_QUALITY, LEAST_CONFIDENCE = 0.5, 0.5
+# Texts make long rows; small Arrow batches bound what a Python worker and its JVM hold of them at a time.
+ARROW_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 # Bits that a text may need: a multiple of what its language needs a byte, and what a few odd words cost.
 MOST_BITS, SPARE_BITS = 1.5, 256
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Settings for stages that run Python; the session keeps them, as plans run after the stage returns."""
+    for setting, value in ARROW_BATCHES.items():
+        spark.conf.set(setting, value)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier gives an even chance or better of good quality."""
+    bound_batches(spark)
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     net = quality.learn(docs.select("doc_id", "text"), labels.where(keyed_mod("doc_id", 3) != 1))
     scored = quality.score(docs.select(*COLUMNS), net, out="_score")
@@ -38,6 +50,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A text is known if it needs few enough bits under its language, by what held
     back learning texts need. Without any labelled text all documents are kept.
     """
+    bound_batches(spark)
     samples = language.sample(docs.where(keyed_mod("doc_id", 4) != 2), order_by=F.col("doc_id"))
     model = language.fit(samples)
     if model is None:
@@ -68,11 +81,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    bound_batches(spark)
     return setjoin.one_of_each(docs.select(*COLUMNS), k=5, percent=80)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of windows of 1024 token ids."""
+    bound_batches(spark)
     pieces = packing.pack(
         docs, tokenizer=public_tokenizers.path("byte_bpe_50k.json"), pattern=public_tokenizers.PATTERN
     )
@@ -91,6 +106,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages one after the other, each written and read again."""
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), "stage")
