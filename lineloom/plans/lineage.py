@@ -235,18 +235,20 @@ def evidence(
     texts = keyed_join(texts, names, ["path"], "inner", ["path"], bound=bound, right_bytes=size)
 
     def placed(hit):
+        # No name has a line end, so its first line is where the text has it first.
         pattern = F.concat(hit["name"], F.when(hit["kind"] == TARGET, SUFFIX[TARGET]).otherwise(SUFFIX[SOURCE]))
-        before = F.split(F.left(F.col("text"), F.instr(F.col("text"), pattern) - 1), LINE_END, -1)
+        line = (F.array_position(F.transform("lowered", lambda one: F.contains(one, pattern)), True) - 1).cast("int")
         return F.struct(
             hit["kind"].alias("kind"),
             hit["name"].alias("name"),
-            (F.size(before) - 1).alias("line"),
-            (F.length(F.element_at(before, -1)) + 1).alias("column"),
+            line.alias("line"),
+            F.instr(F.get("lowered", line), pattern).alias("column"),
         )
 
-    found = texts.withColumn("text", F.lower("original"))
+    # A text is cut into lines once, not once for each of its names.
     lines = F.split(F.col("original"), LINE_END, -1)
-    found = found.select("path", F.explode(F.transform("names", placed)).alias("hit"), lines.alias("lines"))
+    found = texts.select("path", "names", lines.alias("lines"), F.split(F.lower("original"), LINE_END, -1).alias("lowered"))
+    found = found.select("path", F.explode(F.transform("names", placed)).alias("hit"), "lines")
     found = found.select("path", "hit.*", F.get("lines", F.col("hit.line")).alias("excerpt"))
     listed = materialize(_both(files, tables).select("kind", "name", "qualified_name").distinct(), "listed")
     return keyed_join(found, listed, ["kind", "name"], "inner", ["path"], bound=bound).select(

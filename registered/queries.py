@@ -630,16 +630,19 @@ def _sales_hits(entities: DataFrame) -> DataFrame:
 
 def entity_cascade(spark: SparkSession, d: str) -> DataFrame:
     """What goes with one segment's customers and all finished orders, lines first."""
-    held = _sales_entities(spark, d)
+    held = cascade.compact_guids(_sales_entities(spark, d))
     edges = cascade.composition_edges(held, _sales_relations(spark))
     gone = cascade.deletion_order(edges, _sales_hits(held))
-    return held.select("guid", "type_name", "qualified_name").distinct().join(gone, "guid").select("type_name", "qualified_name", "step", "ring")
+    # Joined before they are told apart: both go by the guid, so the entities are dealt once.
+    gone = held.select("guid", "type_name", "qualified_name").join(gone, "guid").distinct()
+    return gone.select("type_name", "qualified_name", "step", "ring")
 
 
 def entity_cascade_left(spark: SparkSession, d: str) -> DataFrame:
-    held = _sales_entities(spark, d)
+    held = cascade.compact_guids(_sales_entities(spark, d))
     left = cascade.delete_cascading(held, _sales_hits(held), _sales_relations(spark))
-    return left.select("type_name", "qualified_name").distinct()
+    # A guid is made of type and key, so the distinct rows are the same with it and stay where they are.
+    return left.select("guid", "type_name", "qualified_name").distinct().select("type_name", "qualified_name")
 
 
 def _index(spark: SparkSession, d: str) -> str:

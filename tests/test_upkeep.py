@@ -65,6 +65,22 @@ def test_deletion_order(spark, edges, hits):
     assert len(got) == len(want)
 
 
+def test_short_guids_cascade_alike(spark):
+    ref = lambda *owners: [("parent", "t", "q", o) for o in owners]
+    rows = [("t", "a", []), ("t", "b", ref("a")), ("t", "c", ref("b", "a")), ("t", "d", ref("x")), ("t", None, ref("a")), ("t", "e", ref(None))]
+    held = spark.createDataFrame(rows, f"type_name string, guid string, relationships {E.REFERENCES}")
+    held = held.withColumn("name", F.col("guid"))
+    relations = model.relation_table(spark, [("r", "COMPOSITION", "t", "children", "SET", True, "t", "parent", "SINGLE", False)])
+    short = cascade.compact_guids(held)
+    assert {len(r["guid"]) for r in short.where("name IS NOT NULL").collect()} == {12}
+    hit = F.col("name") == "a"
+    left = cascade.delete_cascading(short, short.where(hit), relations)
+    assert sorted(str(r["name"]) for r in left.collect()) == ["None", "d", "e"]
+    order = cascade.deletion_order(cascade.composition_edges(short, relations), short.where(hit))
+    named = order.join(short.select("guid", "name"), "guid")
+    assert {(r["name"], r["step"], r["ring"]) for r in named.collect()} == {("c", 1, False), ("b", 2, False), ("a", 3, False)}
+
+
 def test_delete_takes_columns_along_and_leaves_no_orphans(spark):
     details = spark.createDataFrame(
         [("db", t, "parquet", "/x", 1, 2) for t in ("a", "b", "c")],
@@ -348,3 +364,16 @@ def test_evidence_of_a_hit(spark):
         ("/d", "source", "q/again", 0, 8, "create f1.csv"),
         ("/d", "source", "q/f1", 0, 8, "create f1.csv"),
     ]
+
+
+def test_evidence_cuts_a_text_once_for_all_its_names(spark):
+    asset = "name string, qualified_name string"
+    known = spark.createDataFrame([(f"n{i}.csv", f"q/{i}") for i in range(3)], asset)
+    texts = spark.createDataFrame([("/a", "create x\r\nN1.csv n1.csv\rn2.csv\n\n n1.csv n0.csv"), ("/b", "create n0.csv")], "path string, text string")
+    found = lineage.evidence(texts, known, known.limit(0))
+    assert sorted((r["path"], r["qualified_name"], r["line"], r["column"]) for r in found.collect()) == [
+        ("/a", "q/0", 4, 9), ("/a", "q/1", 1, 1), ("/a", "q/2", 2, 1), ("/b", "q/0", 0, 8)
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    placing = [line for line in plan.splitlines() if "transform(names" in line]
+    assert placing and not any("split(" in line for line in placing)
