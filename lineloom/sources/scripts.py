@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
+import uuid
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -38,6 +42,63 @@ def read_script_lines(spark: SparkSession, root: str, pattern: str | None = None
     return lines.select(_file_path().alias("path"), F.col("value").alias("text"))
 
 
+def write_scripts(scripts: DataFrame, keys: list[str], text: str, root: str) -> None:
+    """One text file for each value of the keys, below folders `key=value` for the first of them.
+
+    Rows of equal keys are the lines of one file. Below a folder that tasks can open as it
+    is, they write the files themselves: Spark's writer makes a folder for every value of
+    the last key and commits each file by renaming it, which costs many times the writing.
+    File systems that only Spark reaches get Spark's writer. Values are escaped by percent
+    signs both ways; `key_value` reads them from a path.
+    """
+    rows = scripts.select(*[F.col(k).cast("string").alias(k) for k in keys], F.col(text).cast("binary").alias("value"))
+    folder = local_folder(root)
+    if folder is None:
+        rows = rows.repartition(*keys).withColumn("value", F.col("value").cast("string"))
+        rows.write.partitionBy(*keys).text(root)
+        return
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "value")
+    os.makedirs(folder)
+    rows.foreachPartition(_file_writer(keys, folder))
+
+
+def local_folder(root: str) -> str | None:
+    """The folder as the operating system names it, if its path is one of the local file system."""
+    found = re.fullmatch(r"(?s)(?:file:(?://(?=/))?)?(/.*)", root)
+    return found[1] if found else None
+
+
+def _file_writer(keys: list[str], folder: str):
+    """The function of a task. Being local, it is sent by value: executors need not have this package."""
+
+    def segment(key, value):
+        return key if value is None else f"{key}={quote(value, safe='')}"
+
+    def write(rows):
+        made = None
+        for values, group in itertools.groupby(rows, lambda row: tuple(row[k] for k in keys)):
+            *above, name = map(segment, keys, values)
+            inside = os.path.join(folder, *above)
+            if inside != made:
+                os.makedirs(inside, exist_ok=True)
+                made = inside
+            # Another attempt of the task may write the same file: it gets its name when it is whole.
+            part = os.path.join(inside, f".{uuid.uuid4().hex}")
+            with open(part, "wb") as out:
+                for row in group:
+                    out.write(bytes(row["value"] or b"") + b"\n")
+            os.replace(part, os.path.join(inside, f"{name}.txt"))
+
+    return write
+
+
+def key_value(path: str, key: str) -> Column:
+    """A key's value in the paths of files that `write_scripts` wrote; NULL if it had none."""
+    found = F.regexp_extract(path, rf"(?s)/\Q{key}=\E([^/]*?)(?:\.txt)?(?:/|\z)", 1)
+    inside = F.contains(F.col(path), F.lit(f"/{key}="))
+    return F.when(inside, F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))))
+
+
 # Scheme and authority of a path.
 _PREFIX = r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?/*"
 

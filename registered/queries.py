@@ -249,14 +249,15 @@ def lineage_unresolved(spark: SparkSession, d: str) -> DataFrame:
 def lineage_files(spark: SparkSession, d: str) -> DataFrame:
     """The scan's map from script files: every document is written to one and read again."""
     root = scratch_path(spark, "export of scripts")
-    docs = table(spark, d, "documents").select("lang", "source", F.col("doc_id").alias("doc"), F.col("text").alias("value"))
-    docs.repartition("lang", "source", "doc").write.partitionBy("lang", "source", "doc").text(root)
+    docs = table(spark, d, "documents").select("lang", "source", F.col("doc_id").alias("doc"), "text")
+    script_source.write_scripts(docs, ["lang", "source", "doc"], "text", root)
     found = script_source.listed_paths(script_source.read_scripts(spark, root), root, "/Shared")
-    folder = F.regexp_replace("path", r"/lang=([^/]*)/source=([^/]*)/doc=([^/]*)/[^/]*\z", "/$1/$2/doc_$3")
+    lang, source, doc = [script_source.key_value("path", key) for key in ("lang", "source", "doc")]
+    path = F.concat(F.lit("/Shared/"), lang, F.lit("/"), source, F.lit("/doc_"), doc)
     return lineage.scan_lineage(
         views.listing(spark, d),
         "/Shared",
-        found.withColumn("path", folder),
+        found.withColumn("path", path),
         views.asset_files(spark, d),
         views.asset_tables(spark, d),
         words=WORDS,

@@ -1,6 +1,7 @@
 """Catalog inventory, script files, listings and round trips on temporary data."""
 
 import json
+import os
 import shutil
 from pathlib import Path
 
@@ -343,3 +344,32 @@ def test_catalog_calls_keep_their_order_and_raise(spark):
     assert catalog._each(spark, lambda n: n * n, range(100)) == [n * n for n in range(100)]
     with pytest.raises(ZeroDivisionError):
         catalog._each(spark, lambda n: 1 // n, [3, 0, 2])
+
+
+@pytest.mark.parametrize("by_tasks", [True, False])
+def test_scripts_are_written_to_a_file_each(spark, tmp_path, monkeypatch, by_tasks):
+    if not by_tasks:
+        monkeypatch.setattr(S, "local_folder", lambda root: None)
+    root = f"file:{tmp_path}/export of x"
+    odd = [] if not by_tasks else [("", "_b", 5, "e"), ("é", ".", 6, "f"), ("a/b", "..", 7, "g\rh")]
+    docs = [("a b", "x+%41", 1, "p\nq"), ("c#", "=y:", 2, None), ("c#", "=y:", 3, ""), ("a", "b", 4, "r"), ("a", "b", 4, "s")]
+    S.write_scripts(spark.createDataFrame(docs + odd, "l string, s string, d int, text string"), ["l", "s", "d"], "text", root)
+    read = S.read_scripts(spark, root)
+    got = read.select(*[S.key_value("path", k) for k in "lsd"], "text").collect()
+    texts = {tuple(r)[:3]: sorted(r["text"].splitlines(keepends=True)) for r in got}
+    wanted = [(("a b", "x+%41", "1"), ["p\n", "q\n"]), (("c#", "=y:", "2"), ["\n"]), (("c#", "=y:", "3"), ["\n"]), (("a", "b", "4"), ["r\n", "s\n"])]
+    wanted += [((l, s, str(d)), f"{t}\n".splitlines(keepends=True)) for l, s, d, t in odd]
+    assert texts == dict(wanted) and len(got) == len(wanted)
+
+
+def test_scripts_without_a_key_have_no_value_for_it(spark, tmp_path):
+    docs = [("a", None, 1, "p"), (None, "b", 2, "q"), ("a", "b", None, "r")]
+    S.write_scripts(spark.createDataFrame(docs, "l string, s string, d int, text string"), ["l", "s", "d"], "text", f"{tmp_path}/x")
+    got = S.read_scripts(spark, f"{tmp_path}/x").select(*[S.key_value("path", k) for k in "lsd"], "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a", None, "1", "p\n"), (None, "b", "2", "q\n"), ("a", "b", None, "r\n")], key=str)
+
+
+def test_tasks_write_scripts_without_a_folder_for_each(spark, tmp_path):
+    docs = spark.range(300).selectExpr("'a' AS l", "id AS d", "'text' AS text")
+    S.write_scripts(docs, ["l", "d"], "text", f"{tmp_path}/x")
+    assert sorted(os.listdir(f"{tmp_path}/x/l=a")) == sorted(f"d={i}.txt" for i in range(300))
