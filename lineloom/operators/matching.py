@@ -20,12 +20,13 @@ text and name.
 
 Cutting texts into words costs as much as looking for some thousand names in
 them one after the other. So a list of at most `DIRECT_NAMES` names is looked
-for in each text as it is read: one pass without a shuffle. The way through
-words is for longer lists, for wildcards, and where nothing may be broadcast.
+for in each text as it is read: one pass without a shuffle, wildcards or not.
+The way through words is for longer lists, and where nothing may be broadcast.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -51,29 +52,49 @@ def _gram_size(needle: str):
     return size
 
 
-def _short_list(patterns: DataFrame, wildcards: bool, bound: int) -> list | None:
+def _short_list(patterns: DataFrame, bound: int) -> list | None:
     """The rows of a list that is short enough to be looked for directly."""
-    if wildcards or not bound:
+    if not bound:
         return None
     rows = _in_a_line(patterns).limit(DIRECT_NAMES + 1).collect()
     size = sum(16 + len(str(value).encode()) for row in rows for value in row)
     return rows if len(rows) <= DIRECT_NAMES and size <= min(bound, DIRECT_BYTES) else None
 
 
-def _names_directly(texts: DataFrame, keys: list[str], text: str, patterns: DataFrame, rows: list) -> DataFrame:
-    held = [F.when(F.contains(F.col(text), F.lit(p)), F.lit(p)) for p in sorted({r["pattern"] for r in rows})]
-    hits = texts.select(*keys, F.explode(F.array_compact(F.array(*held))).alias("pattern"))
+def _has(text: str, pattern: str, wildcards: bool):
+    if not wildcards or not set(pattern) & set("_%"):
+        return F.contains(F.col(text), F.lit(pattern))
+    # LIKE is a regular expression; few texts have the longest part without wildcards.
+    like = F.col(text).like("%" + pattern.replace("\\", "\\\\") + "%")
+    return F.contains(F.col(text), F.lit(max(re.split("[_%]", pattern), key=len))) & like
+
+
+def _held(text: str, rows: list, wildcards: bool = False):
+    held = [F.when(_has(text, p, wildcards), F.lit(p)) for p in sorted({r["pattern"] for r in rows})]
+    return F.array_compact(F.array(*held))
+
+
+def names_held(patterns: DataFrame, text: str, bound: int = BROADCAST_BYTES):
+    """The patterns of a short list that a text contains, as an array column; None if the list is not short."""
+    short = _short_list(patterns, bound)
+    return _held(text, short) if short else None
+
+
+def _names_directly(
+    texts: DataFrame, keys: list[str], text: str, patterns: DataFrame, rows: list, wildcards: bool = False
+) -> DataFrame:
+    hits = texts.select(*keys, F.explode(_held(text, rows, wildcards)).alias("pattern"))
     return hits.join(F.broadcast(patterns), "pattern").select(*keys, *[c for c in patterns.columns if c != "pattern"])
 
 
-def _least_directly(text: str, rows: list, kind: str):
+def _least_directly(text: str, rows: list, kind: str, wildcards: bool):
     """The least place of a kind's patterns in a text: they are tried in order up to the first hit."""
     tried, first = [], F.when(F.lit(False), F.lit(None).cast("long"))
     for row in sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["place"]):
         # A text with a longer pattern has the ones inside it, too.
         if not any(p in row["pattern"] for p in tried):
             tried.append(row["pattern"])
-            first = first.when(F.contains(F.col(text), F.lit(row["pattern"])), F.lit(row["place"]).cast("long"))
+            first = first.when(_has(text, row["pattern"], wildcards), F.lit(row["place"]).cast("long"))
     return first.alias(kind)
 
 
@@ -145,9 +166,9 @@ def find_names(
 
     One hit may be given more than once for a text.
     """
-    short = _short_list(patterns, wildcards, bound)
+    short = _short_list(patterns, bound)
     if short:
-        return _names_directly(texts, keys, text, patterns, short)
+        return _names_directly(texts, keys, text, patterns, short, wildcards)
     search = _Search(texts, keys, text, patterns, wildcards, bound)
     if search.empty:
         return texts.select(*keys, *search.blank).where(F.lit(False))
@@ -179,9 +200,9 @@ def least_names(
     a name that needs a look at the text is looked for only where it would come
     before what is known.
     """
-    short = _short_list(patterns, wildcards, bound)
+    short = _short_list(patterns, bound)
     if short is not None:
-        return texts.select(*keys, *[_least_directly(text, short, kind) for kind in kinds])
+        return texts.select(*keys, *[_least_directly(text, short, kind, wildcards) for kind in kinds])
     search = _Search(texts, keys, text, patterns, wildcards, bound)
     none = [F.lit(None).cast("long").alias(k) for k in kinds]
     if search.empty:

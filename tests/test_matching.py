@@ -343,3 +343,17 @@ def test_a_name_in_parts_is_looked_for_once_per_text(spark, monkeypatch):
 
     seconds(100)
     assert seconds(40_000) < 2 * seconds(20_000) + 3
+
+
+def test_short_lists_with_wildcards_are_looked_for_directly(spark, monkeypatch):
+    """No words and no shuffle of lines: only one row per script is grouped."""
+    monkeypatch.setattr(matching, "_Search", None)
+    texts = {"/a": "x\nsome t9 here", "/b": "t1\nt2", "/c": "50% of ab\\c d", "/d": "ab\nc d", "/e": ""}
+    names = assets(spark, ["t_", "b%c", "b\\_"])
+    assert rows(first_match(scripts(spark, texts), names, TARGET, wildcards=True)) == [
+        ("/a", "cat://d/x/t_"),
+        ("/c", "cat://d/x/b%c"),
+    ]
+    assert found(spark, texts, ["t_ ", "%d", "0%"], wildcards=True) == [
+        ("/a", "t_ "), ("/c", "%d"), ("/c", "0%"), ("/d", "%d")
+    ]
