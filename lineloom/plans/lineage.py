@@ -8,7 +8,7 @@ from ..functions.names import is_csv_name, job_key, last_segment, short_name
 from ..functions.text import LINE_END, WRITE_WORDS, lines_of, mentions_any
 from ..operators.entities import TABLE, FILE, JOB, make_entity
 from ..operators.joins import BROADCAST_BYTES, keyed_join, materialize_measured
-from ..operators.matching import find_names, least_names
+from ..operators.matching import find_names, least_names, names_held
 from ..operators.tree import scripts_of, walk_tree
 from ..session import materialize
 
@@ -198,8 +198,10 @@ def all_matches(
 
     `scripts` and `whole_texts` are as for `lineage_map`.
     """
-    named = _named(scripts, files, tables, words=words, whole_texts=whole_texts, wildcards=wildcards, bound=bound)
-    listed = materialize(_both(files, tables).select("kind", "name", "qualified_name").distinct(), "listed")
+    listed = materialize(_both(files, tables).select("kind", "name", "pattern", "qualified_name").distinct(), "listed")
+    patterns = materialize(listed.select("kind", "name", "pattern").distinct(), "patterns")
+    named = _named(scripts, patterns, words=words, whole_texts=whole_texts, wildcards=wildcards, bound=bound)
+    named, listed = named.drop("pattern"), listed.drop("pattern")
     return keyed_join(named, listed, ["kind", "name"], "inner", ["path"], bound=bound).select(
         "path", "kind", "qualified_name"
     )
@@ -209,13 +211,13 @@ def _both(files: DataFrame, tables: DataFrame) -> DataFrame:
     return _ordered(files, SOURCE).unionByName(_ordered(tables, TARGET))
 
 
-def _named(scripts: DataFrame, files: DataFrame, tables: DataFrame, *, words, whole_texts: bool, wildcards: bool, bound: int) -> DataFrame:
-    """(path, kind, name): every name each writing script has."""
+def _named(scripts: DataFrame, patterns: DataFrame, *, words, whole_texts: bool, wildcards: bool, bound: int) -> DataFrame:
+    """(path, kind, name, pattern): every name each writing script has."""
     searched = scripts.where(mentions_any(F.col("text"), words)) if whole_texts else scripts
     texts = _unit_keys(_lowered(searched.select("path", "text"), wildcards))
-    patterns = materialize(_both(files, tables).select("kind", "name", "pattern").distinct(), "patterns")
-    hits = find_names(texts, ["path", "unit"], "text", patterns, wildcards=wildcards, bound=bound)
-    named = hits.select("path", "kind", "name").distinct()
+    asked = patterns.withColumn("whole", F.col("pattern"))
+    hits = find_names(texts, ["path", "unit"], "text", asked, wildcards=wildcards, bound=bound)
+    named = hits.select("path", "kind", "name", F.col("whole").alias("pattern")).distinct()
     return named if whole_texts else named.join(writing_scripts(scripts, words), "path", "left_semi")
 
 
@@ -225,37 +227,47 @@ def evidence(
     """(path, kind, qualified_name, line, column, excerpt): where each writing script first names an asset.
 
     `scripts` is (path, text) with one row per script. Lines count from 0 as in
-    `number_lines`, columns from 1. The names that a script has are found first and
-    gathered per script, so a text is joined once and looked through only for those.
+    `number_lines`, columns from 1. A short list of names is looked for and placed
+    in each text as it is read, without a shuffle. Otherwise the names that a script
+    has are found first and gathered per script, so a text is joined once and looked
+    through only for those.
     """
-    named = _named(scripts, files, tables, words=words, whole_texts=True, wildcards=False, bound=bound)
-    names = named.groupBy("path").agg(F.collect_list(F.struct("kind", "name")).alias("names"))
-    names, size = materialize_measured(names, "names-of-scripts")
-    texts = scripts.select("path", F.col("text").alias("original"))
-    texts = keyed_join(texts, names, ["path"], "inner", ["path"], bound=bound, right_bytes=size)
-
-    def placed(hit):
-        # No name has a line end, so its first line is where the text has it first.
-        pattern = F.concat(hit["name"], F.when(hit["kind"] == TARGET, SUFFIX[TARGET]).otherwise(SUFFIX[SOURCE]))
-        line = (F.array_position(F.transform("lowered", lambda one: F.contains(one, pattern)), True) - 1).cast("int")
-        return F.struct(
-            hit["kind"].alias("kind"),
-            hit["name"].alias("name"),
-            line.alias("line"),
-            F.instr(F.get("lowered", line), pattern).alias("column"),
-        )
-
-    # A text is cut into lines once, not once for each of its names.
-    lines = F.split(F.col("original"), LINE_END, -1)
-    found = texts.select("path", "names", lines.alias("lines"), F.split(F.lower("original"), LINE_END, -1).alias("lowered"))
-    found = found.select("path", F.explode(F.transform("names", placed)).alias("hit"), "lines")
-    found = found.select("path", "hit.*", F.get("lines", F.col("hit.line")).alias("excerpt"))
-    listed = materialize(_both(files, tables).select("kind", "name", "qualified_name").distinct(), "listed")
-    return keyed_join(found, listed, ["kind", "name"], "inner", ["path"], bound=bound).select(
+    listed = materialize(_both(files, tables).select("kind", "name", "pattern", "qualified_name").distinct(), "listed")
+    patterns = materialize(listed.select("kind", "name", "pattern").distinct(), "patterns")
+    direct = names_held(patterns, "lowered", bound)
+    if direct is not None:
+        texts = scripts.where(mentions_any(F.col("text"), words) & F.col("path").isNotNull()).select("path", "text")
+        texts = _in_lines(texts).withColumn("names", direct)
+    else:
+        named = _named(scripts, patterns, words=words, whole_texts=True, wildcards=False, bound=bound)
+        names = named.groupBy("path").agg(F.collect_set("pattern").alias("names"))
+        names, size = materialize_measured(names, "names-of-scripts")
+        texts = keyed_join(scripts.select("path", "text"), names, ["path"], "inner", ["path"], bound=bound, right_bytes=size)
+        texts = _in_lines(texts, "names")
+    # No name has a line end, so its first line is where the text has it first.
+    hits = F.transform("names", lambda name: F.struct(name.alias("pattern"), F.instr("lowered", name).alias("at")))
+    found = texts.select("path", "lines", "lowered", F.explode(hits).alias("hit"))
+    before = F.substring("lowered", F.lit(1), F.col("hit.at") - 1)
+    # Bytes are known without counting characters.
+    line = F.octet_length(before) - F.octet_length(F.replace(before, F.lit("\n")))
+    found = found.select(
+        "path",
+        "hit.pattern",
+        line.alias("line"),
+        (F.length(F.substring_index(before, "\n", -1)) + 1).alias("column"),
+        F.get("lines", line).alias("excerpt"),
+    )
+    return keyed_join(found, listed.drop("name"), ["pattern"], "inner", ["path"], bound=bound).select(
         "path", "kind", "qualified_name", "line", "column", "excerpt"
     )
 
 
+def _in_lines(texts: DataFrame, *others: str) -> DataFrame:
+    """(path, others, lines, lowered): the lines of a text, and the text in lower case with one kind of line end."""
+    texts = texts.withColumn("text", F.regexp_replace("text", LINE_END, "\n"))
+    return texts.select("path", *others, F.split("text", "\n", -1).alias("lines"), F.lower("text").alias("lowered"))
+
+
 def resolve_processes(
     mapping: DataFrame, entities: DataFrame, *, source_type: str = FILE, target_type: str = TABLE
 ) -> DataFrame:

@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lineloom.operators import cascade, model, search
+from lineloom.operators import cascade, matching, model, search
 from lineloom.operators import entities as E
 from lineloom.plans import incremental, lineage
 from lineloom.sources import files, scripts, store
@@ -377,3 +377,31 @@ def test_evidence_cuts_a_text_once_for_all_its_names(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     placing = [line for line in plan.splitlines() if "transform(names" in line]
     assert placing and not any("split(" in line for line in placing)
+
+
+@pytest.mark.parametrize("direct", [True, False])
+def test_evidence_of_many_names(spark, monkeypatch, direct):
+    """Short lists are placed as the text is read; longer ones are found first. The hits are the same."""
+    if direct:
+        monkeypatch.setattr(lineage, "_named", None)
+    else:
+        monkeypatch.setattr(matching, "DIRECT_NAMES", 0)
+    texts = {
+        "/a": "The a.csv\r\nÉa B.CSV\r\rtab x\nB.csv",
+        "/b": "the\rİ tab end\n",
+        "/c": "a.csv",
+        "/d": "the " + "y" * 300 + "\n\n a.csv",
+        None: "the a.csv",
+    }
+    files = spark.createDataFrame([("A.csv", "f1"), ("b.csv", "f2"), ("a.csv", "f3")], "name string, qualified_name string")
+    tables = spark.createDataFrame([("tab", "t1")], "name string, qualified_name string")
+    found = lineage.evidence(spark.createDataFrame(list(texts.items()), "path string, text string"), files, tables, words=["the"])
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("/a", "source", "f1", 0, 5, "The a.csv"),
+        ("/a", "source", "f2", 1, 4, "Éa B.CSV"),
+        ("/a", "source", "f3", 0, 5, "The a.csv"),
+        ("/a", "target", "t1", 3, 1, "tab x"),
+        ("/b", "target", "t1", 1, 4, "İ tab end"),
+        ("/d", "source", "f1", 2, 2, " a.csv"),
+        ("/d", "source", "f3", 2, 2, " a.csv"),
+    ]
