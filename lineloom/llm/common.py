@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -195,6 +196,33 @@ def shingle_hashes(words: np.ndarray, place: np.ndarray, k: int) -> tuple[np.nda
     return mix(out), bounds
 
 
+# -- keys ---------------------------------------------------------------------
+
+# A Bloom filter of 64-bit words: a word per four keys, four bits per key. At most 64 MB of words.
+KEYS_A_WORD, ROW_BITS, MOST_WORDS = 4, 5, 1 << 23
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, key: str, count: int) -> DataFrame:
+    """The rows whose `key` is among the `count` keys, and about one in a hundred of the others.
+
+    Only bits are sent to the tasks, so that rows without a key there need not be
+    shuffled; a join with `keys` tells the rest. Of more keys than KEYS_A_WORD
+    times MOST_WORDS, more of the others come through.
+    """
+    wide = 1 << ROW_BITS
+    size = wide * parts_for(min(count // KEYS_A_WORD + 1, MOST_WORDS), wide)
+    word, bits = F.pmod(F.xxhash64(key, F.lit("word")), F.lit(size)), F.xxhash64(key, F.lit("bits"))
+    row, at = F.shiftright(word, ROW_BITS), word.bitwiseAND(F.lit(wide - 1)).cast("int")
+    places = [F.shiftright(bits, n).bitwiseAND(F.lit(63)).cast("int") for n in (0, 6, 12, 18)]
+    mask = reduce(Column.bitwiseOR, [F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in places])
+    words = keys.select(row.alias("_row"), at.alias("at"), mask.alias("word")).groupBy("_row", "at").agg(F.bit_or("word").alias("word"))
+    filled = words.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("word"))
+    all_words = F.transform(F.sequence(F.lit(0), F.lit(wide - 1)), lambda i: F.coalesce(F.col("word")[i], F.lit(0).cast("long")))
+    filled = F.broadcast(filled.select("_row", all_words.alias("_words")))
+    missing = F.bitwise_not(F.get("_words", at)).bitwiseAND(mask)
+    return rows.join(filled, (row == F.col("_row")) & (missing == 0), "left_semi")
+
+
 # -- ranges -------------------------------------------------------------------
 
 

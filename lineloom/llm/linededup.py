@@ -11,7 +11,8 @@ only for an equal line.
    number, segment) of its own cut and those that it would match in the cuts of
    lines up to `edits` characters shorter.
 2. One aggregation with map-side combining finds the keys that two different
-   lines share, and only lines with such a key go on, each once per key.
+   lines share, and only lines with such a key go on, each once per key. Where
+   these keys are too many to send to every task, bits of them are sent.
 3. Lines that share a key are compared inside the join: if their counts of some
    characters allow it, equal starts and ends are taken off, and a bit-parallel automaton of 2 * edits + 1 diagonals, one
    register per number of edits, reads what is left.
@@ -35,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import spread, without
+from .common import maybe_among, spread, without
 
 FEW_ROWS = 1_000_000
 FIRST_ID = -(1 << 63)
@@ -175,8 +176,11 @@ def near_lines(lines: DataFrame, edits: int, least: int) -> DataFrame:
     keyed = keyed_lines(lines.where(F.col("size") >= max(least, shortest(edits))), edits)
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or("own").alias("own"))
     shared = materialize(shared.where("own AND low <> high").select("key"), "shared-keys")
-    few = shared.count() <= FEW_ROWS
-    members = keyed.join(F.broadcast(shared) if few else shared, "key").distinct()
+    found = shared.count()
+    if found <= FEW_ROWS:
+        members = keyed.join(F.broadcast(shared), "key").distinct()
+    else:  # a row per key holds the whole line, so none is shuffled that bits of the shared keys can tell apart
+        members = maybe_among(keyed, shared, "key", found).distinct().join(shared, "key")
     members = materialize(members.select("*", *char_counts(F.col("line"))), "line-members")
     counted = [f"c{i}" for i in range(len(COUNTED))]
     own = members.where("own").select("key", F.col("id").alias("a"), F.col("line").alias("of_a"), *[F.col(c).alias(f"a_{c}") for c in counted])

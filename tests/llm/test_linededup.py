@@ -1,5 +1,7 @@
 """Line dedup against brute force."""
 
+import contextlib
+import pathlib
 import random
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lineloom.llm import linededup as L
+from lineloom.llm.common import maybe_among
 
 SCHEMA = "doc_id long, text string"
 SPACES = " \t\n\v\f\r"
@@ -121,3 +124,53 @@ def test_short_lines_equal_brute_force(spark):
     rows = [(doc, "\n".join(edited(rng, rng.choice(pool), rng.choice([0, 0, 1, 2, 3])).strip() for _ in range(6))) for doc in range(80)]
     found = L.dedup_lines(spark.createDataFrame(rows, SCHEMA), least=1, least_near=L.shortest(2))
     assert sorted(((r.doc_id, r.text, r.dropped) for r in found.collect()), key=repr) == expected(rows, 2, 1, 12)
+
+
+def shuffle_bytes(spark, known=()):
+    """Size of the shuffle files there are, by path, without the known ones."""
+    places = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = [f for place in places for f in pathlib.Path(place.toString()).glob("*/shuffle_*.data")]
+    out = {}
+    for f in files:
+        with contextlib.suppress(FileNotFoundError):
+            out[f] = f.stat().st_size
+    return {f: n for f, n in out.items() if f not in known}
+
+
+def unlike_lines(rng, n):
+    """Lines that share no third of their characters with each other."""
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(300)) for _ in range(n)]
+
+
+def test_lines_without_a_shared_key_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(L, "FEW_ROWS", -1)
+    asked = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(asked)
+    materialize = L.materialize
+    rng = random.Random(5)
+    lines = unlike_lines(rng, 3000)
+    near = [(10_000 + i, edited(rng, lines[i], 2)) for i in range(5)]
+    shuffled = {}
+
+    def watched(df, label):
+        if label == "line-members":
+            before = shuffle_bytes(spark)
+            df.write.format("noop").mode("overwrite").save()
+            shuffled[label] = sum(shuffle_bytes(spark, before).values())
+        return materialize(df, label)
+
+    monkeypatch.setattr(L, "materialize", watched)
+    spark.conf.set(asked, "-1")  # small as they are here, the tables are joined as large ones
+    try:
+        found = L.dedup_lines(spark.createDataFrame([*enumerate(lines), *near], SCHEMA))
+    finally:
+        spark.conf.set(asked, usual)
+    assert {r.doc_id for r in found.where("size(dropped) > 0").collect()} == {i for i, _ in near}
+    assert 0 < shuffled["line-members"] < 300 * 3000 / 10
+
+
+@pytest.mark.parametrize("many", [0, 1, 7, 20_000])
+def test_maybe_among_keeps_all_keys_and_few_others(spark, many):
+    rows = spark.range(100_000).select("id", F.xxhash64("id").alias("key"))
+    found = maybe_among(rows, rows.where(F.col("id") < many).select("key"), "key", many).select("id").collect()
+    assert sum(r.id < many for r in found) == many and len(found) <= many + 2000
