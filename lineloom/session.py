@@ -16,6 +16,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Spark keeps shuffle files until its driver collects garbage, unless told to delete them when a job ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_scratch: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
@@ -70,11 +73,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and read it back.
 
     Cuts the lineage like a checkpoint does, survives lost executors, and gives
-    the optimizer the real file size of the result.
+    the optimizer the real file size of the result. What the write has shuffled
+    is deleted at its end.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

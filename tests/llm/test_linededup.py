@@ -3,6 +3,7 @@
 import contextlib
 import pathlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +175,17 @@ def test_maybe_among_keeps_all_keys_and_few_others(spark, many):
     rows = spark.range(100_000).select("id", F.xxhash64("id").alias("key"))
     found = maybe_among(rows, rows.where(F.col("id") < many).select("key"), "key", many).select("id").collect()
     assert sum(r.id < many for r in found) == many and len(found) <= many + 2000
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    rng = random.Random(6)
+    rows = [(i, "\n".join(unlike_lines(rng, 5))) for i in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    before = shuffle_bytes(spark)
+    L.dropped_lines(docs)
+    for _ in range(50):  # they are deleted in the background
+        left = sum(shuffle_bytes(spark, before).values())
+        if left < 100_000:
+            break
+        time.sleep(0.2)
+    assert left < 100_000
